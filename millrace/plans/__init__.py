@@ -1,5 +1,10 @@
 """Registered queries, grouped by subject."""
 
+from importlib import import_module
+
+SUBJECTS = ["scoring", "preparation"]
+
 
 def load_all() -> None:
-    from millrace.plans import scoring  # noqa: F401
+    for subject in SUBJECTS:
+        import_module(f"millrace.plans.{subject}")
