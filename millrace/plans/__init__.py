@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SUBJECTS = ["scoring", "preparation"]
+SUBJECTS = ["scoring", "preparation", "modeling", "intake"]
 
 
 def load_all() -> None:
