@@ -45,7 +45,11 @@ MESSAGES = {
 
 
 def feat(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
+    return feat_from(table(spark, sf, "events"))
+
+
+def feat_from(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").alias("id"),
         F.when(key_hash("event_id") % 20 == 0, None).otherwise(F.col("value")).alias("f1"),
         (F.col("value") - 20).alias("f2"),
@@ -153,6 +157,22 @@ def ranked_events(spark: SparkSession, sf: str) -> DataFrame:
     return ranked.select(F.col("user_id").alias("trial"), (F.col("step") + 1).alias("step"), "event_id", "value")
 
 
+def trials(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per trial: experiment, state, creation time and latest objective."""
+    state = key_hash(F.lit("trial"), F.col("trial")) % 10
+    return table(spark, sf, "events").groupBy(F.col("user_id").alias("trial")).agg(
+        F.min("ts").cast("timestamp").alias("created"),
+        (F.max_by("value", "event_id") / 500).alias("accuracy"),
+        F.max("event_id").alias("last_event"),
+    ).select(
+        "trial",
+        (F.col("trial") % 5).alias("experiment"),
+        F.when(state == 0, "Failed").when(state == 1, "Running").when(state == 2, "Pending").otherwise("Succeeded").alias("status"),
+        "created",
+        F.when(state > 2, F.col("accuracy")).alias("accuracy"),
+    )
+
+
 def trial_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return ranked_events(spark, sf).select(
         "trial", "step", F.lit("accuracy").alias("name"), (F.col("value") / 500).alias("value")
@@ -160,7 +180,11 @@ def trial_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reqs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
+    return reqs_from(table(spark, sf, "events"))
+
+
+def reqs_from(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").alias("request_id"),
         (F.col("user_id") % 5).alias("endpoint"),
         "ts",
@@ -257,6 +281,15 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT user_id AS trial, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS step,
                'accuracy' AS name, value / 500 AS value, event_id
         FROM events"""),
+    "trials": ((), f"""
+        SELECT trial, trial % 5 AS experiment, CASE st WHEN 0 THEN 'Failed' WHEN 1 THEN 'Running' WHEN 2 THEN 'Pending' ELSE 'Succeeded' END AS status,
+               created, CASE WHEN st > 2 THEN accuracy END AS accuracy
+        FROM (SELECT user_id AS trial, {sql_hash("'trial-' || user_id")} % 10 AS st, min(ts) AS created,
+                     arg_max(value, event_id) / 500 AS accuracy FROM events GROUP BY user_id)"""),
+    "trial_params": (("trials",), f"""
+        SELECT trial, 50 + 50 * (g // 72) AS n_estimators, 5 + 5 * (g // 18 % 4) AS max_depth, 2 + 4 * (g // 6 % 3) AS min_samples_split,
+               round(0.3 + 0.3 * (g // 2 % 3), 6) AS max_features_ratio, CASE WHEN g % 2 = 0 THEN 'gini' ELSE 'entropy' END AS criterion
+        FROM (SELECT trial, {sql_hash("trial")} % 288 AS g FROM trials)"""),
     "reqs": (("ev",), """
         SELECT event_id AS request_id, user_id % 5 AS endpoint, ts, value * 10 AS latency_ms,
                CAST(event_type = 'error' AS INTEGER) AS error,
