@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SUBJECTS = ["scoring", "preparation", "modeling", "intake", "operations", "experiments", "streams"]
+SUBJECTS = ["scoring", "preparation", "modeling", "intake", "operations", "experiments", "streams", "models"]
 
 
 def load_all() -> None:

@@ -67,7 +67,7 @@ def prediction_distribution(spark, sf):
     "alerts_stream",
     """
     , w AS (SELECT date_trunc('day', ts) AS d, endpoint, avg(prediction) AS rate, quantile_disc(latency_ms, 0.95) AS p95, avg(error) AS err
-            FROM reqs GROUP BY ALL HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM reqs) - INTERVAL 10 MINUTE)
+            FROM reqs WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM reqs) - INTERVAL 10 MINUTE GROUP BY 1, 2)
     SELECT epoch_us(d) AS window_start, endpoint, 'HIGH_FRAUD_RATE' AS type, 'warning' AS severity, round(rate, 6) AS value FROM w WHERE rate > 0.3
     UNION ALL SELECT epoch_us(d), endpoint, 'HIGH_LATENCY', 'warning', round(p95, 6) FROM w WHERE p95 > 1000
     UNION ALL SELECT epoch_us(d), endpoint, 'HIGH_ERROR_RATE', 'critical', round(err, 6) FROM w WHERE err > 0.05
