@@ -1,4 +1,4 @@
-"""Exact top share of groups of any size."""
+"""Exact selection from groups of any size: first or last rows, top share."""
 
 from __future__ import annotations
 
@@ -6,11 +6,39 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.functions.hashing import key_hash
 from millrace.functions.prefix import hash_order_bucket, prefix_sums, rank_in_group, value_cuts, with_value_bucket
 
 
+def edge_rows(df: DataFrame, keys: Sequence[str], order: str, n: int, latest: bool = True, width: int = 65536) -> DataFrame:
+    """The last (or first) n rows of each group by an integer order column.
+
+    Rows are counted per (group, id range) first, which gives the range that holds the
+    n-th row; rows outside are dropped before anything is shuffled or sorted. What is left
+    of a group is at most n rows plus one range, however large the group is.
+    """
+    keys = list(keys)
+    bucket = F.floor(F.col(order) / width)
+    by_bucket = F.col("__b").desc() if latest else F.col("__b").asc()
+    running = Window.partitionBy(*keys).orderBy(by_bucket).rowsBetween(Window.unboundedPreceding, -1)
+    counts = df.groupBy(*keys, bucket.alias("__b")).agg(F.count("*").alias("__n"))
+    needed = counts.withColumn("__before", F.coalesce(F.sum("__n").over(running), F.lit(0))).where(F.col("__before") < n)
+    if keys:
+        edge = needed.groupBy(*keys).agg((F.min("__b") if latest else F.max("__b")).alias("__edge"))
+        near = df.join(edge, keys)
+        limit = F.col("__edge")
+    else:
+        near = df
+        limit = needed.agg((F.min("__b") if latest else F.max("__b")).alias("e")).scalar()
+    near = near.where(bucket >= limit if latest else bucket <= limit)
+    if not keys:
+        return near.orderBy(F.col(order).desc() if latest else F.col(order).asc()).limit(n)
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order).desc() if latest else F.col(order).asc()))
+    return near.withColumn("__rn", position).where(F.col("__rn") <= n).select(*df.columns)
+
+
 def top_share(
     df: DataFrame, key: str, groups: Sequence[str], value: str, divisor: int, maximize: bool = True, name: str = "kept"
 ) -> DataFrame:

@@ -8,7 +8,7 @@ instance and model.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,30 +62,26 @@ def _class_probability(vote: Column, cls: int) -> Column:
 
 
 def weighted_average(
-    df: DataFrame, weights: Mapping[str, float], classes: int = 2, votes: str = "votes", digits: int = 9
+    df: DataFrame, weights: Mapping[str, float], classes: int = 2, votes: str = "votes", tolerance: float = 1e-9
 ) -> DataFrame:
     """Weighted mean probability over the models present (weight 1 when none is given)
-    and the first class with the largest mean. Means are compared at `digits` decimals
-    so that the order of summation cannot decide a tie."""
+    and the first class with the largest mean. Means closer than `tolerance` are equal, so
+    that the order of summation cannot decide a tie."""
     table = literal_map(weights)
+    model_weights = F.transform(votes, lambda v: F.coalesce(F.try_element_at(table, v["model"]), F.lit(1.0)))
 
-    def weight(v: Column) -> Column:
-        return F.coalesce(F.try_element_at(table, v["model"]), F.lit(1.0))
+    def add(acc: Column, x: Column) -> Column:
+        return acc + x
 
-    def total(value: Callable[[Column], Column]) -> Column:
-        return F.aggregate(votes, F.lit(0.0), lambda acc, v: acc + value(v))
+    def mean(cls: int) -> Column:
+        parts = F.zip_with("__weights", votes, lambda w, v: w * _class_probability(v, cls))
+        return F.try_divide(F.aggregate(parts, F.lit(0.0), add), F.col("__total"))
 
-    means = F.array(
-        *[
-            F.try_divide(total(lambda v, c=c: weight(v) * _class_probability(v, c)), total(weight))
-            for c in range(classes)
-        ]
-    )
-    out = df.withColumn("mean_probabilities", means)
-    compared = F.transform("mean_probabilities", lambda p: F.round(p, digits))
-    return out.withColumn("prediction", (F.array_position(compared, F.array_max(compared)) - 1).cast("int")).withColumn(
-        "confidence", F.get("mean_probabilities", F.col("prediction"))
-    )
+    out = df.withColumn("__weights", model_weights).withColumn("__total", F.aggregate("__weights", F.lit(0.0), add))
+    out = out.withColumn("mean_probabilities", F.array(*[mean(c) for c in range(classes)]))
+    near_top = F.transform("mean_probabilities", lambda p: p >= F.array_max("mean_probabilities") - tolerance)
+    out = out.withColumn("prediction", (F.array_position(near_top, True) - 1).cast("int"))
+    return out.withColumn("confidence", F.get("mean_probabilities", F.col("prediction"))).drop("__weights", "__total")
 
 
 def max_confidence(df: DataFrame, votes: str = "votes", digits: int = 9) -> DataFrame:

@@ -73,7 +73,7 @@ def class_report(
         )
 
     rows = F.concat("per_class", F.array(average("macro avg", False), average("weighted avg", True)))
-    return class_tallies(df, classes, keys, y, pred).select(*keys, F.inline(rows))
+    return class_tallies(df, classes, keys, y, pred).select(*keys, F.inline_outer(rows))
 
 
 def confusion_matrix(
@@ -94,7 +94,7 @@ def confusion_matrix(
             for i, (a, b) in enumerate(pairs)
         ]
     )
-    return wide.select(*keys, F.inline(cells))
+    return wide.select(*keys, F.inline_outer(cells))
 
 
 def roc_auc(
@@ -141,4 +141,4 @@ def metric_records(report: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
             for m, f in (("precision", "PERCENTAGE"), ("recall", "PERCENTAGE"), ("f1", "PERCENTAGE"), ("support", "RAW"))
         ]
     )
-    return report.select(*keys, F.inline(records))
+    return report.select(*keys, F.inline_outer(records))

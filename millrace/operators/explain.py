@@ -28,14 +28,14 @@ def linear_contributions(df: DataFrame, weights: Mapping[str, float], intercept:
     return df.withColumns({"base_value": base, "contributions": items})
 
 
-def rank_contributions(df: DataFrame, digits: int = 9) -> DataFrame:
+def rank_contributions(df: DataFrame) -> DataFrame:
     """Order contributions by size, largest first, feature order on ties, and add the
     direction text and the explained value (base plus all contributions)."""
-    ranked = F.array_sort(
+    ranked = F.sort_array(
         F.transform(
             "contributions",
             lambda c, i: F.struct(
-                (-F.round(F.abs(c["shap_value"]), digits)).alias("sort"),
+                (-F.abs(c["shap_value"])).alias("sort"),
                 i.alias("position"),
                 c["feature"].alias("feature"),
                 c["value"].alias("value"),
@@ -63,8 +63,9 @@ def top_features(k: int = TOP_DISPLAY) -> Column:
 
 
 def explanation_rows(ranked: DataFrame, key: str, k: int | None = None) -> DataFrame:
-    """One row per instance and feature, optionally only the top k."""
-    return ranked.select(key, F.inline(F.col("all_features") if k is None else top_features(k)))
+    """One row per instance and feature, optionally only the top k. The outer form keeps
+    Spark from adding a non-empty filter that would compute the arrays twice."""
+    return ranked.select(key, F.inline_outer(F.col("all_features") if k is None else top_features(k)))
 
 
 def explanation_text(prediction: Column, probability: Column) -> Column:

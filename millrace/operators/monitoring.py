@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from millrace.functions.quantiles import exact_quantiles
-from millrace.functions.scalars import micros, ratio, ts_text
+from millrace.functions.scalars import ratio, ts_text
+from millrace.functions.selection import edge_rows
 from millrace.operators.scaling import long_features
 
 # Limits of the monitor.
@@ -34,14 +34,12 @@ def request_log(requests: DataFrame, request_id: str = "request_id", ts: str = "
     )
 
 
-def first_rows(df: DataFrame, keys: Sequence[str], order: Column, n: int) -> DataFrame:
-    """At most n rows per key. Each task keeps n rows per key before the shuffle."""
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    return df.withColumn("__rn", position).where(F.col("__rn") <= n).drop("__rn")
+def first_rows(df: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:
+    return edge_rows(df, keys, order, n, latest=False)
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:
-    return first_rows(df, keys, F.col(order).desc(), n)
+    return edge_rows(df, keys, order, n, latest=True)
 
 
 def value_stats(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -63,8 +61,8 @@ def recent_window_stats(requests: DataFrame, features: Sequence[str], keys: Sequ
 
 def drift_baseline(requests: DataFrame, features: Sequence[str], keys: Sequence[str], order: str, n: int = BASELINE_REQUESTS) -> DataFrame:
     """Statistics of the first n requests, only where at least n have arrived."""
-    first = first_rows(requests.select(*keys, order, *features), keys, F.col(order), n)
-    stats = value_stats(long_features(first, features, keys).withColumn("__one", F.lit(1)), [*keys, "feature"])
+    first = first_rows(requests.select(*keys, order, *features), keys, order, n)
+    stats = value_stats(long_features(first, features, keys), [*keys, "feature"])
     return stats.where(F.col("n") >= n)
 
 
@@ -175,17 +173,25 @@ def alerts(metrics: DataFrame, keys: Sequence[str], drift: DataFrame | None = No
 def circuit_state(requests: DataFrame, keys: Sequence[str], order: str, error: str = "error", threshold: int = CIRCUIT_THRESHOLD) -> DataFrame:
     """Failures since the last success per key, and whether the circuit is open.
 
-    The last success comes from a partial aggregate; failures after it are counted in a
-    second one, so no key is walked in order in one task."""
+    The last success comes from a partial aggregate; only failures after it are then
+    counted, so no key is walked in order in one task."""
     keys = list(keys)
     rows = requests.select(*keys, F.col(order).alias("__o"), F.col(error).alias("__e"))
-    last_success = rows.groupBy(*keys).agg(F.max(F.when(F.col("__e") == 0, F.col("__o"))).alias("__ok"))
-    failing = (F.col("__e") == 1) & (F.col("__ok").isNull() | (F.col("__o") > F.col("__ok")))
-    return (
-        rows.join(last_success, keys)
+    stats = rows.groupBy(*keys).agg(
+        F.max(F.when(F.col("__e") == 0, F.col("__o"))).alias("__ok"), F.count_if(F.col("__e") == 1).alias("total_failures")
+    )
+    open_failures = (
+        rows.where(F.col("__e") == 1)
+        .join(stats.select(*keys, "__ok"), keys)
+        .where(F.col("__ok").isNull() | (F.col("__o") > F.col("__ok")))
         .groupBy(*keys)
-        .agg(F.sum("__e").alias("total_failures"), F.count_if(failing).alias("consecutive_failures"))
-        .withColumn("state", circuit_label(F.col("consecutive_failures"), threshold))
+        .agg(F.count("*").alias("__open"))
+    )
+    return stats.join(open_failures, keys, "left").select(
+        *keys,
+        "total_failures",
+        F.coalesce("__open", F.lit(0)).alias("consecutive_failures"),
+        circuit_label(F.coalesce("__open", F.lit(0)), threshold).alias("state"),
     )
 
 
@@ -198,7 +204,3 @@ def hourly_counts(events: DataFrame, ts: str = "ts") -> DataFrame:
     return events.groupBy(F.window(ts, "1 hour").alias("w"), "event_type").agg(
         F.count("*").alias("events"), F.sum("value").alias("total_value")
     )
-
-
-def window_start_micros(window: str = "w") -> Column:
-    return micros(F.col(f"{window}.start"))

@@ -14,7 +14,7 @@ from millrace.operators.features import minmax, zscore
 def long_features(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Rows (keys, feature, value) from a wide table."""
     cells = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features]
-    return df.select(*keys, F.inline(F.array(*cells)))
+    return df.select(*keys, F.inline_outer(F.array(*cells)))
 
 
 def scaler_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -28,7 +28,7 @@ def scaler_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
             for f in features
         ]
     )
-    return wide.select(F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), f"{f}.*") for f in features])))
+    return wide.select(F.inline_outer(F.array(*[F.struct(F.lit(f).alias("feature"), f"{f}.*") for f in features])))
 
 
 def scaler_map(scaler: DataFrame) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.hashing import key_hash
 from millrace.functions.prefix import hash_order_bucket, rank_in_group
+from millrace.functions.selection import edge_rows
 
 
 def random_split(df: DataFrame, key: Sequence[str], test_share: float = 0.2, name: str = "split") -> DataFrame:
@@ -54,8 +55,8 @@ def rows_of_saved_split(df: DataFrame, saved_keys: DataFrame, key: Sequence[str]
 
 
 def dev_sample(df: DataFrame, key: str, rows: int = 1000, development: bool = True) -> DataFrame:
-    """The first `rows` rows by key in development, everything otherwise."""
-    return df.orderBy(key).limit(rows) if development else df
+    """The first `rows` rows by integer key in development, everything otherwise."""
+    return edge_rows(df, [], key, rows, latest=False) if development else df
 
 
 def align_counts(x: DataFrame, y: DataFrame, key: Sequence[str]) -> DataFrame:

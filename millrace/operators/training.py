@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -126,21 +127,10 @@ def fold_summary(folds: DataFrame) -> DataFrame:
     return folds.agg(F.avg("accuracy").alias("mean_accuracy"), F.stddev_pop("accuracy").alias("std_accuracy"), F.count("*").alias("folds"))
 
 
-def _prefix_probabilities(model, sizes: Sequence[int]) -> Column:
-    """Class probabilities of the first n trees, for every n in `sizes`, from one array of
-    per-tree class probabilities."""
-    steps = [
-        F.struct(
-            F.lit(i + 1).alias("step"),
-            F.lit(n).alias("trees"),
-            F.transform(
-                F.sequence(F.lit(0), F.lit(model.numClasses - 1)),
-                lambda c, n=n: F.aggregate(F.slice("per_tree", 1, n), F.lit(0.0), lambda acc, p: acc + F.get(p, c)),
-            ).alias("votes"),
-        )
-        for i, n in enumerate(sizes)
-    ]
-    return F.array(*steps)
+def _prefix_votes(trees: int, classes: int) -> Column:
+    """Summed class probabilities of the first `trees` trees, from the per-tree array."""
+    first = F.slice("per_tree", 1, trees)
+    return F.array(*[F.aggregate(F.transform(first, lambda p: p[c]), F.lit(0.0), lambda acc, x: acc + x) for c in range(classes)])
 
 
 def stage_sizes(n_estimators: int, epochs: int) -> list[int]:
@@ -158,21 +148,28 @@ def staged_metrics(forest_model, test: DataFrame, classes: Sequence[int], epochs
         one = tree.copy().setProbabilityCol(f"__p{i}").setRawPredictionCol("").setPredictionCol("")
         rows = one.transform(rows)
     per_tree = F.array(*[vector_to_array(f"__p{i}") for i in range(len(fitted.trees))])
-    staged = rows.select(key, label, per_tree.alias("per_tree")).select(
-        key, label, F.inline(_prefix_probabilities(fitted, stage_sizes(len(fitted.trees), epochs)))
-    )
+    steps = [
+        F.struct(F.lit(i + 1).alias("step"), F.lit(n).alias("trees"), _prefix_votes(n, fitted.numClasses).alias("votes"))
+        for i, n in enumerate(stage_sizes(len(fitted.trees), epochs))
+    ]
+    staged = rows.select(key, label, per_tree.alias("per_tree")).select(key, label, F.inline(F.array(*steps)))
     scored = staged.withColumn("pred", F.array_position("votes", F.array_max("votes")) - 1)
     return weighted_scores(scored, classes, ["step", "trees"], label).select("step", "trees", "accuracy", "f1")
 
 
 def run_trials(train: DataFrame, test: DataFrame, trials: Sequence[Mapping], label: str = "y") -> DataFrame:
     """Fit each assignment of a bounded trial list on shared data and score it: one row per
-    trial with its parameters and metrics. Every fit is a distributed job."""
+    trial with its parameters and metrics. Every fit is a distributed job; only the one
+    metrics row of a trial reaches the driver."""
+    spark = train.sparkSession
     train, test = train.persist(), test.persist()
-    results = []
-    for number, params in enumerate(trials):
-        model = fit(forest(label=label, **params), train)
-        metrics = weighted_scores(score(model, test, keep=(label,)), [0, 1], (), label)
-        described = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in sorted(params.items())]))
-        results.append(metrics.select(F.lit(number).alias("trial"), described.alias("params"), "accuracy", "precision", "recall", "f1"))
-    return reduce(DataFrame.unionByName, results)
+    rows = []
+    try:
+        for number, params in enumerate(trials):
+            model = fit(forest(label=label, **params), train)
+            metrics = weighted_scores(score(model, test, keep=(label,)), [0, 1], (), label).first()
+            rows.append((number, json.dumps(dict(sorted(params.items()))), *metrics))
+    finally:
+        train.unpersist()
+        test.unpersist()
+    return spark.createDataFrame(rows, "trial int, params string, accuracy double, precision double, recall double, f1 double")

@@ -62,7 +62,9 @@ def feat_from(events: DataFrame) -> DataFrame:
 
 def li(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("key"),
+        F.concat_ws(
+            "-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.date_format("l_shipdate", "yyyyMMdd")
+        ).alias("key"),
         *LI_FEATURES,
         (F.col("l_returnflag") == "R").cast("int").alias("y"),
         "l_orderkey",
@@ -166,7 +168,7 @@ def trials(spark: SparkSession, sf: str) -> DataFrame:
         F.max("event_id").alias("last_event"),
     ).select(
         "trial",
-        (F.col("trial") % 5).alias("experiment"),
+        F.floor(F.col("trial") / 30).alias("experiment"),
         F.when(state == 0, "Failed").when(state == 1, "Running").when(state == 2, "Pending").otherwise("Succeeded").alias("status"),
         "created",
         F.when(state > 2, F.col("accuracy")).alias("accuracy"),
@@ -225,7 +227,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(event_type = 'error' AS INTEGER) AS target, ts, event_id // 1000 AS batch_id
         FROM events"""),
     "li": ((), """
-        SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS key,
+        SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, strftime(l_shipdate, '%Y%m%d')) AS key,
                l_quantity, l_extendedprice, l_discount, l_tax,
                CAST(l_returnflag = 'R' AS INTEGER) AS y, l_orderkey
         FROM lineitem"""),
@@ -282,7 +284,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                'accuracy' AS name, value / 500 AS value, event_id
         FROM events"""),
     "trials": ((), f"""
-        SELECT trial, trial % 5 AS experiment, CASE st WHEN 0 THEN 'Failed' WHEN 1 THEN 'Running' WHEN 2 THEN 'Pending' ELSE 'Succeeded' END AS status,
+        SELECT trial, trial // 30 AS experiment, CASE st WHEN 0 THEN 'Failed' WHEN 1 THEN 'Running' WHEN 2 THEN 'Pending' ELSE 'Succeeded' END AS status,
                created, CASE WHEN st > 2 THEN accuracy END AS accuracy
         FROM (SELECT user_id AS trial, {sql_hash("'trial-' || user_id")} % 10 AS st, min(ts) AS created,
                      arg_max(value, event_id) / 500 AS accuracy FROM events GROUP BY user_id)"""),

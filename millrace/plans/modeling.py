@@ -156,7 +156,7 @@ CONTRIBUTIONS = """
           UNION ALL SELECT key, 1, 'l_extendedprice', l_extendedprice, 0.00004::DOUBLE * (l_extendedprice - m2) FROM li, s
           UNION ALL SELECT key, 2, 'l_discount', l_discount, 20.0::DOUBLE * (l_discount - m3) FROM li, s
           UNION ALL SELECT key, 3, 'l_tax', l_tax, 5.0::DOUBLE * (l_tax - m4) FROM li, s),
-    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY key ORDER BY -round(abs(shap), 9), ord) AS INTEGER) AS rank FROM c),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY key ORDER BY abs(shap) DESC, ord) AS INTEGER) AS rank FROM c),
     pv AS (SELECT key, any_value(base) + sum(shap) AS value FROM c, b GROUP BY key)
 """
 

@@ -74,7 +74,7 @@ def features_v1(spark, sf):
     "features_v2",
     FILLED + FIT + """
     SELECT id, round((f1 - m1) / s1, 6) AS f1_v2, round((f2 - m2) / s2, 6) AS f2_v2, round(f1 / (f2 + 0.001::DOUBLE), 4) AS feature_ratio,
-           round(f1 * f2, 6) AS feature_product, round(f1 * f1 + f2 * f2, 6) AS feature_polynomial, 'v2_advanced' AS version_marker
+           round(f1 * f2, 4) AS feature_product, round(f1 * f1 + f2 * f2, 4) AS feature_polynomial, 'v2_advanced' AS version_marker
     FROM g, s
     """,
     views=("feat",),
@@ -82,8 +82,8 @@ def features_v1(spark, sf):
 def features_v2(spark, sf):
     out = features.versioned_features(feat(spark, sf), "2.1", "f1", "f2")
     return out.select(
-        "id", *r6("f1_v2", "f2_v2", "feature_product", "feature_polynomial"),
-        F.round("feature_ratio", 4).alias("feature_ratio"), "version_marker",
+        "id", *r6("f1_v2", "f2_v2"),
+        *[F.round(c, 4).alias(c) for c in ("feature_ratio", "feature_product", "feature_polynomial")], "version_marker",
     )
 
 

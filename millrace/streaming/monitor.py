@@ -21,12 +21,12 @@ def log_requests(requests: DataFrame) -> DataFrame:
 
 
 def window_fold(features: Sequence[str], keys: Sequence[str], order: str) -> Fold:
-    """State: the first rows (baseline) and the latest rows (window) of every key. Both are
-    trimmed per task before the shuffle, so a hot key costs no more than any other."""
+    """State: the first rows (baseline) and the latest rows (window) of every key. Rows that
+    cannot be among them are dropped before the shuffle, also for a hot key."""
 
     def trim(df: DataFrame, kind: str) -> DataFrame:
         if kind == "first":
-            return monitoring.first_rows(df, keys, F.col(order), monitoring.BASELINE_REQUESTS)
+            return monitoring.first_rows(df, keys, order, monitoring.BASELINE_REQUESTS)
         return monitoring.latest_rows(df, keys, order, monitoring.WINDOW_SIZE)
 
     def fold(state: DataFrame | None, batch: DataFrame) -> DataFrame:
