@@ -120,25 +120,25 @@ def best_trial(spark, sf):
     """
     SELECT experiment, count(*) FILTER (status = 'Succeeded') AS succeeded, count(*) FILTER (status = 'Failed') AS failed,
            count(*) FILTER (status = 'Running') AS running, count(*) FILTER (status = 'Pending') AS pending,
-           count(*) FILTER (status IN ('Succeeded', 'Failed')) * 100 // 50 AS progress FROM trials GROUP BY experiment
+           count(*) FILTER (status IN ('Succeeded', 'Failed')) * 100 // 5 AS progress FROM trials GROUP BY experiment
     """,
     views=("trials",),
 )
 def trial_progress(spark, sf):
-    return search.trial_progress(trials(spark, sf), "experiment", 50)
+    return search.trial_progress(trials(spark, sf), "experiment", 5)
 
 
 STATUS = """
     , f AS (SELECT experiment, max(accuracy) AS best, count(*) FILTER (status IN ('Succeeded', 'Failed')) AS finished,
                    count(*) FILTER (status = 'Failed') AS failed FROM trials GROUP BY experiment),
-    e AS (SELECT experiment, round(best, 6) AS best, finished, failed, coalesce(best >= 0.5, false) AS goal_reached, finished >= 20 AS max_trials_reached,
-                 failed > 3 AS max_failures_reached,
-                 CASE WHEN failed > 3 THEN 'Failed' WHEN coalesce(best >= 0.5, false) OR finished >= 20 THEN 'Succeeded' ELSE 'Running' END AS state FROM f)
+    e AS (SELECT experiment, round(best, 6) AS best, finished, failed, coalesce(best >= 0.5, false) AS goal_reached, finished >= 4 AS max_trials_reached,
+                 failed > 1 AS max_failures_reached,
+                 CASE WHEN failed > 1 THEN 'Failed' WHEN coalesce(best >= 0.5, false) OR finished >= 4 THEN 'Succeeded' ELSE 'Running' END AS state FROM f)
 """
 
 
 def experiments(spark, sf):
-    out = search.experiment_status(trials(spark, sf), "experiment", "accuracy", 0.5, 20, 3)
+    out = search.experiment_status(trials(spark, sf), "experiment", "accuracy", 0.5, 4, 1)
     return out.withColumn("best", F.round("best", 6))
 
 

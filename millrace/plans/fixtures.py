@@ -168,7 +168,7 @@ def trials(spark: SparkSession, sf: str) -> DataFrame:
         F.max("event_id").alias("last_event"),
     ).select(
         "trial",
-        F.floor(F.col("trial") / 30).alias("experiment"),
+        F.floor(F.col("trial") / 5).alias("experiment"),
         F.when(state == 0, "Failed").when(state == 1, "Running").when(state == 2, "Pending").otherwise("Succeeded").alias("status"),
         "created",
         F.when(state > 2, F.col("accuracy")).alias("accuracy"),
@@ -284,13 +284,13 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                'accuracy' AS name, value / 500 AS value, event_id
         FROM events"""),
     "trials": ((), f"""
-        SELECT trial, trial // 30 AS experiment, CASE st WHEN 0 THEN 'Failed' WHEN 1 THEN 'Running' WHEN 2 THEN 'Pending' ELSE 'Succeeded' END AS status,
+        SELECT trial, trial // 5 AS experiment, CASE st WHEN 0 THEN 'Failed' WHEN 1 THEN 'Running' WHEN 2 THEN 'Pending' ELSE 'Succeeded' END AS status,
                created, CASE WHEN st > 2 THEN accuracy END AS accuracy
         FROM (SELECT user_id AS trial, {sql_hash("'trial-' || user_id")} % 10 AS st, min(ts) AS created,
                      arg_max(value, event_id) / 500 AS accuracy FROM events GROUP BY user_id)"""),
     "trial_params": (("trials",), f"""
         SELECT trial, 50 + 50 * (g // 72) AS n_estimators, 5 + 5 * (g // 18 % 4) AS max_depth, 2 + 4 * (g // 6 % 3) AS min_samples_split,
-               round(0.3 + 0.3 * (g // 2 % 3), 6) AS max_features_ratio, CASE WHEN g % 2 = 0 THEN 'gini' ELSE 'entropy' END AS criterion
+               round(0.3::DOUBLE + 0.3::DOUBLE * (g // 2 % 3), 6) AS max_features_ratio, CASE WHEN g % 2 = 0 THEN 'gini' ELSE 'entropy' END AS criterion
         FROM (SELECT trial, {sql_hash("trial")} % 288 AS g FROM trials)"""),
     "reqs": (("ev",), """
         SELECT event_id AS request_id, user_id % 5 AS endpoint, ts, value * 10 AS latency_ms,
