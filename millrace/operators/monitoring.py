@@ -102,27 +102,38 @@ def recent_rate(requests: DataFrame, keys: Sequence[str], order: str, prediction
     )
 
 
-def prediction_distribution(requests: DataFrame, keys: Sequence[str], prediction: str = "prediction") -> DataFrame:
-    return requests.groupBy(*keys).agg(
+def _distribution(prediction: str) -> list[Column]:
+    return [
         F.count("*").alias("total_predictions"),
         F.count_if(F.col(prediction) == 1).alias("positive_count"),
         F.count_if(F.col(prediction) == 0).alias("negative_count"),
         F.avg((F.col(prediction) == 1).cast("double")).alias("positive_rate"),
-    )
+    ]
+
+
+def prediction_distribution(requests: DataFrame, keys: Sequence[str], prediction: str = "prediction") -> DataFrame:
+    return requests.groupBy(*keys).agg(*_distribution(prediction))
+
+
+def latency_tails(requests: DataFrame, keys: Sequence[str], latency: str = "latency_ms") -> DataFrame:
+    return exact_quantiles(requests, keys, latency, {"p95_latency_ms": 0.95, "p99_latency_ms": 0.99})
 
 
 def latency_percentiles(requests: DataFrame, keys: Sequence[str], latency: str = "latency_ms") -> DataFrame:
     mean = requests.groupBy(*keys).agg(F.avg(latency).alias("avg_latency_ms"))
-    tails = exact_quantiles(requests, keys, latency, {"p95_latency_ms": 0.95, "p99_latency_ms": 0.99})
-    return mean.join(tails, list(keys))
+    return mean.join(latency_tails(requests, keys, latency), list(keys))
 
 
 def service_metrics(requests: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """All metrics the alerts read, one row per key."""
     keys = list(keys)
-    totals = requests.groupBy(*keys).agg(F.count("*").alias("total_requests"), F.sum("error").alias("error_count"))
-    out = totals.join(prediction_distribution(requests, keys), keys)
-    out = out.join(latency_percentiles(requests, keys), keys).join(recent_rate(requests, keys, order), keys)
+    totals = requests.groupBy(*keys).agg(
+        F.count("*").alias("total_requests"),
+        F.sum("error").alias("error_count"),
+        F.avg("latency_ms").alias("avg_latency_ms"),
+        *_distribution("prediction"),
+    )
+    out = totals.join(latency_tails(requests, keys), keys).join(recent_rate(requests, keys, order), keys)
     return out.withColumn("error_rate", ratio(F.col("error_count").cast("double"), F.col("total_requests").cast("double")))
 
 

@@ -104,58 +104,65 @@ def failure_cause(logs: Column, message: Column) -> Column:
     return F.coalesce(*rules, F.lit(UNKNOWN_CAUSE))
 
 
-def run_stats(nodes: DataFrame, run: str = "run", digits: int = 2) -> DataFrame:
-    """Component counts and durations per run; 0 where no duration is known."""
-
+def _stat_columns(digits: int) -> list[Column]:
     micro = _micros(F.col("duration"))
 
     def rounded(value: Column) -> Column:
         return F.round(F.coalesce(value / 1000000, F.lit(0.0)), digits)
 
-    return nodes.groupBy(run).agg(
+    return [
         F.count("*").alias("total_components"),
         F.count_if(F.col("status") == "Succeeded").alias("completed_components"),
         F.count_if(F.col("status").isin(*FAILED_STATES)).alias("failed_components"),
         rounded(F.try_divide(F.sum(micro), F.count(micro))).alias("avg_component_duration"),
         rounded(F.max(micro)).alias("max_component_duration"),
         rounded(F.sum(micro)).alias("total_execution_time"),
-    )
+    ]
 
 
-def run_cost(nodes: DataFrame, run: str = "run", prices: Mapping[str, float] = PRICES, digits: int = 2) -> DataFrame:
-    """Resource hours and estimated cost per run."""
+def _hour_columns() -> list[Column]:
     micro = F.coalesce(_micros(F.col("duration")), F.lit(0))
     gpu = any_of(F.lower("component"), GPU_TERMS)
 
     def hours(on_gpu: int, on_cpu: int) -> Column:
         return F.sum(F.when(gpu, micro * on_gpu).otherwise(micro * on_cpu)) / 3600000000.0
 
-    sums = nodes.groupBy(run).agg(
+    return [
         hours(0, CPU_COUNT).alias("cpu_hours"),
         hours(1, 0).alias("gpu_hours"),
         hours(GPU_MEMORY_GB, CPU_MEMORY_GB).alias("memory_gb_hours"),
-    )
-    cost = sum((F.col(f"{kind}_hours") * price for kind, price in prices.items()), F.lit(0.0))
-    return sums.withColumn("estimated_cost", cost).select(
+    ]
+
+
+def _cost(prices: Mapping[str, float]) -> Column:
+    return sum((F.col(f"{kind}_hours") * price for kind, price in prices.items()), F.lit(0.0))
+
+
+def run_stats(nodes: DataFrame, run: str = "run", digits: int = 2) -> DataFrame:
+    """Component counts and durations per run; 0 where no duration is known."""
+    return nodes.groupBy(run).agg(*_stat_columns(digits))
+
+
+def run_cost(nodes: DataFrame, run: str = "run", prices: Mapping[str, float] = PRICES, digits: int = 2) -> DataFrame:
+    """Resource hours and estimated cost per run."""
+    hours = nodes.groupBy(run).agg(*_hour_columns()).withColumn("estimated_cost", _cost(prices))
+    return hours.select(
         run, *[F.round(c, digits).alias(c) for c in ("cpu_hours", "gpu_hours", "memory_gb_hours", "estimated_cost")]
     )
 
 
-def compare_runs(nodes: DataFrame, runs: DataFrame, run: str = "run") -> DataFrame:
-    """Short id, state, components, failures, minutes and cost of every run."""
-    stats, cost = run_stats(nodes, run), run_cost(nodes, run)
-    return (
-        stats.join(cost, run)
-        .join(runs.select(run, "state"), run)
-        .select(
-            run,
-            F.concat(F.substring(F.col(run).cast("string"), 1, 8), F.lit("...")).alias("run_id"),
-            F.col("state").alias("status"),
-            F.col("total_components").alias("components"),
-            F.col("failed_components").alias("failures"),
-            F.round(F.col("total_execution_time") / 60, 1).alias("duration_minutes"),
-            "estimated_cost",
-        )
+def compare_runs(nodes: DataFrame, runs: DataFrame, run: str = "run", prices: Mapping[str, float] = PRICES) -> DataFrame:
+    """Short id, state, components, failures, minutes and cost of every run, from one
+    aggregate over the nodes."""
+    summary = nodes.groupBy(run).agg(*_stat_columns(2), *_hour_columns())
+    return summary.join(runs.select(run, "state"), run).select(
+        run,
+        F.concat(F.substring(F.col(run).cast("string"), 1, 8), F.lit("...")).alias("run_id"),
+        F.col("state").alias("status"),
+        F.col("total_components").alias("components"),
+        F.col("failed_components").alias("failures"),
+        F.round(F.col("total_execution_time") / 60, 1).alias("duration_minutes"),
+        F.round(_cost(prices), 2).alias("estimated_cost"),
     )
 
 

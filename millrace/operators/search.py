@@ -116,7 +116,8 @@ def halving_schedule(max_resource: int, min_resource: int = 1, eta: int = 3) ->
 
 
 def halving_rungs(metrics: DataFrame, eta: int = 3, trial: str = "trial", rung: str = "step", value: str = "value", maximize: bool = True) -> DataFrame:
-    """Flag the best floor(n / eta) trials of each rung, which go on to the next."""
+    """Flag the best floor(n / eta) trials of each rung, which go on to the next. The metrics
+    are read several times: pass a stored table."""
     return top_share(metrics, trial, [rung], value, eta, maximize, "promoted")
 
 

@@ -7,7 +7,7 @@ from millrace.functions.scalars import ts_text
 from millrace.operators import search
 from millrace.plans.fixtures import sql_hash, trial_metrics, trials
 from millrace.plans.registry import query
-from millrace.session import scratch_path
+from millrace.session import materialize, scratch_path
 from millrace.sources import synth
 from millrace.sources.files import append_lines
 from millrace.sources.tables import table
@@ -66,6 +66,11 @@ def trial_assignments(spark, sf):
     return search.assignments(trial_params(spark, sf), "trial", ["n_estimators", "max_depth", "criterion"])
 
 
+def stored_metrics(spark, sf):
+    """The trial metrics as a table of their own, for operators that read them several times."""
+    return materialize(trial_metrics(spark, sf), "trial-metrics")
+
+
 @query(
     "halving_rungs",
     f"""
@@ -76,7 +81,7 @@ def trial_assignments(spark, sf):
     views=("trial_metrics",),
 )
 def halving_rungs(spark, sf):
-    out = search.halving_rungs(trial_metrics(spark, sf), eta=3)
+    out = search.halving_rungs(stored_metrics(spark, sf), eta=3)
     return out.select("trial", "step", F.round("value", 6).alias("value"), "promoted")
 
 
@@ -89,7 +94,7 @@ def halving_rungs(spark, sf):
     views=("trial_metrics",),
 )
 def median_stop(spark, sf):
-    return search.median_stop(trial_metrics(spark, sf))
+    return search.median_stop(stored_metrics(spark, sf))
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -43,5 +43,13 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/millrace/{purpose}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result that several branches read to the shared folder and read it back: it
+    is computed once, its lineage ends there, and losing an executor costs no recomputation."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
