@@ -157,6 +157,14 @@ def staged_metrics(forest_model, test: DataFrame, classes: Sequence[int], epochs
     return weighted_scores(scored, classes, ["step", "trees"], label).select("step", "trees", "accuracy", "f1")
 
 
+def boosted_curve(model, df: DataFrame, label: str = "y") -> DataFrame:
+    """Loss after every boosting iteration of one fitted model, as (step, loss)."""
+    fitted = model.stages[-1] if isinstance(model, PipelineModel) else model
+    rows = as_vectors(df).select(F.col(label).alias(fitted.getLabelCol()), "features")
+    losses = fitted.evaluateEachIteration(rows)
+    return df.sparkSession.createDataFrame([(i + 1, float(x)) for i, x in enumerate(losses)], "step int, loss double")
+
+
 def run_trials(train: DataFrame, test: DataFrame, trials: Sequence[Mapping], label: str = "y") -> DataFrame:
     """Fit each assignment of a bounded trial list on shared data and score it: one row per
     trial with its parameters and metrics. Every fit is a distributed job; only the one

@@ -105,3 +105,5 @@ def test_boosting_and_balanced_weights(data):
     assert sums[0] == pytest.approx(sums[1])
     model = training.fit(training.boosted(5, 3), data)
     assert evaluation.accuracy(training.score(model, data)).first().accuracy > 0.9
+    losses = [r.loss for r in training.boosted_curve(model, data).orderBy("step").collect()]
+    assert len(losses) == 5 and losses[-1] < losses[0]
