@@ -17,7 +17,7 @@ def create(uri: str):
     """Output stream of a new file; its folder is made where the file system has folders."""
     system, path = resolve(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def open_random(uri: str):

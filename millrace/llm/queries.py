@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm.byte_bpe import encode_decode
 from millrace.llm.packing import pack
+from millrace.llm.sharding import external_shuffle, write_shards
 from millrace.llm.token_files import token_files
+from millrace.llm.warc import archive
 from millrace.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +24,18 @@ def register(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@register
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    coded = encode_decode(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.withColumnRenamed("key", "doc_id")
+
+
+@register
+def op7_external_shuffle(spark: SparkSession, folder: str) -> DataFrame:
+    shards = spark.read.parquet(write_shards(external_shuffle(table(spark, folder, "documents"))))
+    return shards.select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @register
 def op8_pack_nnls(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -30,3 +46,19 @@ def op8_pack_nnls(spark: SparkSession, folder: str) -> DataFrame:
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     read = token_files(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return read.withColumnRenamed("key", "doc_id").select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@register
+def op9_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    return archive(table(spark, folder, "pages"))
+
+
+SQL["op9_warc_index"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+     m AS (SELECT payload_digest, max(page_id) AS kept FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT d.page_id, payload_bytes, d.payload_digest,
+       CASE WHEN m.kept IS NOT NULL AND m.kept <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN m.kept <> d.page_id THEN m.kept END AS refers_to
+FROM d LEFT JOIN m ON d.payload_digest = m.payload_digest AND d.payload_bytes >= 1000
+"""
