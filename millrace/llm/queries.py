@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.byte_bpe import encode_decode
+from millrace.llm.near_vectors import near_duplicates
+from millrace.llm.neighbours import nearest_neighbours
 from millrace.llm.packing import pack
 from millrace.llm.sharding import external_shuffle, write_shards
 from millrace.llm.token_files import token_files
@@ -24,12 +26,22 @@ def register(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@register
+def op2_collision_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @register
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     coded = encode_decode(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return coded.withColumnRenamed("key", "doc_id")
 
 
+@register
+def op5_kmeans_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "embeddings"))
+
+
 @register
 def op7_external_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     shards = spark.read.parquet(write_shards(external_shuffle(table(spark, folder, "documents"))))
@@ -62,3 +74,20 @@ SELECT d.page_id, payload_bytes, d.payload_digest,
        CASE WHEN m.kept <> d.page_id THEN m.kept END AS refers_to
 FROM d LEFT JOIN m ON d.payload_digest = m.payload_digest AND d.payload_bytes >= 1000
 """
+
+SQL["op5_kmeans_near_vectors"] = """
+WITH RECURSIVE g AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0 AND len(list_filter(embedding, lambda v: v <> 0)) > 0
+), n AS (SELECT vec_id, x, len(x) AS dim, sqrt(list_inner_product(x, x)) AS norm FROM g),
+links AS (
+    SELECT a.vec_id AS u, b.vec_id AS v FROM n a JOIN n b ON a.dim = b.dim AND a.vec_id <> b.vec_id
+    WHERE list_inner_product(a.x, b.x) / (a.norm * b.norm) >= 0.95
+), reach AS (
+    SELECT vec_id AS u, vec_id AS v FROM embeddings
+    UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+), degree AS (SELECT u, count(*) AS c FROM links GROUP BY u),
+least_id AS (SELECT u, min(v) AS m FROM reach GROUP BY u)
+SELECT e.vec_id, CAST(coalesce(d.c, 0) AS BIGINT) AS n_links, m.m AS component_id, e.vec_id = m.m AS kept
+FROM embeddings e LEFT JOIN degree d ON d.u = e.vec_id JOIN least_id m ON m.u = e.vec_id
+"""
