@@ -12,6 +12,7 @@ from millrace.llm.byte_bpe import encode_decode
 from millrace.llm.near_vectors import near_duplicates
 from millrace.llm.neighbours import nearest_neighbours
 from millrace.llm.packing import pack
+from millrace.llm.quality import fit_quality, score_quality
 from millrace.llm.sharding import external_shuffle, write_shards
 from millrace.llm.token_files import token_files
 from millrace.llm.warc import archive
@@ -37,6 +38,19 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return coded.withColumnRenamed("key", "doc_id")
 
 
+def training_rows(labels: DataFrame) -> DataFrame:
+    """Labels that may be learnt from."""
+    return labels.where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) != 1)
+
+
+@register
+def op4_quality_crf(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    field = fit_quality(docs, training_rows(table(spark, folder, "labels")))
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
+    return score_quality(docs, field).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @register
 def op5_kmeans_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "embeddings"))
