@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.byte_bpe import encode_decode
+from millrace.llm.jaccard import similar_groups
 from millrace.llm.near_vectors import near_duplicates
 from millrace.llm.neighbours import nearest_neighbours
 from millrace.llm.packing import pack
@@ -56,6 +57,11 @@ def op5_kmeans_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "embeddings"))
 
 
+@register
+def op6_heavy_light_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_groups(table(spark, folder, "documents"))
+
+
 @register
 def op7_external_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     shards = spark.read.parquet(write_shards(external_shuffle(table(spark, folder, "documents"))))
@@ -105,3 +111,17 @@ least_id AS (SELECT u, min(v) AS m FROM reach GROUP BY u)
 SELECT e.vec_id, CAST(coalesce(d.c, 0) AS BIGINT) AS n_links, m.m AS component_id, e.vec_id = m.m AS kept
 FROM embeddings e LEFT JOIN degree d ON d.u = e.vec_id JOIN least_id m ON m.u = e.vec_id
 """
+
+SQL["op6_heavy_light_jaccard"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS g
+    FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 4, 1))) AS i FROM w WHERE len(ws) > 0)
+), n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 80 * (p.c + q.c - k)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, CAST(coalesce(n.c, 0) AS BIGINT) AS n_shingles, (SELECT min(y) FROM reach r WHERE r.x = d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+"""
