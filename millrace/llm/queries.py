@@ -15,6 +15,7 @@ from millrace.llm.neighbours import nearest_neighbours
 from millrace.llm.packing import pack
 from millrace.llm.quality import fit_quality, score_quality
 from millrace.llm.sharding import external_shuffle, write_shards
+from millrace.llm.suffixes import remove_repeats
 from millrace.llm.token_files import token_files
 from millrace.llm.warc import archive
 from millrace.sources.tables import table
@@ -28,6 +29,11 @@ def register(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@register
+def op1_bwt_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents")).withColumnRenamed("key", "doc_id")
+
+
 @register
 def op2_collision_ann(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
