@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.llm.words import mixed
 from millrace.session import materialize
@@ -349,13 +350,14 @@ def repeated_pieces(rows: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
-    """One row per row of `docs`: key, n_bytes, n_removed, n_spans, kept_sha256, and with
-    `with_text` the kept text (without what a cut leaves of a character)."""
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn("row", F.xxhash64("key", "text"))
-    kind = rows.schema["key"].dataType.simpleString()
+    """One row per row of `docs`: key, n_bytes, n_removed, n_spans, kept_sha256. With `with_text`
+    also kept_text (without what a cut leaves of a character; null stays null) and all other
+    columns as the struct `others`."""
+    other = [F.struct(*(c for c in docs.columns if c != text)).alias("others")] if with_text else []
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), *other).withColumn("row", F.xxhash64("key", "text"))
     found = repeated_pieces(rows, length)
     spans = found.groupBy(F.col("row").alias("own")).agg(F.collect_set(F.struct("start", "windows", "marks")).alias("spans"))
-    met = rows.join(spans, F.col("row") == F.col("own"), "left").select("key", "text", "spans")
+    met = rows.join(spans, F.col("row") == F.col("own"), "left").select("key", "text", "spans", *(["others"] if with_text else []))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -370,6 +372,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, key: str = "doc_id", text
                 out.append((size, removed, runs, hashlib.sha256(raw).hexdigest(), raw.decode("utf-8", "ignore") if with_text and removed else t))
             cols = list(zip(*out, strict=True)) or [(), (), (), (), ()]
             data = {"key": batch.column("key")} | {c: pa.array(v, pa.int64()) for c, v in zip(("n_bytes", "n_removed", "n_spans"), cols, strict=False)} | {"kept_sha256": pa.array(cols[3], pa.string())}
-            yield pa.RecordBatch.from_pydict(data | ({"kept_text": pa.array(cols[4], pa.string())} if with_text else {}))
+            yield pa.RecordBatch.from_pydict(data | ({"kept_text": pa.array(cols[4], pa.string()), "others": batch.column("others")} if with_text else {}))
 
-    return met.mapInArrow(cut, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text)
+    schema = StructType([rows.schema["key"]]).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
+    return met.mapInArrow(cut, schema.add("kept_text", "string").add(rows.schema["others"]) if with_text else schema)
