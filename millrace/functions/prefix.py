@@ -9,7 +9,6 @@ partial-aggregated table; their running sums are the offsets, and only rows of o
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -20,12 +19,18 @@ from millrace.functions.hashing import HASH_RANGE
 from millrace.session import shuffle_width
 
 BUCKET = "__bucket"
+STRETCH = 1024
 
 
 def _before(window):
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
+def plain_key(key: str) -> Column:
+    """The key as text that is never null: null has a text of its own, which no value has."""
+    return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("null"))
+
+
 def prefix_sums(
     df: DataFrame,
     keys: Sequence[str],
@@ -35,28 +40,43 @@ def prefix_sums(
     totals: bool = False,
 ) -> DataFrame:
     """Add, for each name in `sums`, `<name>_before`: the sum over earlier rows of the
-    same group. With `totals`, also `<name>_total` over the whole group."""
+    same group. With `totals`, also `<name>_total` over the whole group.
+
+    No row is lost: null keys are a group, and a null bucket (a null order value) comes
+    first. The window inside buckets and the join of the offsets use the same plain columns,
+    so the rows are shuffled once. Bucket totals are summed up in two levels: stretches of
+    `STRETCH` buckets side by side, then the stretches."""
     keys = list(keys)
-    base = df.withColumns({BUCKET: bucket, **{f"__{n}": c for n, c in sums.items()}})
-    per_bucket = base.groupBy(*keys, BUCKET).agg(*[F.sum(f"__{n}").alias(f"__{n}_b") for n in sums])
-    group = Window.partitionBy(*keys)
-    running = _before(group.orderBy(BUCKET))
-    offsets = per_bucket.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
-        F.col(BUCKET).alias("__k_bucket"),
-        *[F.coalesce(F.sum(f"__{n}_b").over(running), F.lit(0)).alias(f"__{n}_off") for n in sums],
-        *([F.sum(f"__{n}_b").over(group).alias(f"{n}_total") for n in sums] if totals else []),
+    plain = [f"__k{i}" for i in range(len(keys))]
+    spot = [*plain, BUCKET]
+    base = df.withColumns(
+        {
+            BUCKET: F.coalesce(bucket.cast("double"), F.lit(float("-inf"))),
+            **{p: plain_key(k) for p, k in zip(plain, keys, strict=True)},
+            **{f"__{n}": c for n, c in sums.items()},
+        }
     )
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys] + [F.col(BUCKET) == F.col("__k_bucket")],
+    stretch = F.when(F.col(BUCKET) > float("-inf"), F.floor(F.col(BUCKET) / STRETCH)).otherwise(F.lit(-(2**62)))
+    per_bucket = base.groupBy(*spot).agg(*[F.sum(f"__{n}").alias(f"__{n}_b") for n in sums]).withColumn("__stretch", stretch)
+    per_stretch = per_bucket.groupBy(*plain, "__stretch").agg(*[F.sum(f"__{n}_b").alias(f"__{n}_s") for n in sums])
+    group = Window.partitionBy(*plain)
+    far = per_stretch.select(
+        *plain,
+        "__stretch",
+        *[F.coalesce(F.sum(f"__{n}_s").over(_before(group.orderBy("__stretch"))), F.lit(0)).alias(f"__{n}_far") for n in sums],
+        *([F.sum(f"__{n}_s").over(group).alias(f"{n}_total") for n in sums] if totals else []),
     )
-    inside = _before(Window.partitionBy(*keys, BUCKET).orderBy(*order))
-    out = base.join(offsets, same).withColumns(
-        {f"{n}_before": F.col(f"__{n}_off") + F.coalesce(F.sum(f"__{n}").over(inside), F.lit(0)) for n in sums}
+    near = _before(Window.partitionBy(*plain, "__stretch").orderBy(BUCKET))
+    offsets = per_bucket.select(
+        *spot, "__stretch", *[F.coalesce(F.sum(f"__{n}_b").over(near), F.lit(0)).alias(f"__{n}_near") for n in sums]
+    ).join(far, [*plain, "__stretch"])
+    offsets = offsets.select(
+        *spot, *[(F.col(f"__{n}_far") + F.col(f"__{n}_near")).alias(f"__{n}_off") for n in sums], *([f"{n}_total" for n in sums] if totals else [])
     )
-    helper = [BUCKET, "__k_bucket", *[f"__k_{k}" for k in keys]]
-    return out.drop(*helper, *[f"__{n}" for n in sums], *[f"__{n}_off" for n in sums])
+    inside = _before(Window.partitionBy(*spot).orderBy(*order))
+    placed = base.withColumns({f"__{n}_in": F.coalesce(F.sum(f"__{n}").over(inside), F.lit(0)) for n in sums})
+    out = placed.join(offsets, spot).withColumns({f"{n}_before": F.col(f"__{n}_off") + F.col(f"__{n}_in") for n in sums})
+    return out.select(*df.columns, *[f"{n}_before" for n in sums], *([f"{n}_total" for n in sums] if totals else []))
 
 
 def rank_in_group(

@@ -22,9 +22,11 @@ def impute_global_mean(df: DataFrame, column: str, name: str | None = None) -> D
 def impute_batch_mean(df: DataFrame, column: str, batch: str, name: str | None = None) -> DataFrame:
     """Fill with the mean of the row's own batch; an all-null batch stays null.
 
-    A partial aggregate and a join rather than a window: no batch is gathered in one task."""
-    means = df.groupBy(batch).agg(F.avg(column).alias("__mean"))
-    return df.join(means, batch).withColumn(name or column, F.coalesce(column, "__mean")).drop("__mean")
+    A partial aggregate and a join rather than a window: no batch is gathered in one task.
+    Rows without a batch are a batch of their own."""
+    means = df.groupBy(F.col(batch).alias("__batch")).agg(F.avg(column).alias("__mean"))
+    filled = df.join(means, F.col(batch).eqNullSafe(F.col("__batch")), "left")
+    return filled.withColumn(name or column, F.coalesce(column, "__mean")).drop("__mean", "__batch")
 
 
 def impute_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -25,7 +25,11 @@ def votes_from_rows(
     probabilities: str = "probabilities",
 ) -> DataFrame:
     """One row per instance. Each model fills one slot, so a group is never larger than
-    the model list and the partial aggregate merges before the shuffle."""
+    the model list and the partial aggregate merges before the shuffle. A model that is not in
+    the list is an error, not a lost vote."""
+    known = F.coalesce(F.col(model).isin(list(models)), F.lit(False))
+    unknown = F.raise_error(F.concat(F.lit("model not in the list: "), F.coalesce(F.col(model).cast("string"), F.lit("null"))))
+    rows = rows.where(F.when(known, F.lit(True)).otherwise(unknown.cast("boolean")))
 
     def slot(name: str) -> Column:
         vote = F.struct(
@@ -56,29 +60,40 @@ def majority_vote(df: DataFrame, votes: str = "votes") -> DataFrame:
     ).drop("__best")
 
 
-def _class_probability(vote: Column, cls: int) -> Column:
+def _class_probability(vote: Column, cls: Column) -> Column:
     """Stored probability, or the one-hot form of the prediction when none is stored."""
     return F.coalesce(F.get(vote["probabilities"], cls), F.when(vote["prediction"] == cls, 1.0).otherwise(0.0))
 
 
 def weighted_average(
-    df: DataFrame, weights: Mapping[str, float], classes: int = 2, votes: str = "votes", tolerance: float = 1e-9
+    df: DataFrame, weights: Mapping[str, float], classes: int | None = None, votes: str = "votes", tolerance: float = 1e-9
 ) -> DataFrame:
     """Weighted mean probability over the models present (weight 1 when none is given)
     and the first class with the largest mean. Means closer than `tolerance` are equal, so
-    that the order of summation cannot decide a tie."""
+    that the order of summation cannot decide a tie. The number of classes is that of the
+    longest probability array or the largest predicted class, unless given."""
     table = literal_map(weights)
     model_weights = F.transform(votes, lambda v: F.coalesce(F.try_element_at(table, v["model"]), F.lit(1.0)))
 
     def add(acc: Column, x: Column) -> Column:
         return acc + x
 
-    def mean(cls: int) -> Column:
+    width = F.greatest(
+        F.lit(1),
+        F.coalesce(F.array_max(F.transform(votes, lambda v: F.size(v["probabilities"]))), F.lit(1)),
+        F.coalesce(F.array_max(F.transform(votes, lambda v: v["prediction"].cast("int"))) + 1, F.lit(1)),
+    )
+
+    def mean(cls: Column) -> Column:
         parts = F.zip_with("__weights", votes, lambda w, v: w * _class_probability(v, cls))
         return F.try_divide(F.aggregate(parts, F.lit(0.0), add), F.col("__total"))
 
     out = df.withColumn("__weights", model_weights).withColumn("__total", F.aggregate("__weights", F.lit(0.0), add))
-    out = out.withColumn("mean_probabilities", F.array(*[mean(c) for c in range(classes)]))
+    if classes is None:
+        means = F.transform(F.sequence(F.lit(0), width - 1), mean)
+    else:
+        means = F.array(*[mean(F.lit(c)) for c in range(classes)])
+    out = out.withColumn("mean_probabilities", means)
     near_top = F.transform("mean_probabilities", lambda p: p >= F.array_max("mean_probabilities") - tolerance)
     out = out.withColumn("prediction", (F.array_position(near_top, True) - 1).cast("int"))
     return out.withColumn("confidence", F.get("mean_probabilities", F.col("prediction"))).drop("__weights", "__total")
@@ -105,7 +120,10 @@ def max_confidence(df: DataFrame, votes: str = "votes", digits: int = 9) -> Data
 
 
 def combine(df: DataFrame, method: str, weights: Mapping[str, float] | None = None, votes: str = "votes") -> DataFrame:
-    """Dispatch by method name, with the aggregation record (method, models) attached."""
+    """Dispatch by method name, with the aggregation record (method, models) attached. An
+    instance without any vote is an error."""
+    some = F.raise_error(F.lit("no predictions to combine")).cast("boolean")
+    df = df.where(F.when(F.size(votes) > 0, F.lit(True)).otherwise(some))
     if method == "majority_vote":
         out = majority_vote(df, votes)
     elif method == "weighted_average":

@@ -15,12 +15,18 @@ def accuracy(df: DataFrame, keys: Sequence[str] = (), y: str = "y", pred: str =
     return df.groupBy(*keys).agg(F.avg((F.col(y) == F.col(pred)).cast("double")).alias("accuracy"))
 
 
+def _only(classes: Sequence[int], y: str, pred: str, value: Column) -> Column:
+    """The aggregate `value`, or an error where a row's class is not in the list."""
+    listed = F.coalesce(F.col(y).isin(list(classes)) & F.col(pred).isin(list(classes)), F.lit(False))
+    return F.when(F.count_if(~listed) == 0, value).otherwise(F.raise_error(F.lit(f"a class is not in the list {list(classes)}")).cast("long"))
+
+
 def class_tallies(
     df: DataFrame, classes: Sequence[int], keys: Sequence[str] = (), y: str = "y", pred: str = "pred"
 ) -> DataFrame:
     """Per group: `total`, `correct` and one struct per class with true positives,
-    support and number predicted."""
-    aggs: list[Column] = [F.count("*").alias("total"), F.count_if(F.col(y) == F.col(pred)).alias("correct")]
+    support and number predicted. Rows of a class outside the list are an error."""
+    aggs: list[Column] = [_only(classes, y, pred, F.count("*")).alias("total"), F.count_if(F.col(y) == F.col(pred)).alias("correct")]
     for i, c in enumerate(classes):
         aggs += [
             F.count_if((F.col(y) == c) & (F.col(pred) == c)).alias(f"__tp{i}"),
@@ -79,8 +85,9 @@ def class_report(
 def confusion_matrix(
     df: DataFrame, classes: Sequence[int], keys: Sequence[str] = (), y: str = "y", pred: str = "pred"
 ) -> DataFrame:
-    """Count of every (actual, predicted) pair of the given classes, zeros included."""
-    counts = df.groupBy(*keys, y, pred).agg(F.count("*").alias("__n"))
+    """Count of every (actual, predicted) pair of the given classes, zeros included. Rows of a
+    class outside the list are an error."""
+    counts = df.groupBy(*keys, y, pred).agg(_only(classes, y, pred, F.count("*")).alias("__n"))
     pairs = [(a, b) for a in classes for b in classes]
     wide = counts.groupBy(*keys).agg(
         *[
@@ -100,7 +107,8 @@ def confusion_matrix(
 def roc_auc(
     df: DataFrame, keys: Sequence[str] = (), y: str = "y", score: str = "p1", buckets: int | None = None
 ) -> DataFrame:
-    """Exact area under the ROC curve with ties averaged; 0 when a class is missing.
+    """Exact area under the ROC curve with ties averaged; 0 unless there are exactly the two
+    classes 0 and 1.
 
     Rows are counted per distinct score before any ordering, and the ordering itself
     runs over score buckets, so no group is sorted as a whole.
@@ -108,7 +116,7 @@ def roc_auc(
     scored = df.select(*keys, y, F.col(score).cast("double").alias("__s"))
     cuts = value_cuts(scored, "__s", buckets)
     per_score = scored.groupBy(*keys, "__s").agg(
-        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
+        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"), F.count_if(~F.coalesce(F.col(y).isin(0, 1), F.lit(False))).alias("other")
     )
     placed = prefix_sums(
         with_value_bucket(per_score, "__s", cuts, "__bucket_of_score"),
@@ -119,7 +127,7 @@ def roc_auc(
     )
     area = F.sum(F.col("pos").cast("double") * (F.col("neg_run_before") + F.col("neg") / 2))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return placed.groupBy(*keys).agg(ratio(area, pairs).alias("auc"))
+    return placed.groupBy(*keys).agg(F.when(F.sum("other") > 0, 0.0).otherwise(ratio(area, pairs)).alias("auc"))
 
 
 def overfit_gap(df: DataFrame, split: str = "split", keys: Sequence[str] = (), y: str = "y", pred: str = "pred") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from millrace.functions.prefix import rank_in_group
 from millrace.functions.scalars import lookup, single_row
 from millrace.operators.cleaning import impute_global_mean
+from millrace.session import materialize, shuffle_width
 
 # Type label and marker of each feature version.
 TYPE_LABELS = {
@@ -132,11 +133,13 @@ def map_encode(df: DataFrame, column: str, codes: Mapping[str, int], name: str)
 
 
 def label_codes(df: DataFrame, column: str) -> DataFrame:
-    """Distinct values and their 0-based position in sorted order. The value prefix is the
-    order bucket, so a long list of labels is ranked in parallel too."""
+    """Distinct values and their 0-based position in sorted order. The labels are dealt into
+    ranges of equal size and stored with their range, which is the order bucket: labels with
+    a common beginning are spread like any others."""
     labels = df.select(column).where(F.col(column).isNotNull()).distinct()
-    ranked = rank_in_group(labels, [], [F.col(column)], F.substring(column, 1, 3), f"{column}_code")
-    return ranked.drop(f"{column}_code_total")
+    dealt = labels.repartitionByRange(shuffle_width(df.sparkSession), column).withColumn("__range", F.spark_partition_id())
+    ranked = rank_in_group(materialize(dealt, "labels"), [], [F.col(column)], F.col("__range"), f"{column}_code")
+    return ranked.drop(f"{column}_code_total", "__range")
 
 
 def label_encode(df: DataFrame, column: str) -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalars import ratio
 
-# Parameters left out of the cache key, and key lengths.
+# Parameters left out of the cache key, and the length of a key that is shown.
 IGNORED_PARAMS = ("cache_experiment_id",)
-CACHE_KEY_LENGTH, DATA_VERSION_LENGTH = 8, 6
+SHOWN_KEY_LENGTH = 8
 
 
 def tag_retention(artifacts: DataFrame, days: int) -> DataFrame:
@@ -51,11 +51,11 @@ def retention_by_type(artifacts: DataFrame, days: int) -> DataFrame:
 
 
 def data_version(address: Column) -> Column:
-    return F.substring(F.md5(address), 1, DATA_VERSION_LENGTH)
+    return F.md5(address)
 
 
 def cache_key(data: Column, code: Column, params: dict[str, Column], day: Column) -> Column:
-    """md5 prefix over the sorted JSON of everything that affects a result. The day is a
+    """md5 over the sorted JSON of everything that affects a result. The day is a
     parameter; parameters that do not affect the result are left out."""
     kept = {k: params[k] for k in sorted(params) if k not in IGNORED_PARAMS}
     document = F.to_json(
@@ -66,7 +66,12 @@ def cache_key(data: Column, code: Column, params: dict[str, Column], day: Column
             day.alias("timestamp"),
         )
     )
-    return F.substring(F.md5(document), 1, CACHE_KEY_LENGTH)
+    return F.md5(document)
+
+
+def shown_key(key: Column) -> Column:
+    """The short form for reports; runs are grouped by the whole key."""
+    return F.substring(key, 1, SHOWN_KEY_LENGTH)
 
 
 def repeat_runs(runs: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

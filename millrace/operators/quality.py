@@ -29,10 +29,6 @@ def null_profile(df: DataFrame) -> DataFrame:
     return wide.select(F.inline(cells), "rows")
 
 
-def type_count(df: DataFrame) -> int:
-    return len({f.dataType.simpleString() for f in df.schema.fields})
-
-
 def fingerprint_sum(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 4) -> DataFrame:
     """md5 of the exact decimal sum of all numeric cells: the same in any row order."""
     columns = list(columns or numeric_columns(df))
@@ -50,16 +46,17 @@ def fingerprint_rows(df: DataFrame) -> DataFrame:
 
 
 def fallback_fill(primary: DataFrame, fallback: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Every fallback key once: primary values where present, missing ones from the fallback,
-    tagged by where the row came from ('primary', 'filled' or 'fallback')."""
-    left = fallback.select(key, *[F.col(c).alias(f"__fb_{c}") for c in columns])
+    """Every primary and every fallback row: primary values where present, missing ones from the
+    fallback, tagged by where the row came from ('primary', 'filled' or 'fallback'). A primary
+    row without a fallback stays as it is."""
+    left = fallback.select(key, *[F.col(c).alias(f"__fb_{c}") for c in columns], F.lit(True).alias("__other"))
     right = primary.select(key, *columns, F.lit(True).alias("__present"))
-    joined = left.join(right, key, "left")
+    joined = left.join(right, key, "full")
     any_null = F.greatest(*[F.col(c).isNull() for c in columns]) if len(columns) > 1 else F.col(columns[0]).isNull()
     return joined.select(
         key,
         *[F.coalesce(F.col(c), F.col(f"__fb_{c}")).alias(c) for c in columns],
-        F.when(F.col("__present").isNull(), "fallback").when(any_null, "filled").otherwise("primary").alias("source"),
+        F.when(F.col("__present").isNull(), "fallback").when(any_null & F.col("__other").isNotNull(), "filled").otherwise("primary").alias("source"),
     )
 
 

@@ -131,27 +131,29 @@ def median_stop(
     maximize: bool = True,
 ) -> DataFrame:
     """First step at which each trial is worse than the median of that step, null when it
-    is never stopped."""
+    is never stopped. Rows without a step or a value stop nothing, but their trial stays."""
     medians = exact_quantiles(metrics, [step], value, {"median": 0.5})
     sizes = metrics.groupBy(step).agg(F.count("*").alias("__trials"))
-    rows = metrics.join(medians, step).join(sizes, step)
+    rows = metrics.join(medians, step, "left").join(sizes, step, "left")
     worse = F.col(value) < F.col("median") if maximize else F.col(value) > F.col("median")
     stopped = worse & (F.col(step) >= start_step) & (F.col("__trials") >= min_trials)
     return rows.groupBy(trial).agg(F.min(F.when(stopped, F.col(step))).alias("stop_step"))
 
 
 def latest_metrics(metrics: DataFrame, trial: str = "trial", name: str = "name", value: str = "value", step: str = "step") -> DataFrame:
-    return metrics.groupBy(trial, name).agg(F.max_by(value, step).alias("latest"), F.max(step).alias("last_step"))
+    """The value of the last step; lines without a step come before any step."""
+    return metrics.groupBy(trial, name).agg(F.max_by(value, F.coalesce(F.col(step), F.lit(-1))).alias("latest"), F.max(step).alias("last_step"))
 
 
 def best_trial(trials: DataFrame, groups: Sequence[str], objective: str, trial: str = "trial", maximize: bool = True) -> DataFrame:
     """The trial with the best objective per group, the smallest trial on ties, with all its
-    columns. One aggregate: no group is sorted."""
+    columns. Trials may be named by text or number; null and NaN objectives never win. One
+    aggregate of the smallest (objective, trial): no group is sorted."""
     record = F.struct(*[c for c in trials.columns if c not in groups])
-    signed = F.col(objective) if maximize else -F.col(objective)
-    rank = F.struct(signed.alias("o"), (-F.col(trial)).alias("t"))
-    scored = trials.where(F.col(objective).isNotNull())
-    return scored.groupBy(*groups).agg(F.max_by(record, rank).alias("r")).select(*groups, "r.*")
+    signed = -F.col(objective) if maximize else F.col(objective)
+    rank = F.struct(signed.alias("o"), F.col(trial).alias("t"))
+    scored = trials.where(F.col(objective).isNotNull() & ~F.isnan(F.col(objective).cast("double")))
+    return scored.groupBy(*groups).agg(F.min_by(record, rank).alias("r")).select(*groups, "r.*")
 
 
 def trial_progress(trials: DataFrame, experiment: str, max_trials: int, status: str = "status") -> DataFrame:
@@ -239,8 +241,8 @@ def render_template(df: DataFrame, template: str, names: Sequence[str], out: str
 
 
 # Patterns of the metric log lines.
-PAIR_PATTERN = r"([\w|-]+)=(-?\d+(?:\.\d+)?)"
-STEP_PATTERN = r"epoch=(\d+)"
+PAIR_PATTERN = r"([\w|-]+)\s*=\s*([+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?)"
+STEP_PATTERN = r"epoch\s*=\s*(\d+)"
 
 
 def parse_metric_lines(lines: DataFrame, line: str, keep: Sequence[str] = (), pattern: str = PAIR_PATTERN) -> DataFrame:
@@ -270,7 +272,3 @@ def metric_lines(metrics: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         F.format_string("=%.6f", F.col("value")),
     )
     return metrics.select(*keep, text.alias("line"))
-
-
-def param_columns(space: Sequence[Param]) -> Mapping[str, str]:
-    return {p.name: p.name.replace("_", "-") for p in space}

@@ -40,11 +40,13 @@ def forest(
     label: str = "y",
     weight: str | None = None,
 ) -> RandomForestClassifier:
-    """Random forest; depth 0 means as deep as Spark allows."""
+    """Random forest; depth 0 means as deep as Spark allows, a larger depth is an error."""
+    if max_depth > MAX_DEPTH:
+        raise ValueError(f"the depth is at most {MAX_DEPTH}")
     model = RandomForestClassifier(
         labelCol=label,
         numTrees=n_estimators,
-        maxDepth=min(max_depth or MAX_DEPTH, MAX_DEPTH),
+        maxDepth=max_depth or MAX_DEPTH,
         minInstancesPerNode=min_samples_leaf,
         featureSubsetStrategy=str(max_features_ratio) if max_features_ratio else "auto",
         impurity=CRITERIA[criterion],

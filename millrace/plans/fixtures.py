@@ -117,7 +117,7 @@ def _k() -> Column:
 
 def run_id() -> Column:
     """A run is one user's events within one page of 1000 events, so a run manifest is bounded."""
-    return F.col("user_id") * 1000000 + F.floor(F.col("event_id") / 1000)
+    return F.concat_ws("/", F.col("user_id"), F.floor(F.col("event_id") / 1000))
 
 
 def run_nodes(spark: SparkSession, sf: str) -> DataFrame:
@@ -253,7 +253,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "ev": ((), """
         SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"""),
     "run_nodes": (("ev",), """
-        SELECT user_id * 1000000 + event_id // 1000 AS run, event_id AS node,
+        SELECT user_id || '/' || event_id // 1000 AS run, event_id AS node,
                CASE WHEN event_type = 'purchase' THEN 'gpu-train' ELSE event_type END AS component,
                'Pod' AS type,
                CASE WHEN event_type = 'error' AND k % 2 = 0 THEN 'Failed'
@@ -277,7 +277,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "run_state": ((), f"""
         SELECT run, CASE WHEN errors > 0 OR {sql_hash('run')} % 5 = 0 THEN 'Failed' ELSE 'Succeeded' END AS state,
                'deadline exceeded' AS error, created, ended
-        FROM (SELECT user_id * 1000000 + event_id // 1000 AS run, count(*) FILTER (event_type = 'error') AS errors,
+        FROM (SELECT user_id || '/' || event_id // 1000 AS run, count(*) FILTER (event_type = 'error') AS errors,
                      min(ts) AS created, max(ts) AS ended FROM events GROUP BY 1)"""),
     "trial_metrics": ((), """
         SELECT user_id AS trial, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS step,

@@ -351,8 +351,8 @@ def cache_stats(spark, sf):
 @query(
     "repeat_runs",
     """
-    , k AS (SELECT run, created, substr(md5('{"code_version":"c1","data_version":"' || substr(md5('orders/' || dataset % 100), 1, 6)
-                 || '","params":{"segment":"' || dataset % 7 || '"},"timestamp":"' || strftime(created, '%Y-%m-%d') || '"}'), 1, 8) AS cache_key
+    , k AS (SELECT run, created, md5('{"code_version":"c1","data_version":"' || md5('orders/' || dataset % 100)
+                 || '","params":{"segment":"' || dataset % 7 || '"},"timestamp":"' || strftime(created, '%Y-%m-%d') || '"}') AS cache_key
             FROM cache_runs)
     SELECT run, cache_key, first_value(run) OVER w AS first_run, row_number() OVER w > 1 AS reusable,
            count(*) OVER (PARTITION BY cache_key) AS runs_with_key

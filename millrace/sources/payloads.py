@@ -4,29 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TENSOR_SCHEMA = "struct<inputs: array<struct<name: string, shape: array<int>, datatype: string, data: string>>, instances: string>"
 
 
-def decode_payloads(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per instance: (keep..., instance, features). Tensor data may be flat, cut by
-    the shape, or nested; plain `instances` lists are read as well."""
+def decode_payloads(df: DataFrame, payload: str, keep: Sequence[str] = (), names: Sequence[str] = ()) -> DataFrame:
+    """One row per instance: (keep..., instance, features, error). All tensors of a request are
+    read, one after the other; their data may be flat, cut by the shape, or nested. Plain
+    `instances` may be lists of numbers, or objects, of which `names` are read in that order,
+    0 where one is missing. A request without a readable instance is one row with an error."""
     parsed = df.select(*keep, F.from_json(payload, TENSOR_SCHEMA).alias("p"))
-    tensor = F.get("p.inputs", 0)
-    nested = F.coalesce(F.col("p.instances"), F.when(tensor["data"].startswith("[["), tensor["data"]))
-    rows = parsed.select(
-        *keep,
-        F.from_json(nested, "array<array<double>>").alias("nested"),
-        F.when(nested.isNull(), F.from_json(tensor["data"], "array<double>")).alias("flat"),
-        F.try_element_at(tensor["shape"], F.lit(-1)).alias("width"),
-    )
-    cut = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size("flat") / F.col("width")).cast("int") - 1),
-        lambda r: F.slice("flat", r * F.col("width") + 1, F.col("width")),
+
+    def rows_of(tensor: Column) -> Column:
+        flat = F.from_json(tensor["data"], "array<double>")
+        width = F.try_element_at(tensor["shape"], F.lit(-1))
+        whole = (F.size(flat) > 0) & (width > 0) & (F.size(flat) % width == 0)
+        starts = F.sequence(F.lit(1), F.greatest(F.size(flat), F.lit(1)), F.greatest(width, F.lit(1)))
+        cut = F.when(whole, F.transform(starts, lambda at: F.slice(flat, at, width)))
+        return F.when(tensor["data"].startswith("[["), F.from_json(tensor["data"], "array<array<double>>")).otherwise(cut)
+
+    tensors = F.transform("p.inputs", rows_of)
+    lists = F.from_json("p.instances", "array<array<double>>")
+    objects = F.transform(
+        F.from_json("p.instances", "array<map<string,double>>"),
+        lambda m: F.when(m.isNotNull(), F.array(*[F.coalesce(F.try_element_at(m, F.lit(n)), F.lit(0.0)) for n in names])),
     )
-    return rows.select(*keep, F.posexplode(F.coalesce("nested", cut)).alias("instance", "features"))
+    listed = F.when(F.col("p.instances").rlike(r"^\s*\[\s*\{"), objects if names else F.lit(None)).otherwise(lists)
+    read = F.when(F.size("p.inputs") > 0, F.flatten(tensors)).otherwise(listed)
+    good = F.coalesce((F.size(read) > 0) & ~F.exists(read, lambda r: r.isNull()), F.lit(False))
+    rows = parsed.select(*keep, F.when(good, read).alias("__rows"), F.when(~good, F.lit("no readable instances in the request")).alias("error"))
+    return rows.select(*keep, "error", F.posexplode_outer("__rows").alias("instance", "features")).select(*keep, "instance", "features", "error")
 
 
 def encode_payloads(df: DataFrame, key: str, features: str, rows_per_payload: int, name: str = "input-0") -> DataFrame:

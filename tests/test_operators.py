@@ -9,6 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.prefix import id_order_bucket, rank_in_group
+from millrace.functions.selection import edge_rows, top_share
 from millrace.operators import cleaning, ensemble, evaluation, features, lifecycle, monitoring, quality, runs, scaling, search, serving, splits, validation
 from millrace.session import scratch_path
 from millrace.sources import files, payloads, synth, uris
@@ -160,6 +162,19 @@ def test_payload_forms(spark):
     ]
 
 
+def test_payload_kinds_and_errors(spark):
+    two = {"inputs": [{"name": "a", "shape": [1, 2], "datatype": "FP32", "data": [1, 2]}, {"name": "b", "shape": [2, 2], "datatype": "FP32", "data": [[3, 4], [5, 6]]}]}
+    rows = [
+        (1, json.dumps(two)), (2, json.dumps({"instances": [{"x": 1, "y": 2}, {"y": 3}]})), (3, "{broken"), (4, json.dumps({"instances": []})), (5, None),
+        (6, json.dumps({"inputs": [{"name": "a", "shape": [1, 2], "datatype": "FP32", "data": [1, 2, 3]}]})), (7, json.dumps({"inputs": [{"name": "a", "shape": [0, 2], "datatype": "FP32", "data": []}]})),
+        (8, json.dumps({"other": 1})),
+    ]
+    out = payloads.decode_payloads(spark.createDataFrame(rows, "r int, p string"), "p", ["r"], ["x", "y"]).collect()
+    good = sorted((x.r, x.instance, x.features) for x in out if x.error is None)
+    assert good == [(1, 0, [1.0, 2.0]), (1, 1, [3.0, 4.0]), (1, 2, [5.0, 6.0]), (2, 0, [1.0, 2.0]), (2, 1, [0.0, 3.0])]
+    assert sorted((x.r, x.instance, x.features) for x in out if x.error) == [(r, None, None) for r in (3, 4, 5, 6, 7, 8)]
+
+
 def test_payload_round_trip(spark):
     df = spark.createDataFrame([(i, [float(i), i / 3]) for i in range(7)], "k long, f array<double>")
     text = payloads.encode_payloads(df, "k", "f", 3)
@@ -249,7 +264,8 @@ def test_cache_key_ignores_and_depends(spark):
         return spark.range(1).select(lifecycle.cache_key(F.lit("d"), F.lit("c"), columns, F.lit("2024-01-01"))).first()[0]
 
     assert key(a="1", cache_experiment_id="7") == key(cache_experiment_id="8", a="1")
-    assert key(a="1") != key(a="2") and len(key(a="1")) == 8
+    assert key(a="1") != key(a="2") and len(key(a="1")) == 32
+    assert spark.range(1).select(lifecycle.shown_key(F.lit(key(a="1")))).first()[0] == key(a="1")[:8]
 
 
 def test_registry_appends_and_latest(spark):
@@ -311,3 +327,55 @@ def test_corrupt_lines_keep_their_text(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.LongType())])
     rows = files.tag_corrupt(files.read_json_lines(spark, str(tmp_path), schema)).collect()
     assert sorted((r.status, r.error_line) for r in rows) == [("error", '{"id": '), ("ok", None)]
+
+
+def test_no_row_is_lost(spark):
+    rows = [(1, "a", 1.0, 5), (2, None, 3.0, 6), (3, None, None, 7), (4, "a", None, None), (5, "a", float("nan"), 8)]
+    df = spark.createDataFrame(rows, "id int, g string, v double, o int")
+    filled = {r.id: r.v for r in cleaning.impute_batch_mean(df.where("id < 5"), "v", "g").collect()}
+    assert filled == {1: 1.0, 2: 3.0, 3: 3.0, 4: 1.0}
+    ranks = {r.id: (r["rank"], r.rank_total) for r in rank_in_group(df, ["g"], [F.col("o")], id_order_bucket(F.col("o"), 2)).collect()}
+    assert ranks == {4: (0, 3), 1: (1, 3), 5: (2, 3), 2: (0, 2), 3: (1, 2)}
+    assert sorted(r.id for r in edge_rows(df, ["g"], "o", 2).collect()) == [1, 2, 3, 5]
+    assert {r.id: r.kept for r in top_share(df, "id", ["g"], "v", 1).collect()} == {1: True, 2: True, 3: False, 4: False, 5: False}
+    assert {r.id: r.kept for r in top_share(df, "id", [], "v", 2).collect()} == {1: False, 2: True, 3: False, 4: False, 5: False}
+
+
+def test_fallback_keeps_primary_rows(spark):
+    primary = spark.createDataFrame([(1, 5.0), (2, None), (9, None)], "k int, v double")
+    out = quality.fallback_fill(primary, spark.createDataFrame([(2, 7.0), (3, 8.0)], "k int, v double"), "k", ["v"])
+    assert sorted((r.k, r.v or 0, r.source) for r in out.collect()) == [(1, 5.0, "primary"), (2, 7.0, "filled"), (3, 8.0, "fallback"), (9, 0, "primary")]
+
+
+def test_third_class_and_unknown_classes(spark):
+    votes = "key int, votes array<struct<model:string,prediction:int,probabilities:array<double>>>"
+    df = spark.createDataFrame([(1, [("a", 2, [0.1, 0.15, 0.75]), ("b", 2, None)])], votes)
+    got = ensemble.combine(df, "weighted_average").first()
+    assert got.prediction == 2 and abs(got.confidence - 0.875) < 1e-9
+    with pytest.raises(Exception, match="no predictions"):
+        ensemble.combine(spark.createDataFrame([(1, [])], votes), "majority_vote").collect()
+    rows = spark.createDataFrame([(1, "x", 0, [1.0])], "i int, model string, prediction int, probabilities array<double>")
+    with pytest.raises(Exception, match="not in the list"):
+        ensemble.votes_from_rows(rows, "i", ["a"]).collect()
+    scored = spark.createDataFrame([(0, 0, 0.1), (1, 2, 0.9), (2, 1, 0.5)], "y int, pred int, p1 double")
+    for metric in (evaluation.class_report, evaluation.confusion_matrix):
+        with pytest.raises(Exception, match="not in the list"):
+            metric(scored, [0, 1]).collect()
+        assert metric(scored, [0, 1, 2]).count() > 0
+    assert evaluation.roc_auc(scored).first().auc == 0.0
+
+
+def test_search_on_awkward_rows(spark):
+    df = spark.createDataFrame([("t-1", 0.5), ("t-2", float("nan")), ("t-10", 0.5), ("t-3", None)], "trial string, accuracy double")
+    assert search.best_trial(df, [], "accuracy").first().trial == "t-1"
+    lines = spark.createDataFrame([("t", "loss=1.5e-05 lr = +1e-3"), ("t", "acc=.5")], "trial string, line string")
+    assert sorted((r.name, r.value) for r in search.parse_metric_lines(lines, "line").collect()) == [("acc", 0.5), ("loss", 1.5e-05), ("lr", 0.001)]
+    metrics = spark.createDataFrame([("a", 2, "m", 1.0), ("b", None, "m", 2.0)], "trial string, step int, name string, value double")
+    assert {r.trial: r.stop_step for r in search.median_stop(metrics).collect()} == {"a": None, "b": None}
+    assert {r.trial: r.latest for r in search.latest_metrics(metrics).collect()} == {"a": 1.0, "b": 2.0}
+
+
+def test_labels_with_a_common_beginning(spark):
+    df = spark.createDataFrame([(f"label-{i:03d}",) for i in range(300)] + [(None,)], "c string")
+    codes = {r.c: r.c_code for r in features.label_encode(df, "c").collect()}
+    assert codes[None] is None and [codes[f"label-{i:03d}"] for i in range(300)] == list(range(300))
