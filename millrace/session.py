@@ -31,15 +31,15 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the folder the cluster shares for checkpoints.
 
-    Only a local session may fall back to a temporary folder: on a cluster the
-    executors would not see it.
+    A local session without that setting gets a folder of its own, once, as the setting; on
+    a cluster, where the executors would not see it, the setting is required.
     """
     base = spark.conf.get(CHECKPOINT_KEY, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("millrace.local.scratch", base)
+        spark.conf.set(CHECKPOINT_KEY, base)
     return f"{base.rstrip('/')}/millrace/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -51,5 +51,14 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables below the shared folder. For the end of a job: results
+    that have not been written yet may still read them."""
+    base = spark.conf.get(CHECKPOINT_KEY, None)
+    if base:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/millrace")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

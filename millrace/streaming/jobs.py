@@ -53,16 +53,33 @@ def epoch_path(path: str, epoch: int) -> str:
     return f"{path}/epoch={epoch}"
 
 
+def last_epoch(spark: SparkSession, path: str) -> int | None:
+    """The newest batch that was written completely below `path`, also by an earlier run."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return None
+    names = [f.getPath().getName() for f in system.listStatus(root)]
+    done = [int(n.partition("=")[2]) for n in names if n.startswith("epoch=") and system.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return max(done, default=None)
+
+
+def drop_epoch(spark: SparkSession, path: str, epoch: int) -> None:
+    old = spark._jvm.org.apache.hadoop.fs.Path(epoch_path(path, epoch))
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def fold_stream(stream: DataFrame, path: str, checkpoint: str, fold: Fold) -> DataFrame:
     """Fold every batch into a state table and return the last state.
 
     Each batch reads the state written by the batch before it and writes its own folder.
     A batch repeated after a failure reads the same input state and overwrites the same
-    folder, so nothing is counted twice. The fold sees whole DataFrames, so a hot key is
-    pre-aggregated like in any batch job.
+    folder, so nothing is counted twice; states older than that are removed. With the paths
+    of an earlier run the stream goes on where that run ended, and without new data its
+    state is returned. The fold sees whole DataFrames, so a hot key is pre-aggregated like
+    in any batch job.
     """
     spark = stream.sparkSession
-    last = {"epoch": None}
 
     def handle(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
@@ -72,15 +89,18 @@ def fold_stream(stream: DataFrame, path: str, checkpoint: str, fold: Fold) -> Da
             fold(state, batch).write.mode("overwrite").parquet(epoch_path(path, epoch))
         finally:
             batch.unpersist()
-        last["epoch"] = epoch
+        if epoch > 1:
+            drop_epoch(session, path, epoch - 2)
 
     for_each_batch(stream, checkpoint, handle)
-    if last["epoch"] is None:
+    last = last_epoch(spark, path)
+    if last is None:
         raise ValueError("the stream had no data")
-    return spark.read.parquet(epoch_path(path, last["epoch"]))
+    return spark.read.parquet(epoch_path(path, last))
 
 
-def work_folders(spark: SparkSession, purpose: str) -> tuple[str, str]:
-    """Output and checkpoint folder of one stream run."""
-    base = scratch_path(spark, purpose)
+def work_folders(spark: SparkSession, purpose: str, folder: str | None = None) -> tuple[str, str]:
+    """Output and checkpoint folder of a stream: below `folder`, where a later run goes on, or
+    a new one below the shared folder for a single run."""
+    base = folder.rstrip("/") if folder else scratch_path(spark, purpose)
     return f"{base}/out", f"{base}/checkpoint"

@@ -1,21 +1,26 @@
-"""The monitor as streams: request log, windows, drift, distribution, alerts, circuits."""
+"""The monitor as streams: request log, windows, drift, distribution, alerts, circuits.
+
+Every stream takes an optional `folder` in the shared file system. A later call with the same
+folder goes on where the earlier one ended, also without new data.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import ratio
 from millrace.operators import cleaning, monitoring
 from millrace.operators.scaling import long_features
-from millrace.streaming.jobs import Fold, append_to_parquet, epoch_path, fold_stream, for_each_batch, work_folders
+from millrace.streaming.jobs import Fold, append_to_parquet, drop_epoch, epoch_path, fold_stream, for_each_batch, last_epoch, work_folders
 
 
-def log_requests(requests: DataFrame) -> DataFrame:
+def log_requests(requests: DataFrame, folder: str | None = None) -> DataFrame:
     """Append-only request log; the ordinal is the request id, not a counter."""
-    path, checkpoint = work_folders(requests.sparkSession, "request-log")
+    path, checkpoint = work_folders(requests.sparkSession, "request-log", folder)
     append_to_parquet(monitoring.request_log(requests), path, checkpoint)
     return requests.sparkSession.read.parquet(path)
 
@@ -40,8 +45,8 @@ def window_fold(features: Sequence[str], keys: Sequence[str], order: str) -> Fol
     return fold
 
 
-def window_state(requests: DataFrame, features: Sequence[str], keys: Sequence[str], order: str) -> DataFrame:
-    path, checkpoint = work_folders(requests.sparkSession, "window-state")
+def window_state(requests: DataFrame, features: Sequence[str], keys: Sequence[str], order: str, folder: str | None = None) -> DataFrame:
+    path, checkpoint = work_folders(requests.sparkSession, "window-state", folder)
     return fold_stream(requests, path, checkpoint, window_fold(features, keys, order))
 
 
@@ -56,26 +61,29 @@ def drift_from_state(state: DataFrame, features: Sequence[str], keys: Sequence[s
     return monitoring.compare_windows(baseline, state_stats(state, "recent", features, keys), keys)
 
 
-def prediction_totals(requests: DataFrame, keys: Sequence[str]) -> DataFrame:
+def prediction_totals(requests: DataFrame, keys: Sequence[str], folder: str | None = None) -> DataFrame:
     """Cumulative class counts kept in Spark's own aggregation state; every batch writes the
     complete small result, the last one is returned."""
     spark = requests.sparkSession
-    path, checkpoint = work_folders(spark, "prediction-totals")
-    last = {}
+    path, checkpoint = work_folders(spark, "prediction-totals", folder)
 
     def handle(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(epoch_path(path, epoch))
-        last["epoch"] = epoch
+        if epoch > 0:
+            drop_epoch(batch.sparkSession, path, epoch - 1)
 
     for_each_batch(monitoring.prediction_distribution(requests, keys), checkpoint, handle, "complete")
-    return spark.read.parquet(epoch_path(path, last["epoch"]))
+    last = last_epoch(spark, path)
+    if last is None:
+        raise ValueError("the stream had no data")
+    return spark.read.parquet(epoch_path(path, last))
 
 
-def window_alerts(requests: DataFrame, keys: Sequence[str], window: str = "1 day", delay: str = "10 minutes") -> DataFrame:
+def window_alerts(requests: DataFrame, keys: Sequence[str], window: str = "1 day", delay: str = "10 minutes", folder: str | None = None) -> DataFrame:
     """Alerts of every closed event-time window: positive rate, p95 latency from a mergeable
     sketch, error rate."""
     spark = requests.sparkSession
-    path, checkpoint = work_folders(spark, "window-alerts")
+    path, checkpoint = work_folders(spark, "window-alerts", folder)
     metrics = (
         requests.withColumn("event_time", F.col("ts").cast("timestamp"))
         .withWatermark("event_time", delay)
@@ -91,58 +99,71 @@ def window_alerts(requests: DataFrame, keys: Sequence[str], window: str = "1 day
     return spark.read.parquet(path)
 
 
-def hourly_events(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
+def hourly_events(events: DataFrame, delay: str = "10 minutes", folder: str | None = None) -> DataFrame:
     """Closed hours per event type; late events beyond the delay are left out."""
     spark = events.sparkSession
-    path, checkpoint = work_folders(spark, "hourly-events")
+    path, checkpoint = work_folders(spark, "hourly-events", folder)
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
     append_to_parquet(monitoring.hourly_counts(timed), path, checkpoint)
     return spark.read.parquet(path)
 
 
 def circuit_fold(keys: Sequence[str], order: str, error: str = "error") -> Fold:
-    """State: total failures and failures since the last success of every key. A batch is
-    summarised first; only its summary meets the state."""
+    """State: for every key a head row (failures so far, id of the last success) and a row for
+    each failure with a larger id. Files may come in any order: a success that arrives late
+    only ends the failures before it."""
     keys = list(keys)
 
     def fold(state: DataFrame | None, batch: DataFrame) -> DataFrame:
-        rows = batch.select(*keys, F.col(order).alias("o"), F.col(error).alias("e"))
-        summary = monitoring.circuit_state(rows, keys, "o", "e").drop("state")
-        recovered = rows.groupBy(*keys).agg((F.count_if(F.col("e") == 0) > 0).alias("recovered"))
-        now = summary.join(recovered, keys)
-        if state is None:
-            return now.drop("recovered")
-        before = state.select(*keys, F.col("total_failures").alias("bt"), F.col("consecutive_failures").alias("bc"))
-        zero = F.lit(0)
-        carried = F.when(F.col("recovered"), zero).otherwise(F.coalesce("bc", zero))
-        return now.join(before, keys, "full_outer").select(
-            *keys,
-            (F.coalesce("total_failures", zero) + F.coalesce("bt", zero)).alias("total_failures"),
-            (F.coalesce("consecutive_failures", zero) + carried).alias("consecutive_failures"),
-        )
+        failed = F.col(error) == 1
+        heads = batch.groupBy(*keys).agg(F.count_if(failed).alias("failures"), F.max(F.when(~failed, F.col(order))).alias("success"))
+        failures = batch.where(failed).select(*keys, F.col(order).alias("failure"))
+        if state is not None:
+            both = heads.unionByName(state.where("failure is null").drop("failure"))
+            heads = both.groupBy(*keys).agg(F.sum("failures").alias("failures"), F.max("success").alias("success"))
+            failures = failures.unionByName(state.where("failure is not null").select(*keys, "failure"))
+        last = heads.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("success").alias("__success"))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+        open_ = failures.join(last, same).where(F.col("__success").isNull() | (F.col("failure") > F.col("__success")))
+        open_ = open_.select(*keys, F.lit(None).cast("long").alias("failures"), F.lit(None).alias("success"), "failure")
+        return heads.withColumn("failure", F.lit(None)).unionByName(open_)
 
     return fold
 
 
-def circuit_states(requests: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    path, checkpoint = work_folders(requests.sparkSession, "circuit-state")
+def circuit_states(requests: DataFrame, keys: Sequence[str], order: str, folder: str | None = None) -> DataFrame:
+    path, checkpoint = work_folders(requests.sparkSession, "circuit-state", folder)
     state = fold_stream(requests, path, checkpoint, circuit_fold(keys, order))
-    return state.withColumn("state", monitoring.circuit_label(F.col("consecutive_failures")))
+    counts = state.groupBy(*keys).agg(F.sum("failures").alias("total_failures"), F.count("failure").alias("consecutive_failures"))
+    return counts.withColumn("state", monitoring.circuit_label(F.col("consecutive_failures")))
 
 
-def process_checkpointed(rows: DataFrame, batch_id: str = "batch_id") -> tuple[DataFrame, DataFrame]:
-    """Resumable batch processing: every micro-batch is processed and written to its own
-    folder with a progress row, the stream checkpoint remembers what is done. Returns the
-    processed rows and the progress table. A batch id must not be spread over micro-batches."""
+def process_checkpointed(rows: DataFrame, batch_id: str = "batch_id", folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Resumable batch processing: every micro-batch writes its processed rows, the stream
+    checkpoint remembers what is done. Where a batch id goes on in a later micro-batch, its
+    rows so far are processed again with the new ones, and the newest version counts. Returns
+    the processed rows, and the rows and newest version (epoch) of each batch id."""
     spark = rows.sparkSession
-    path, checkpoint = work_folders(spark, "checkpointed")
+    path, checkpoint = work_folders(spark, "checkpointed", folder)
+    columns = rows.columns
+
+    def newest(session: SparkSession, before: int | None = None) -> DataFrame:
+        """Rows of the newest version of each batch id."""
+        done = session.read.parquet(path)
+        done = done if before is None else done.where(F.col("epoch") < before)
+        versions = done.groupBy(F.col(batch_id).alias("__id")).agg(F.max("epoch").alias("__epoch"))
+        return done.join(versions, F.col(batch_id).eqNullSafe(F.col("__id")) & (F.col("epoch") == F.col("__epoch"))).drop("__id", "__epoch")
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        done = cleaning.process_batches(batch, batch_id)
-        done.write.mode("overwrite").parquet(epoch_path(f"{path}/rows", epoch))
-        written = batch.sparkSession.read.parquet(epoch_path(f"{path}/rows", epoch))
-        progress = written.groupBy(batch_id).agg(F.count("*").alias("rows_in_batch"))
-        progress.write.mode("overwrite").parquet(epoch_path(f"{path}/progress", epoch))
+        whole = batch
+        if epoch > 0:
+            touched = batch.select(F.col(batch_id).alias("__touched")).distinct()
+            earlier = newest(batch.sparkSession, epoch).join(touched, F.col(batch_id).eqNullSafe(F.col("__touched")), "left_semi")
+            whole = batch.unionByName(earlier.select(*columns))
+        cleaning.process_batches(whole, batch_id).write.mode("overwrite").parquet(epoch_path(path, epoch))
 
     for_each_batch(rows, checkpoint, handle)
-    return spark.read.parquet(f"{path}/rows").drop("epoch"), spark.read.parquet(f"{path}/progress")
+    if last_epoch(spark, path) is None:
+        raise ValueError("the stream had no data")
+    done = newest(spark)
+    return done.drop("epoch"), done.groupBy(batch_id, "epoch").agg(F.count("*").alias("rows_in_batch"))

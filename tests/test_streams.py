@@ -84,3 +84,35 @@ def test_a_failed_batch_is_resumed_and_not_counted_twice(spark, event_files):
     assert seen == ["ok", "ok", "crash"]
     assert fold_stream(stream_folder(spark, event_files), path, checkpoint, fold).first().n == 1000
     assert seen == ["ok", "ok", "crash", "ok", "ok"]
+
+
+def test_streams_go_on_and_take_files_in_any_order(spark, sf, tmp_path):
+    """Two runs over the same folders: files of mixed ids, batch ids across files, a restart
+    with new files, and one without."""
+    source, events = f"file://{tmp_path}/source", table(spark, sf, "events")
+
+    def add(part):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(source)
+
+    def flags(df):
+        return df.select("user_id", "event_id", (F.col("event_type") == "error").cast("int").alias("error"))
+
+    def batches(df):
+        return feat_from(df).drop("ts").withColumn("batch_id", F.floor(F.col("id") / 125))
+
+    folder = f"file://{tmp_path}/work"
+    for part in (3, 1):
+        add(part)
+    for fresh in ((), (0, 2), ()):
+        for part in fresh:
+            add(part)
+        whole = spark.read.parquet(source)
+        got = monitor.circuit_states(flags(stream_folder(spark, source)), ["user_id"], "event_id", f"{folder}/circuits")
+        assert same(got, monitoring.circuit_state(flags(whole), ["user_id"], "event_id"))
+        rows, progress = monitor.process_checkpointed(batches(stream_folder(spark, source)), folder=f"{folder}/batches")
+        assert same(rows, cleaning.process_batches(batches(whole), "batch_id"))
+        assert same(progress.drop("epoch"), batches(whole).groupBy("batch_id").agg(F.count("*").alias("rows_in_batch")))
+        totals = monitor.prediction_totals(reqs_from(stream_folder(spark, source)), ["endpoint"], f"{folder}/totals")
+        assert same(totals, monitoring.prediction_distribution(reqs_from(whole), ["endpoint"]))
+        log = monitor.log_requests(reqs_from(stream_folder(spark, source)), f"{folder}/log")
+        assert log.count() == whole.count()
