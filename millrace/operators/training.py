@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -17,12 +17,16 @@ from millrace.operators.evaluation import accuracy, weighted_scores
 from millrace.operators.scaling import with_class_weights
 from millrace.operators.serving import decide
 from millrace.operators.splits import stratified_folds
+from millrace.session import materialize
 
 # Depth limit of Spark trees, and split criteria by their usual names
 # (log loss and entropy are the same criterion).
 MAX_DEPTH = 30
 CRITERIA = {"gini": "gini", "entropy": "entropy", "log_loss": "entropy"}
 
+# Distributed fits that a model selection keeps running at once.
+PARALLEL_FITS = 4
+
 
 def as_vectors(df: DataFrame, features: str = "features") -> DataFrame:
     """Feature arrays as ML vectors."""
@@ -109,19 +113,18 @@ def top_importance(importance: DataFrame, k: int = 5) -> DataFrame:
 
 def cross_validate(df: DataFrame, estimator, key: str = "id", label: str = "y", k: int = 5) -> DataFrame:
     """Accuracy of each of k stratified folds: every fold is scored by a model fitted on
-    the others. The folds are a function of the key, so a retry sees the same folds."""
-    folded = stratified_folds(df, [key], label, k).persist()
-    try:
-        scored = [
-            score(fit(estimator, folded.where(F.col("fold") != i)), folded.where(F.col("fold") == i), keep=(key, label)).withColumn(
-                "fold", F.lit(i)
-            )
-            for i in range(k)
-        ]
-        rows = reduce(DataFrame.unionByName, scored)
-        return accuracy(rows, ["fold"], label)
-    finally:
-        folded.unpersist()
+    the others. The folds are a function of the key, so a retry sees the same folds. They are
+    stored once; the distributed fits run side by side, and one row per fold is returned."""
+    folded = materialize(stratified_folds(df, [key], label, k), "folds")
+
+    def one(i: int) -> tuple[int, float | None]:
+        model = fit(estimator, folded.where(F.col("fold") != i))
+        scored = score(model, folded.where(F.col("fold") == i), keep=(key, label))
+        return i, accuracy(scored, (), label).first()["accuracy"]
+
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        rows = list(pool.map(one, range(k)))
+    return df.sparkSession.createDataFrame(rows, "fold int, accuracy double")
 
 
 def fold_summary(folds: DataFrame) -> DataFrame:
@@ -169,16 +172,19 @@ def boosted_curve(model, df: DataFrame, label: str = "y") -> DataFrame:
 
 def run_trials(train: DataFrame, test: DataFrame, trials: Sequence[Mapping], label: str = "y") -> DataFrame:
     """Fit each assignment of a bounded trial list on shared data and score it: one row per
-    trial with its parameters and metrics. Every fit is a distributed job; only the one
-    metrics row of a trial reaches the driver."""
+    trial with its parameters and metrics. Every fit is a distributed job, several run side by
+    side; only the one metrics row of a trial reaches the driver."""
     spark = train.sparkSession
     train, test = train.persist(), test.persist()
-    rows = []
+
+    def one(number: int, params: Mapping) -> tuple:
+        model = fit(forest(label=label, **params), train)
+        metrics = weighted_scores(score(model, test, keep=(label,)), [0, 1], (), label).first()
+        return number, json.dumps(dict(sorted(params.items()))), *metrics
+
     try:
-        for number, params in enumerate(trials):
-            model = fit(forest(label=label, **params), train)
-            metrics = weighted_scores(score(model, test, keep=(label,)), [0, 1], (), label).first()
-            rows.append((number, json.dumps(dict(sorted(params.items()))), *metrics))
+        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+            rows = list(pool.map(one, range(len(trials)), trials))
     finally:
         train.unpersist()
         test.unpersist()

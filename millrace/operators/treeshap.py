@@ -19,9 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MAX_LEAVES = 200_000
+
+
 def leaf_paths(fitted, positive: int = 1) -> tuple[list[list[dict]], float]:
-    """Every leaf of every tree as {value, conditions}, and the mean prediction. Size is
-    the number of leaves of the model, never of the data."""
+    """Every leaf of every tree as {value, conditions}, and the mean prediction. Models of
+    more than `MAX_LEAVES` leaves are refused: at unlimited depth leaves grow with the data,
+    and they are sent to every task."""
+    nodes = sum(tree.numNodes for tree in fitted.trees)
+    if nodes > 2 * MAX_LEAVES:
+        raise ValueError(f"the forest has {nodes} nodes; contributions take up to {MAX_LEAVES} leaves, train with a smaller depth")
     trees, base = [], 0.0
     for tree in fitted.trees:
         leaves: list[dict] = []
@@ -48,6 +55,20 @@ def leaf_paths(fitted, positive: int = 1) -> tuple[list[list[dict]], float]:
     return trees, base / len(trees)
 
 
+def _times(poly: list[np.ndarray], unknown: float, known: np.ndarray) -> list[np.ndarray]:
+    """The polynomial times (unknown + known t), per row."""
+    zero = np.zeros_like(known)
+    return [(p * unknown) + (q * known) for p, q in zip([*poly, zero], [zero, *poly])]
+
+
+def _without(poly: list[np.ndarray], unknown: float, known: np.ndarray) -> list[np.ndarray]:
+    """The polynomial divided by (unknown + known t); known is 0 or 1, unknown over 0."""
+    quotient: list[np.ndarray] = []
+    for p in reversed(poly[1:]):  # known is 1: from the highest power down
+        quotient.insert(0, p - unknown * quotient[0] if quotient else p)
+    return [np.where(known > 0, q, p / unknown) for q, p in zip(quotient, poly)]
+
+
 def contributions(x: np.ndarray, trees: list[list[dict]]) -> np.ndarray:
     """Contribution of every feature to the positive probability of every row of `x`."""
     phi = np.zeros_like(x)
@@ -59,17 +80,12 @@ def contributions(x: np.ndarray, trees: list[list[dict]]) -> np.ndarray:
         bounds = [leaf["conditions"][f] for f in features]
         follows = [((x[:, f] > lo) & (x[:, f] <= hi)).astype(float) for f, (lo, hi, _) in zip(features, bounds)]
         weights = [factorial(k) * factorial(d - 1 - k) / factorial(d) for k in range(d)]
+        whole = [np.ones(len(x))]
+        for j in range(d):
+            whole = _times(whole, bounds[j][2], follows[j])
         for i, f in enumerate(features):
-            poly = [np.ones(len(x))]
-            for j in range(d):
-                if j == i:
-                    continue
-                unknown, known = bounds[j][2], follows[j]
-                poly = [
-                    (poly[k] * unknown if k < len(poly) else 0.0) + (poly[k - 1] * known if k > 0 else 0.0)
-                    for k in range(len(poly) + 1)
-                ]
-            phi[:, f] += leaf["value"] * (follows[i] - bounds[i][2]) * sum(w * p for w, p in zip(weights, poly))
+            others = _without(whole, bounds[i][2], follows[i])
+            phi[:, f] += leaf["value"] * (follows[i] - bounds[i][2]) * sum(w * p for w, p in zip(weights, others))
     return phi / len(trees)
 
 
