@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import any_of, ratio
@@ -83,8 +83,11 @@ def with_duration(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("duration", seconds_between(F.col("started"), F.col("finished")))
 
 
-def sorted_timeline(nodes: DataFrame) -> DataFrame:
-    return nodes.orderBy(F.col("started").asc_nulls_last())
+def sorted_timeline(nodes: DataFrame, run: str = "run", node: str = "node") -> DataFrame:
+    """The nodes of each run in order of their start, with their 1-based position; a run is one
+    manifest, so it is bounded."""
+    order = Window.partitionBy(run).orderBy(F.col("started").asc_nulls_last(), node)
+    return nodes.withColumn("position", F.row_number().over(order))
 
 
 def failed_nodes(nodes: DataFrame) -> DataFrame:

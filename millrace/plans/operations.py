@@ -256,11 +256,11 @@ def node_duration(spark, sf):
 
 @query(
     "timeline_sorted",
-    "SELECT run, node, component, strftime(started, '%Y-%m-%d %H:%M:%S.%f') AS started FROM run_nodes ORDER BY started NULLS LAST",
+    "SELECT run, row_number() OVER (PARTITION BY run ORDER BY started NULLS LAST, node) AS position, node, component, strftime(started, '%Y-%m-%d %H:%M:%S.%f') AS started FROM run_nodes",
     views=("run_nodes",),
 )
 def timeline_sorted(spark, sf):
-    return runs.sorted_timeline(run_nodes(spark, sf)).select("run", "node", "component", ts_text(F.col("started")).alias("started"))
+    return runs.sorted_timeline(run_nodes(spark, sf)).select("run", F.col("position").cast("long").alias("position"), "node", "component", ts_text(F.col("started")).alias("started"))
 
 
 STATS = """

@@ -93,21 +93,23 @@ def ensemble_max_conf(spark, sf):
 @query(
     "ensemble_rows",
     """
-    SELECT l_orderkey AS instance, CAST(count(*) AS INTEGER) AS num_models, string_agg(model, ',' ORDER BY ord) AS models
-    FROM (SELECT l_orderkey, model, min(ord) AS ord FROM scores GROUP BY ALL) GROUP BY 1
+    SELECT key AS instance, CAST(CASE WHEN sum(pred) * 2 > count(*) THEN 1 ELSE 0 END AS INTEGER) AS prediction,
+           round(greatest(sum(pred), count(*) - sum(pred)) / count(*), 6) AS confidence,
+           CAST(count(*) AS INTEGER) AS num_models, string_agg(model, ',' ORDER BY ord) AS models
+    FROM scores GROUP BY key
     """,
     views=("scores",),
 )
 def ensemble_rows(spark, sf):
     """Votes gathered from a table with one row per instance and model."""
     rows = scores_long(spark, sf).select(
-        F.col("l_orderkey").alias("instance"),
+        F.col("key").alias("instance"),
         "model",
         F.col("pred").alias("prediction"),
         F.array(1 - F.col("p1"), F.col("p1")).alias("probabilities"),
     )
     combined = ensemble.combine(ensemble.votes_from_rows(rows, "instance", ["a", "b", "c"]), "majority_vote")
-    return combined.select("instance", "num_models", F.array_join("models", ",").alias("models"))
+    return combined.select("instance", "prediction", F.round("confidence", 6).alias("confidence"), "num_models", F.array_join("models", ",").alias("models"))
 
 
 @query(
@@ -143,14 +145,13 @@ def format_prediction(spark, sf):
 @query(
     "risk_level",
     """
-    SELECT key, CASE WHEN round(p1, 9) >= 0.8 THEN 'high' WHEN round(p1, 9) >= 0.5 THEN 'medium' ELSE 'low' END AS risk_level
-    FROM scores WHERE model = 'c'
+    SELECT key, model, CASE WHEN round(p1, 9) >= 0.8 THEN 'high' WHEN round(p1, 9) >= 0.5 THEN 'medium' ELSE 'low' END AS risk_level
+    FROM scores
     """,
     views=("scores",),
 )
 def risk_level(spark, sf):
-    rows = scores_long(spark, sf).where("model = 'c'")
-    return rows.select("key", serving.risk_level(F.round("p1", 9)).alias("risk_level"))
+    return scores_long(spark, sf).select("key", "model", serving.risk_level(F.round("p1", 9)).alias("risk_level"))
 
 
 @query("eval_accuracy", "SELECT model, round(avg(CAST(y = pred AS INTEGER)), 6) AS accuracy FROM scores GROUP BY model", views=("scores",))
