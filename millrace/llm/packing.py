@@ -58,8 +58,10 @@ def nonnegative_least_squares(a: np.ndarray, b: np.ndarray, rounds: int) -> np.n
             break
         active[best] = True
         while True:
-            trial = np.zeros_like(x)
-            trial[active] = np.linalg.lstsq(a[:, active], b, rcond=None)[0]
+            trial, own = np.zeros_like(x), a[:, active]
+            square = own.T @ own
+            square[np.diag_indices_from(square)] += 1e-9
+            trial[active] = np.linalg.solve(square, own.T @ b)
             down = active & (trial <= 0)
             if not down.any():
                 break
@@ -150,6 +152,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, window: int, quantum: int, key:
             if with_ids:
                 out["ids"] = pa.array(raws, pa.binary())
             yield pa.RecordBatch.from_pydict(out)
+        enc.forget()
 
     schema = f"key {kind.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, bin long, rank long, part long" + ", ids binary" * with_ids
     return materialize(rows.mapInArrow(cut, schema), "pieces")

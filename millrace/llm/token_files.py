@@ -84,6 +84,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key: str = "
             })
         if out is not None:
             out.close()
+        enc.forget()
 
     manifest = materialize(rows.mapInArrow(write, f"key {kind}, ordinal long, part long, attempt long, offset long, ids long"), "token-manifest")
     # One row per payload file: few enough to be summed up in order by one task.

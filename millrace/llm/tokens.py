@@ -13,11 +13,16 @@ import re
 import sys
 from array import array
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 import numpy as np
 import regex
 from public_tokenizers import PATTERN
 
+from millrace.llm.words import mixed, powers
+
+STRETCH = 4_000_000
+
 # A blank inside or at the end of a longer run of white space: not a place to cut.
 _INNER_BLANK = re.compile(r"\s \s|\s \Z")
 # ASCII signs that are neither letters, digits nor white space: a run of them is one piece.
@@ -44,7 +49,7 @@ class PartEncoder:
     found there move back to the younger. Nothing depends on what is kept but speed.
     """
 
-    def __init__(self, tokenizer_path: str, dtype: str = "<u2", keep: int = 500_000):
+    def __init__(self, tokenizer_path: str, dtype: str = "<u2", keep: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
@@ -61,8 +66,8 @@ class PartEncoder:
         self.keep = keep
         self.letters = byte_letters()
         self.signs: dict[str, bytes] = {}
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -84,37 +89,134 @@ class PartEncoder:
                 ids = self._merged(signs)
                 if len(self.signs) < 10_000:
                     self.signs[signs] = ids
-            return self._merged(" " + word) + ids
+            bare = word.encode()  # the word alone is a part as well
+            stem = self.young.get(bare) or self.old.get(bare)
+            if stem is None:
+                self.young[bare] = stem = self._merged(" " + word)
+            return stem + ids
         return b"".join(map(self._merged, _PIECES.findall(" " + part)))
 
-    def _fill(self, parts: list[str], found: list[bytes | None]) -> None:
-        """Put the ids of the parts that the younger table lacks into `found`."""
+    def forget(self) -> None:
+        """Drop the tables: idle Python workers of an executor should hold little."""
+        self.young, self.old = {}, {}
+
+    def _known(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of different parts, from the tables or anew."""
         if len(self.young) > self.keep:
             self.old, self.young = self.young, {}
+        found = list(map(self.young.get, parts))
         at = -1
         for _ in range(found.count(None)):
             at = found.index(None, at + 1)
-            part = parts[at]
-            ids = self.young.get(part)
-            if ids is None:
-                ids = self.old.get(part)
-                if ids is None:
-                    ids = self._part(part)
-                self.young[part] = ids
-            found[at] = ids
+            ids = self.old.get(parts[at])
+            self.young[parts[at]] = found[at] = self._part(parts[at].decode()) if ids is None else ids
+        return found
+
+    def _cut(self, raws: list[bytes]) -> list[bytes]:
+        """Ids of texts that can be cut: the different parts are looked up, and their ids laid
+        out in the order of the parts."""
+        split = split_parts(raws)
+        if split is None:
+            return [self._whole(r.decode()) for r in raws]
+        ids = [b""] * len(split.parts)
+        inner = np.flatnonzero(~split.heads).tolist()
+        for i, found in zip(inner, self._known([split.parts[i] for i in inner]), strict=True):
+            ids[i] = found
+        for i in np.flatnonzero(split.heads).tolist():
+            ids[i] = self._whole(split.parts[i].decode()) if split.parts[i] else b""
+        return self._laid(ids, split.own, split.first)
+
+    def _laid(self, ids: list[bytes], own: np.ndarray, first: np.ndarray) -> list[bytes]:
+        table = np.frombuffer(b"".join(ids), self.dtype)
+        counts = np.array([len(x) for x in ids]) // np.dtype(self.dtype).itemsize
+        begin = np.cumsum(counts) - counts
+        sizes = counts[own]
+        ends = np.cumsum(sizes)
+        tokens = table[np.repeat(begin[own] - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
+        cuts = np.append((ends - sizes)[first], ends[-1]).tolist()
+        return [tokens[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """Ids of each text; null and empty texts have none."""
         out: list[bytes] = []
+        held: list[bytes] = []
+        places: list[int] = []
+        size = 0
+
+        def flush() -> None:
+            nonlocal size
+            if held:
+                for i, ids in zip(places, self._cut(held), strict=True):
+                    out[i] = ids
+            held.clear()
+            places.clear()
+            size = 0
+
         for text in texts:
-            if not text:
-                out.append(b"")
-            elif not cuttable(text):
-                out.append(self._whole(text))
-            else:
-                first, *rest = text.split(" ")
-                found = list(map(self.young.get, rest))
-                if None in found:
-                    self._fill(rest, found)
-                out.append((self._whole(first) if first else b"") + b"".join(found))
+            out.append(b"")
+            if text and not cuttable(text):
+                out[-1] = self._whole(text)
+            elif text:
+                held.append(text.encode())
+                places.append(len(out) - 1)
+                size += len(held[-1])
+                if size >= STRETCH:
+                    flush()
+        flush()
         return out
+
+
+@dataclass
+class Parts:
+    """The different parts of some texts; `heads` are those that begin a text, all others have a
+    blank before them. `own` is the part at each place, `first` marks the places of heads."""
+
+    parts: list[bytes]
+    heads: np.ndarray
+    own: np.ndarray
+    first: np.ndarray
+
+
+def split_parts(raws: list[bytes]) -> Parts | None:
+    """All parts of all texts, hashed and compared at once; none where two have one hash."""
+    raw = b"\xff" + b"\xff".join(raws) + b"\xff"  # no byte of UTF-8
+    data = np.frombuffer(raw, np.uint8)
+    border = np.flatnonzero((data == 32) | (data == 255))
+    starts, ends = border[:-1] + 1, border[1:]
+    first = data[border[:-1]] == 255
+    hashes = _part_hashes(data, starts, ends) ^ first.astype(np.uint64)
+    order = np.argsort(hashes)
+    new = np.concatenate([[True], np.diff(hashes[order]) != 0])
+    own = np.empty(len(order), np.int64)
+    own[order] = np.cumsum(new) - 1
+    chosen = order[new]
+    if not _same_parts(data, starts, ends, chosen[own]):
+        return None
+    spans = zip(starts[chosen].tolist(), ends[chosen].tolist(), strict=True)
+    return Parts([raw[a:b] for a, b in spans], first[chosen], own, first)
+
+
+def _part_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the stretches between borders; empty ones have one hash."""
+    lengths = ends - starts
+    out = lengths.astype(np.uint64)
+    some = np.flatnonzero(lengths)
+    if len(some):
+        lengths = lengths[some]
+        begin = np.cumsum(lengths) - lengths
+        inside = np.delete(data, np.concatenate([starts - 1, ends[-1:]]))
+        place = np.arange(len(inside)) - np.repeat(begin, lengths)
+        terms = (inside.astype(np.uint64) + np.uint64(1)) * powers(int(lengths.max()))[place]
+        out[some] = mixed(np.add.reduceat(terms, begin) + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & ~np.uint64(1)
+    return out
+
+
+def _same_parts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chosen: np.ndarray) -> bool:
+    """Whether every part equals the part chosen for its hash, byte by byte."""
+    lengths = ends - starts
+    if (lengths != lengths[chosen]).any():
+        return False
+    inside = np.delete(data, np.concatenate([starts - 1, ends[-1:]]))
+    begin = np.cumsum(lengths) - lengths
+    shift = np.repeat(begin[chosen] - begin, lengths)
+    return bool((inside[np.arange(len(inside)) + shift] == inside).all())
