@@ -2,7 +2,7 @@
 
 A document's set is its distinct word n-grams, as 64-bit hashes. Documents with the same set
 are one class; classes are joined. All sets share one order of grams: those that are frequent
-somewhere last, then by hash. If two sets of s and t grams reach the similarity, they share at
+somewhere last, by the magnitude of their counts, then by hash. If two sets of s and t grams reach the similarity, they share at
 least `need(s)` grams, so the first s - need(s) + k grams of each hold k common ones.
 
 Light sets (fewer than `boundary` grams) emit every 2-subset of their first s - need(s) + 2
@@ -11,7 +11,8 @@ first s - need(s) + 1 grams, in which light sets near the boundary stand too. Th
 the size with the least total cost: subsets emitted below it, list entries scanned from it on,
 taken from the counts of all classes by size.
 
-Sharing a list is a candidate, checked on the whole sets. Lists are first checked as stars
+Two sets that share a list and pass the size and position bounds are a candidate, checked by
+parity bits, which refuse no similar pair, and then on the whole sets. Lists are first checked as stars
 around their smallest member, and the links found give groups; then all members of a list that
 are still in different groups and pass the size and position bounds are checked as pairs. So a
 list of n near copies costs n checks and not n * n, and no link between groups is missed.
@@ -38,7 +39,8 @@ from millrace.session import materialize
 
 # Grams are frequent when `FREQUENT` of the sets of one counted stretch hold them.
 STRETCH_SETS = 8_192
-FREQUENT = 8
+FREQUENT = 4
+PARITY_BITS = 2_048
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -91,8 +93,9 @@ def need(size: np.ndarray | int, percent: int) -> np.ndarray | int:
     return -(-size * percent // 100)
 
 
-def frequent_grams(rows: DataFrame, n: int) -> np.ndarray:
-    """Grams held by `FREQUENT` sets of a counted stretch of `STRETCH_SETS`, sorted. A gram in
+def frequent_grams(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grams held by `FREQUENT` sets of a counted stretch of `STRETCH_SETS`, sorted, and the
+    magnitudes (powers of two) of their counts. A gram in
     `FREQUENT` / `STRETCH_SETS` of all sets reaches that in one stretch at least. They only
     steer the order. Kept are those whose counted total is a quarter of that share of all sets,
     at most 4 * STRETCH_SETS / FREQUENT times the mean set size, whatever the corpus."""
@@ -103,7 +106,7 @@ def frequent_grams(rows: DataFrame, n: int) -> np.ndarray:
         def flush() -> pa.RecordBatch:
             grams, times = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
             often = times >= FREQUENT
-            return pa.RecordBatch.from_pydict({"gram": np.concatenate([grams[often], [0]]).astype(np.uint64).view(np.int64), "n": np.concatenate([times[often], [0]]).astype(np.int64), "sets": np.array([0] * int(often.sum()) + [sets], np.int64)})
+            return pa.RecordBatch.from_pydict({"gram": np.concatenate([grams[often], np.zeros(1, np.uint64)]).view(np.int64), "n": np.concatenate([times[often], [0]]).astype(np.int64), "sets": np.array([0] * int(often.sum()) + [sets], np.int64)})
 
         for batch in batches:
             for _, own in stretches(batch.column("text").to_pylist()):
@@ -118,26 +121,38 @@ def frequent_grams(rows: DataFrame, n: int) -> np.ndarray:
     counted = materialize(rows.mapInArrow(count, "gram long, n long, sets long"), "gram-counts")
     sets = counted.agg(F.sum("sets")).first()[0] or 0
     often = counted.where("n > 0").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= max(FREQUENT, sets * FREQUENT / STRETCH_SETS / 4))
-    return np.sort(often.select("gram").toArrow().column("gram").to_numpy().view(np.uint64))
+    found = often.toArrow()
+    grams, times = found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(grams)
+    return grams[order], np.log2(times[order]).astype(np.int8)
 
 
-def ordered(grams: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, int]:
+def ordered(grams: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, int]:
     """A sorted set in the common order, and how many of its grams are not frequent."""
-    if not len(frequent):
+    known, magnitude = frequent
+    if not len(known):
         return grams, len(grams)
-    late = frequent[np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)] == grams
-    return np.concatenate([grams[~late], grams[late]]), int((~late).sum())
+    at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+    late = known[at] == grams
+    often = grams[late]
+    return np.concatenate([grams[~late], often[np.argsort(magnitude[at[late]], kind="stable")]]), int((~late).sum())
 
 
-def describe_sets(rows: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """Stored: key, size, two hashes of the set, its first grams (two more than its prefix) and
-    how many of these are frequent."""
+def parity(grams: np.ndarray) -> bytes:
+    """For each of `PARITY_BITS` hash values, whether an odd number of grams has it. Where two
+    sets differ in n grams, at most n of these bits differ."""
+    return np.packbits(np.bincount((grams % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1 > 0).tobytes()
+
+
+def describe_sets(rows: DataFrame, n: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Stored: key, size, two hashes of the set, its first grams (two more than its prefix),
+    how many of these are frequent, and its parity bits."""
     kind = rows.schema["key"].dataType.simpleString()
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, own in stretches(batch.column("text").to_pylist()):
-                sizes, digests, heads, late = [], [], [], []
+                sizes, digests, heads, late, bits = [], [], [], [], []
                 for grams in gram_sets(own, n):
                     line, rare = ordered(grams, frequent)
                     head = line[: len(line) - need(len(line), percent) + 2]
@@ -145,10 +160,11 @@ def describe_sets(rows: DataFrame, n: int, percent: int, frequent: np.ndarray) -
                     digests.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest())
                     heads.append(head.tobytes())
                     late.append(max(0, len(head) - rare))
+                    bits.append(parity(grams))
                 hashes = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_pydict({"key": batch.column("key").slice(at, len(own)), "size": pa.array(sizes, pa.int64()), "h1": hashes[:, 0], "h2": hashes[:, 1], "head": pa.array(heads, pa.binary()), "late": pa.array(late, pa.int64())})
+                yield pa.RecordBatch.from_pydict({"key": batch.column("key").slice(at, len(own)), "size": pa.array(sizes, pa.int64()), "h1": hashes[:, 0], "h2": hashes[:, 1], "head": pa.array(heads, pa.binary()), "late": pa.array(late, pa.int64()), "bits": pa.array(bits, pa.binary())})
 
-    return materialize(rows.mapInArrow(describe, f"key {kind}, size long, h1 long, h2 long, head binary, late long"), "gram-sets")
+    return materialize(rows.mapInArrow(describe, f"key {kind}, size long, h1 long, h2 long, head binary, late long, bits binary"), "gram-sets")
 
 
 def choose_boundary(classes: DataFrame, percent: int, most: int = 64) -> int:
@@ -202,8 +218,36 @@ def _bounds(a: str, b: str, percent: int):
     return (F.least(s, t) * 100 >= F.greatest(s, t) * percent) & (left >= overlap) & some_heavy
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs a, b whose sets are similar."""
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs a, b that their sizes and parity bits allow to be similar: sets of s
+    and t grams with c common ones differ in s + t - 2 c, and at most so many bits differ."""
+    side = lambda x: classes.select(F.col("node").alias(x), F.col("size").alias(f"s{x}"), F.col("bits").alias(f"b{x}"))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s, t = batch.column("sa").to_numpy(), batch.column("sb").to_numpy()
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PARITY_BITS // 8) for c in ("ba", "bb"))
+            apart = np.bitwise_count(x ^ y).sum(axis=1)
+            common = -(-(s + t) * percent // (100 + percent))
+            yield batch.select(["a", "b"]).filter(pa.array((apart <= s + t - 2 * common) & (common <= np.minimum(s, t))))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(check, "a long, b long")
+
+
+def verify(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """Those of the pairs a, b whose sets are similar, stored. Sizes and parity bits come first,
+    so whole sets are only made and moved for pairs that are similar or nearly so."""
+    pairs = materialize(_likely(pairs, classes, percent), "likely-pairs")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = batch.column("node")
+            for at, own in stretches(batch.column("text").to_pylist()):
+                yield pa.RecordBatch.from_pydict({"node": nodes.slice(at, len(own)), "grams": pa.array([g.tobytes() for g in gram_sets(own, n)], pa.binary())})
+
+    texts = rows.join(wanted, F.col("key") == F.col("node"), "left_semi").select(F.col("key").alias("node"), "text")
+    sets = materialize(texts.mapInArrow(gather, "node long, grams binary"), "whole-sets")
     left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
 
@@ -212,12 +256,14 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             same = []
             for x, y in zip(batch.column("ga").to_pylist(), batch.column("gb").to_pylist(), strict=True):
                 s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.minimum(np.searchsorted(t, s), len(t) - 1)
-                common = int((t[at] == s).sum())
-                same.append(100 * common >= percent * (len(s) + len(t) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(same))
+                common = 0
+                if len(s) and len(t):
+                    common = int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
+                same.append(common > 0 and 100 * common >= percent * (len(s) + len(t) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ga", "gb").mapInArrow(check, "a long, b long")
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "ga", "gb")
+    return materialize(met.mapInArrow(check, "a long, b long").distinct(), "gram-links")
 
 
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -225,7 +271,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     described = describe_sets(rows, n, percent, frequent_grams(rows, n))
     # Each set once, under its smallest key: copies meet here and nowhere else.
-    classes = described.where("size > 0 and key is not null").groupBy("h1", "h2").agg(F.min("key").alias("node"), F.first("size").alias("size"), F.first("head").alias("head"), F.first("late").alias("late"))
+    classes = described.where("size > 0 and key is not null").groupBy("h1", "h2").agg(F.min("key").alias("node"), F.first("size").alias("size"), F.first("head").alias("head"), F.first("late").alias("late"), F.first("bits").alias("bits"))
     classes = materialize(classes, "gram-classes")
     links = components(_class_links(rows, classes, n, percent))
     named = classes.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "node").join(links, "node", "left")
@@ -241,21 +287,17 @@ def _class_links(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> D
     """Links a, b between classes that connect every group of similar ones."""
     entries = postings(classes, percent, choose_boundary(classes, percent))
     held = entries.groupBy("list").agg(F.collect_list(F.struct("node", "size", "place", "kind")).alias("own")).where(F.size("own") > 1)
-    shared = materialize(held.select("list", F.explode("own").alias("e")).select("list", "e.*"), "shared-grams")
-    wanted = shared.select("node").distinct()
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes = batch.column("node")
-            for at, own in stretches(batch.column("text").to_pylist()):
-                yield pa.RecordBatch.from_pydict({"node": nodes.slice(at, len(own)), "grams": pa.array([g.tobytes() for g in gram_sets(own, n)], pa.binary())})
-
-    texts = rows.join(wanted, F.col("key") == F.col("node"), "left_semi").select(F.col("key").alias("node"), "text")
-    sets = materialize(texts.mapInArrow(gather, "node long, grams binary"), "whole-sets")
-
-    first = shared.groupBy("list").agg(F.min("node").alias("a"))
-    stars = materialize(shared.join(first, "list").where("node > a").select("a", F.col("node").alias("b")).distinct(), "star-pairs")
-    found = materialize(verify(stars, sets, percent), "star-links")
+    # Lists of the same members say the same: one stays, with each member's first place, which
+    # only loosens the position bound.
+    members = F.xxhash64(F.transform(F.array_sort("own"), lambda e: F.struct(e["node"], e["kind"])))
+    alike = held.select(members.alias("list"), F.explode("own").alias("e")).select("list", "e.*")
+    alike = alike.groupBy("list", "node", "kind").agg(F.first("size").alias("size"), F.min("place").alias("place"))
+    shared = materialize(alike, "shared-grams")
+    first = shared.groupBy("list").agg(F.min(F.struct("node", "size", "place", "kind")).alias("m")).select("list", "m.*")
+    star = shared.alias("x").join(first.alias("y"), F.col("x.list") == F.col("y.list"))
+    star = star.where((F.col("x.node") > F.col("y.node")) & _bounds("x", "y", percent))
+    stars = materialize(star.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct(), "star-pairs")
+    found = verify(stars, rows, classes, n, percent)
 
     # Members of a list that are not in its largest group meet all members of other groups.
     grouped = shared.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -267,4 +309,4 @@ def _class_links(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> D
     met = few.join(open_.alias("y"), F.col("x.list") == F.col("y.list")).where(pair)
     rest = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     rest = materialize(rest.join(stars, ["a", "b"], "left_anti"), "rest-pairs")
-    return found.union(verify(rest, sets, percent))
+    return found.union(verify(rest, rows, classes, n, percent))
