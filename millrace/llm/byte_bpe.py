@@ -30,34 +30,36 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tokens import cuttable
+from millrace.llm.tokens import cuttable, split_parts
 
 LONG = 48
-WORDS_AT_ONCE = 20_000
-
-START = """
-    SELECT word, pos, tok, 0 AS round FROM start_tokens
-"""
-
-# One contraction per word and round.
-SHORT_SQL = f"""
-WITH RECURSIVE step AS ({START}
+WORDS_AT_ONCE = 10_000
+
+# One contraction per word and round. A row's key is word * 64 + position; `nxt` is the key of
+# the row behind it, so neighbours meet by a join. A merge's code is rank * 64 + position: the
+# smallest of a word is its leftmost pair of the smallest rank.
+SHORT_SQL = """
+WITH RECURSIVE step AS (
+    SELECT key, tok, nxt, 0 AS round FROM start_tokens
     UNION ALL
     (WITH pairs AS (
-        SELECT word, pos, tok, round, lead(tok) OVER w AS next_tok, lead(pos) OVER w AS next_pos
-        FROM step WINDOW w AS (PARTITION BY word ORDER BY pos)
+        SELECT s.key, s.tok, s.nxt, s.round, n.tok AS next_tok, n.nxt AS after
+        FROM step s LEFT JOIN step n ON n.key = s.nxt
     ), best AS (
-        SELECT p.word, min(struct_pack(merged := m.merged, pos := p.pos, next_pos := p.next_pos)) AS b
-        FROM pairs p JOIN merges m ON m.l = p.tok AND m.r = p.next_tok GROUP BY p.word
+        SELECT p.key >> 6 AS word, min(m.merged * 64 + (p.key & 63)) AS code, arg_min(p.nxt, m.merged * 64 + (p.key & 63)) AS absorbed
+        FROM pairs p JOIN merges m ON m.pair = p.tok * 65536 + p.next_tok GROUP BY p.key >> 6
     )
-    SELECT p.word, p.pos, CASE WHEN p.pos = b.b.pos THEN b.b.merged ELSE p.tok END, p.round + 1
-    FROM pairs p JOIN best b ON p.word = b.word WHERE p.pos <> b.b.next_pos)
-), last AS (SELECT word, max(round) AS round FROM step GROUP BY word)
+    SELECT p.key, CASE WHEN p.key & 63 = b.code & 63 THEN b.code >> 6 ELSE p.tok END AS tok,
+           CASE WHEN p.key & 63 = b.code & 63 THEN p.after ELSE p.nxt END AS nxt, p.round + 1
+    FROM pairs p JOIN best b ON p.key >> 6 = b.word WHERE p.key <> b.absorbed)
+), last AS (SELECT key >> 6 AS word, max(round) AS round FROM step GROUP BY key >> 6)
+SELECT l.word, s.key & 63 AS pos, s.tok FROM step s JOIN last l ON s.key >> 6 = l.word AND s.round = l.round
 """
 
 # All pairs of the smallest rank at once where that is safe, else the leftmost one.
-LONG_SQL = f"""
-WITH RECURSIVE step AS ({START}
+LONG_SQL = """
+WITH RECURSIVE step AS (
+    SELECT word, pos, tok, 0 AS round FROM start_tokens
     UNION ALL
     (WITH pairs AS (
         SELECT s.word, s.pos, s.tok, s.round, m.merged, m.safe
@@ -78,10 +80,9 @@ WITH RECURSIVE step AS ({START}
     SELECT word, pos, CASE WHEN merge THEN merged ELSE tok END, round + 1
     FROM (SELECT *, lag(merge, 1, false) OVER (PARTITION BY word ORDER BY pos) AS absorbed FROM chosen) WHERE NOT absorbed)
 ), last AS (SELECT word, max(round) AS round FROM step GROUP BY word)
+SELECT s.word, s.pos, s.tok FROM step s JOIN last l ON s.word = l.word AND s.round = l.round
 """
 
-IDS_SQL = "SELECT s.word, s.pos, s.tok FROM step s JOIN last l ON s.word = l.word AND s.round = l.round"
-
 DECODE_SQL = """
 SELECT e.word, string_agg(CAST(e.tok AS VARCHAR), ',' ORDER BY e.pos) AS ids, count(*) AS n,
        string_agg(v.bytes, '' ORDER BY e.pos) AS decoded
@@ -96,14 +97,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def merge_table(ranks: dict[bytes, int]) -> pa.Table:
-    """l, r, merged, safe: the entry's rank, and whether no pair that holds it has a smaller one."""
+    """l, r, both as one number, merged, safe: the entry's rank, and whether no pair that holds it has a smaller one."""
     rows = [(l, r, rank) for entry, rank in ranks.items() for i in range(1, len(entry)) if (l := ranks.get(entry[:i])) is not None and (r := ranks.get(entry[i:])) is not None]
     least = np.full(max(ranks.values()) + 1, np.iinfo(np.int64).max)
     for l, r, rank in rows:
         least[l] = min(least[l], rank)
         least[r] = min(least[r], rank)
-    l, r, merged = np.array(rows, np.int32).reshape(-1, 3).T
-    return pa.table({"l": l, "r": r, "merged": merged, "safe": least[merged] > merged})
+    l, r, merged = np.array(rows, np.int64).reshape(-1, 3).T
+    return pa.table({"l": l, "r": r, "pair": l * 65536 + r, "merged": merged, "safe": least[merged] > merged})
 
 
 class DuckCoder:
@@ -114,24 +115,32 @@ class DuckCoder:
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
         self.db.register("merge_rows", merge_table(self.ranks))
-        self.db.register("vocabulary_rows", pa.table({"tok": pa.array(self.ranks.values(), pa.int32()), "bytes": [k.hex() for k in self.ranks]}))
+        self.db.register("vocabulary_rows", pa.table({"tok": pa.array(self.ranks.values(), pa.int64()), "bytes": [k.hex() for k in self.ranks]}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merge_rows; CREATE TABLE vocabulary AS SELECT * FROM vocabulary_rows")
-        self.young: dict[str, tuple[bytes, int, bytes]] = {}
-        self.old: dict[str, tuple[bytes, int, bytes]] = {}
+        self.young: dict[bytes, tuple[bytes, int, bytes]] = {}
+        self.old: dict[bytes, tuple[bytes, int, bytes]] = {}
+        self.stems: dict[str, tuple[bytes, int, bytes]] = {}
 
     def _contract(self, words: list[bytes], sql: str) -> None:
         """Append the encodings of words, numbered from 0, to the table `encoded`."""
         lengths = np.array([len(w) for w in words])
         ends = np.cumsum(lengths)
-        tokens = self.single[np.frombuffer(b"".join(words), np.uint8)]
-        word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
-        pos = (np.arange(len(tokens)) - np.repeat(ends - lengths, lengths)).astype(np.int32)
-        self.db.register("start_tokens", pa.table({"word": word, "pos": pos, "tok": tokens}))
-        self.db.execute(f"CREATE OR REPLACE TEMP TABLE encoded AS {sql} {IDS_SQL}")
+        tokens = self.single[np.frombuffer(b"".join(words), np.uint8)].astype(np.int64)
+        word = np.repeat(np.arange(len(words)), lengths)
+        pos = np.arange(len(tokens)) - np.repeat(ends - lengths, lengths)
+        if sql is SHORT_SQL:
+            final = np.zeros(len(tokens), bool)
+            final[ends - 1] = True
+            rows = {"key": word * 64 + pos, "tok": tokens, "nxt": pa.array(word * 64 + pos + 1, mask=final)}
+        else:
+            rows = {"word": word, "pos": pos, "tok": tokens}
+        self.db.register("start_tokens", pa.table(rows))
+        self.db.execute(f"CREATE OR REPLACE TEMP TABLE encoded AS {sql}")
         self.db.unregister("start_tokens")
 
     def _decoded(self) -> Iterator[tuple[int, tuple[bytes, int, bytes]]]:
-        for word, ids, n, decoded in self.db.execute(DECODE_SQL).fetchall():
+        found = self.db.sql(DECODE_SQL).to_arrow_table()
+        for word, ids, n, decoded in zip(*(c.to_pylist() for c in found.columns), strict=True):
             yield word, (ids.encode(), n, bytes.fromhex(decoded))
 
     def words(self, texts: list[str]) -> dict[str, tuple[bytes, int, bytes]]:
@@ -153,47 +162,70 @@ class DuckCoder:
                 out.update((own[i][0], x) for i, x in self._decoded())
         return out
 
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, int, bytes]]:
-        """Encodings of whole texts."""
+    def _words(self, lists: list[list[str]]) -> list[tuple[bytes, int, bytes]]:
+        """Encodings of lists of words; the words themselves are kept as well."""
+        needed = set().union(*lists) - self.stems.keys()
+        if len(self.stems) > self.keep:
+            self.stems = {}
+            needed = set().union(*lists)
+        coded = self.words(list(needed))
+        self.stems.update((w, x) for w, x in coded.items() if len(w) <= LONG)
+        out = []
+        for words in lists:
+            own = [self.stems.get(w) or coded[w] for w in words]
+            out.append(own[0] if len(own) == 1 else (b",".join(x[0] for x in own), sum(x[1] for x in own), b"".join(x[2] for x in own)))
+        return out
+
+    def _parts(self, parts: list[bytes]) -> list[tuple[bytes, int, bytes]]:
+        """Encodings of different parts, each behind a blank."""
         if len(self.young) > self.keep:
             self.old, self.young = self.young, {}
-        pieces: list[list[str]] = []
-        for text in texts:
-            if not text:
-                pieces.append([])
-            elif cuttable(text):
-                first, *rest = text.split(" ")
-                pieces.append(([first] if first else []) + [" " + p for p in rest])
-            else:
-                pieces.append([text])
-        missing: dict[str, list[str]] = {}
-        for p in set().union(*pieces) - self.young.keys():
-            if (known := self.old.get(p)) is not None:
-                self.young[p] = known
-            else:
-                missing[p] = self.pattern.findall(p)
-        coded = self.words([w for words in missing.values() for w in words])
-        found: dict[str, tuple[bytes, int, bytes]] = {}
-        for p, words in missing.items():
-            own = [coded[w] for w in words]
-            found[p] = (b",".join(x[0] for x in own), sum(x[1] for x in own), b"".join(x[2] for x in own))
-        self.young.update((p, x) for p, x in found.items() if len(p) <= 64)
-        out = []
-        for own in pieces:
-            parts = list(map(self.young.get, own))
-            if None in parts:
-                parts = [x or found[p] for p, x in zip(own, parts, strict=True)]
-            ids, n, decoded = zip(*parts, strict=True) if parts else ((), (), ())
-            out.append((b",".join(ids), sum(n), b"".join(decoded)))
+        found = [self.young.get(p) or self.old.get(p) for p in parts]
+        missing = [i for i, x in enumerate(found) if x is None]
+        for i, x in zip(missing, self._words([self.pattern.findall(" " + parts[i].decode()) for i in missing]), strict=True):
+            found[i] = x
+        self.young.update((p, x) for p, x in zip(parts, found, strict=True) if len(p) <= LONG)
+        return found
+
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, int, bytes]]:
+        """Encodings of whole texts."""
+        out: list[tuple[bytes, int, bytes]] = [(b"", 0, b"")] * len(texts)
+        easy = [i for i, t in enumerate(texts) if t and cuttable(t)]
+        hard = [i for i, t in enumerate(texts) if t and not cuttable(t)]
+        split = split_parts([texts[i].encode() for i in easy]) if easy else None
+        if easy and split is None:
+            hard, easy = sorted(easy + hard), []
+        for i, x in zip(hard, self._words([self.pattern.findall(texts[i]) for i in hard]), strict=True):
+            out[i] = x
+        if not easy:
+            return out
+        coded: list[tuple[bytes, int, bytes]] = [(b"", 0, b"")] * len(split.parts)
+        inner = np.flatnonzero(~split.heads).tolist()
+        for i, x in zip(inner, self._parts([split.parts[i] for i in inner]), strict=True):
+            coded[i] = x
+        heads = [i for i in np.flatnonzero(split.heads).tolist() if split.parts[i]]
+        for i, x in zip(heads, self._words([self.pattern.findall(split.parts[i].decode()) for i in heads]), strict=True):
+            coded[i] = x
+        ids, counts, decoded = zip(*coded, strict=True)
+        own = split.own.tolist()
+        ids, decoded = list(map(ids.__getitem__, own)), list(map(decoded.__getitem__, own))
+        total = np.concatenate([[0], np.cumsum(np.array(counts)[split.own])])
+        begins = np.flatnonzero(split.first)
+        for i, a, b in zip(easy, begins.tolist(), [*begins[1:].tolist(), len(own)], strict=True):
+            out[i] = (b",".join(ids[a + (not ids[a]) : b]), int(total[b] - total[a]), b"".join(decoded[a:b]))
         return out
 
+    def forget(self) -> None:
+        """Drop the tables: idle Python workers of an executor should hold little."""
+        self.young, self.old, self.stems = {}, {}, {}
+
 
 @lru_cache(maxsize=1)
 def coder(ranks_path: str, pattern: str) -> DuckCoder:
     return DuckCoder(ranks_path, pattern)
 
 
-BATCH_CHARS = 8_000_000
+BATCH_CHARS = 6_000_000
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
@@ -224,6 +256,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "do
                     out |= {"ids": pa.array([list(map(int, x[0].split(b","))) if x[0] else [] for x in found], pa.list_(pa.int32())), "decoded": pa.array([x[2] for x in found], pa.binary())}
                 yield pa.RecordBatch.from_pydict(out)
                 at += len(own)
+        duck.forget()
 
     kind = rows.schema["key"].dataType.simpleString()
     return rows.mapInArrow(run, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * with_ids)
