@@ -2,11 +2,12 @@
 
 Copies of a vector are one class; classes are compared. Spherical k-means, fitted on a bounded
 sample (`sample` rows with the smallest hash; the centres only steer the work), assigns every
-class to its nearest centre's cell. A pair of classes in two cells i < j is compared in cell i:
-there the class of j comes as a guest if it lies within the link angle of the plane between
-both centres, which every class with a link into i does. So no link is lost. A cell of many
-members is cut into blocks, and each pair of blocks is one task's cosine product; only link
-counts and the links of a spanning forest leave it. One vector per group is kept.
+class to its nearest centre's cell; the number of cells is that of the least cost. A pair of
+classes in two cells i < j is compared in cell i: there the class of j comes as a guest if it
+lies within the link angle of the plane between both centres, which every class with a link
+into i does. So no link is lost. A cell of many members is cut into blocks, and each pair of
+blocks is one task's cosine product; only link counts and a spanning forest leave it. One
+vector per group is kept.
 
 Defined cases: null, zero and non-finite vectors link with nothing; vectors of different
 dimension are not linked; rows that repeat an id are one vector of the answer for linking, each
@@ -27,8 +28,11 @@ from millrace.llm.components import components
 from millrace.llm.vectors import matrix, usable
 from millrace.session import materialize
 
-BLOCK = 2_048
+BLOCK = 8_192
+TILE = 1_024
 MAX_CELLS = 1_024
+# Moving a row costs about as much as this many products.
+PAIRS_PER_ROW = 500
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -82,7 +86,76 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.95, key: str = "vec_id", vector: str = "embedding", cell_size: int = 1_000, sample: int = 20_000) -> DataFrame:
+class BlockLinks:
+    """Link counts of the vectors of a block pair, and pairs that connect what is linked.
+
+    A tile's cosines are first taken in single precision; pairs near or over the threshold are
+    taken again in double. Where these are many, the tile is taken as a whole."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, copies: np.ndarray, threshold: float):
+        self.x, self.ids, self.copies, self.threshold = x, ids, copies, threshold
+        self.norm = np.linalg.norm(x, axis=1)
+        self.unit = (x / self.norm[:, None]).astype(np.float32)
+        self.degree = np.zeros(len(ids), np.int64)
+        self.pairs: list[np.ndarray] = []
+
+    def compare(self, left: np.ndarray, right: np.ndarray, both: bool) -> None:
+        """All pairs of two lists of rows; `both`: count the links for the right side too."""
+        for at in range(0, len(left) if len(right) else 0, TILE):
+            rows = left[at : at + TILE]
+            near = self.unit[rows] @ self.unit[right].T >= np.float32(self.threshold - 1e-4)
+            if np.count_nonzero(near) > 64 * TILE:
+                linked = (self.x[rows] @ self.x[right].T) / (self.norm[rows][:, None] * self.norm[right][None, :]) >= self.threshold
+                linked &= self.ids[rows][:, None] != self.ids[right][None, :]
+                self.degree[rows] += linked @ self.copies[right]
+                if both:
+                    self.degree[right] += linked.T @ self.copies[rows]
+                self._connect(rows, right, linked)
+            else:
+                i, j = np.nonzero(near)
+                i, j = rows[i], right[j]
+                some = (np.einsum("ij,ij->i", self.x[i], self.x[j]) / (self.norm[i] * self.norm[j]) >= self.threshold) & (self.ids[i] != self.ids[j])
+                i, j = i[some], j[some]
+                np.add.at(self.degree, i, self.copies[j])
+                if both:
+                    np.add.at(self.degree, j, self.copies[i])
+                self.pairs.append(np.column_stack([self.ids[i], self.ids[j]]))
+
+    def _connect(self, rows: np.ndarray, right: np.ndarray, linked: np.ndarray) -> None:
+        """Every linked vector of the tile with the smallest id that the tile's links reach."""
+        top = np.iinfo(np.int64).max
+        a, b = self.ids[rows], self.ids[right]
+        while True:
+            low_a = np.minimum(a, np.where(linked, b[None, :], top).min(axis=1))
+            low_b = np.minimum(b, np.where(linked, low_a[:, None], top).min(axis=0))
+            if (low_a == a).all() and (low_b == b).all():
+                break
+            a, b = low_a, low_b
+        self.pairs += [np.column_stack([self.ids[rows], a]), np.column_stack([self.ids[right], b])]
+
+    def forest(self) -> list[tuple[int, int]]:
+        pairs = np.concatenate(self.pairs) if self.pairs else np.empty((0, 2), np.int64)
+        return _forest(pairs[:, 0], pairs[:, 1])
+
+
+def choose_centres(x: np.ndarray, n: int, threshold: float) -> np.ndarray:
+    """Centres for n classes like the sample x: more of them as long as that lowers the cost of
+    the products (pairs) and of the rows moved. Vectors without clusters end up in one cell,
+    which is compared block by block; the links found are the same either way."""
+    probe, best, least, k = _unit(x[:4_000]), None, np.inf, 1
+    while k <= min(MAX_CELLS, max(1, n // BLOCK), max(1, len(x) // 4)):
+        centres = spherical_kmeans(x, k)
+        _, cells, home = visited_cells(probe, centres, threshold)
+        here = np.bincount(cells, minlength=k) / len(probe) * n
+        own = np.bincount(cells[home], minlength=k) / len(probe) * n
+        cost = (own * here).sum() + PAIRS_PER_ROW * (here * np.ceil(here / BLOCK)).sum()
+        if cost >= least:
+            break
+        best, least, k = centres, cost, 4 * k
+    return best
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = 0.95, key: str = "vec_id", vector: str = "embedding", sample: int = 20_000) -> DataFrame:
     """One row per vector: key, n_links, component_id, kept."""
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).alias("x"))
     good = rows.where(F.col("id").isNotNull() & usable("x")).withColumn("hash", F.xxhash64("x")).withColumn("hash2", F.xxhash64(F.lit(1), "x"))
@@ -94,7 +167,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, key: str = "vec
         own = classes.where(F.col("dim") == dim)
         n = own.count()
         drawn = own.select("x", "hash").orderBy("hash").limit(sample).toArrow()
-        centres = spherical_kmeans(matrix(drawn.column("x"), dim), max(1, min(MAX_CELLS, n // cell_size, drawn.num_rows // 4)))
+        centres = choose_centres(matrix(drawn.column("x"), dim), n, threshold)
         parts.append(_compare(own, dim, centres, threshold))
     empty = classes.sparkSession.createDataFrame([], "a long, b long, degree long")
     found = empty
@@ -133,25 +206,22 @@ def _compare(classes: DataFrame, dim: int, centres: np.ndarray, threshold: float
     dealt = dealt.select("cell", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "home", "id", "copies", "x")
 
     def compare(group: pa.Table) -> pa.Table:
-        x = matrix(group.column("x"), dim)
         ids, copies, home, block = (group.column(c).to_numpy() for c in ("id", "copies", "home", "block"))
         first, second = group.column("first")[0].as_py(), group.column("second")[0].as_py()
-        left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
-        norm = np.linalg.norm(x, axis=1)
-        cosine = (x[left] @ x[right].T) / (norm[left][:, None] * norm[right][None, :])
-        # Guests of a cell are compared with each other in a cell of their own.
-        linked = (cosine >= threshold) & (home[left][:, None] | home[right][None, :]) & (ids[left][:, None] != ids[right][None, :])
-        degree = np.zeros(len(ids), np.int64)
-        degree[left] += linked @ copies[right]
-        if first != second:
-            degree[right] += linked.T @ copies[left]
-        i, j = np.nonzero(linked)
-        forest = _forest(ids[left][i], ids[right][j])
-        some = np.flatnonzero(degree)
-        a = pa.array(np.concatenate([ids[some], np.array([e[0] for e in forest], np.int64)]), pa.int64())
+        links = BlockLinks(matrix(group.column("x"), dim), ids, copies, threshold)
+        own, guest = np.flatnonzero((block == first) & home), np.flatnonzero((block == first) & ~home)
+        # Guests are compared with each other in a cell of their own.
+        if first == second:
+            links.compare(own, own, both=False)
+            links.compare(own, guest, both=True)
+        else:
+            links.compare(own, np.flatnonzero(block == second), both=True)
+            links.compare(guest, np.flatnonzero((block == second) & home), both=True)
+        some, forest = np.flatnonzero(links.degree), links.forest()
         return pa.table({
-            "a": a, "b": pa.array([None] * len(some) + [e[1] for e in forest], pa.int64()),
-            "degree": pa.array(degree[some].tolist() + [None] * len(forest), pa.int64()),
+            "a": pa.array(np.concatenate([ids[some], np.array([e[0] for e in forest], np.int64)]), pa.int64()),
+            "b": pa.array([None] * len(some) + [e[1] for e in forest], pa.int64()),
+            "degree": pa.array(links.degree[some].tolist() + [None] * len(forest), pa.int64()),
         })
 
     return dealt.groupBy("cell", "first", "second").applyInArrow(compare, "a long, b long, degree long")
