@@ -45,7 +45,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens and their places in sequences."""
-    pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("key", "doc_id")
+    pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), special=True).withColumnRenamed("key", "doc_id")
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

@@ -122,7 +122,7 @@ def runs_of(plan: Plan) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 4)
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, window: int, quantum: int, key: str = "doc_id", text: str = "text", end_id: int = 0, with_ids: bool = False) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, window: int, quantum: int, key: str = "doc_id", text: str = "text", end_id: int = 0, with_ids: bool = False, special: bool = False) -> DataFrame:
     """Stored pieces: key, start, length, ids_crc32, doc_tokens, bin, part and rank (of the
     piece among those of its bin in the part), and the ids if asked."""
     dtype = id_type(tokenizer)
@@ -132,7 +132,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, window: int, quantum: int, key:
     arrow_key = rows.limit(0).toArrow().schema.field("key").type
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, seen, part = encoder(tokenizer, dtype), np.zeros(window // quantum + 1, np.int64), TaskContext.get().partitionId()
+        enc, seen, part = encoder(tokenizer, dtype, special), np.zeros(window // quantum + 1, np.int64), TaskContext.get().partitionId()
         for batch in batches:
             found: list[tuple] = []
             raws: list[bytes] = []

@@ -76,13 +76,13 @@ def op7_external_shuffle(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def op8_pack_nnls(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), special=True)
     return pieces.withColumnRenamed("key", "doc_id").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 @register
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    read = token_files(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    read = token_files(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), special=True)
     return read.withColumnRenamed("key", "doc_id").select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -37,8 +37,8 @@ PLACE = np.dtype([("print", "<u4"), ("part", "<u4"), ("attempt", "<u8"), ("offse
 
 
 @lru_cache(maxsize=1)
-def encoder(tokenizer: str, dtype: str) -> PartEncoder:
-    return PartEncoder(tokenizer, dtype)
+def encoder(tokenizer: str, dtype: str, special: bool = False) -> PartEncoder:
+    return PartEncoder(tokenizer, dtype, special=special)
 
 
 def id_type(tokenizer: str) -> str:
@@ -51,7 +51,7 @@ def payload_name(folder: str, part: int, attempt: int) -> str:
     return f"{folder}/tokens-{part:06d}-{attempt}.bin"
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 0, special: bool = False) -> DataFrame:
     """Write the payload files; the stored manifest has key, ordinal, part, attempt, offset
     (bytes), ids and start (ids of all documents before)."""
     dtype = id_type(tokenizer)
@@ -61,7 +61,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key: str = "
     rows = rows.repartitionByRange("key").sortWithinPartitions("key", F.xxhash64("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, out, offset, last, ordinal = encoder(tokenizer, dtype), None, 0, object(), 0
+        enc, out, offset, last, ordinal = encoder(tokenizer, dtype, special), None, 0, object(), 0
         context = TaskContext.get()
         for batch in batches:
             if out is None:
@@ -248,10 +248,10 @@ def read_ids(places: DataFrame, folder: str, dtype: str, with_ids: bool = False)
     return ordered.mapInArrow(read, schema)
 
 
-def token_files(docs: DataFrame, tokenizer: str, folder: str | None = None) -> DataFrame:
+def token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, special: bool = False) -> DataFrame:
     """Write, index, look every document up again and read its ids back."""
     folder = folder or scratch_path(docs.sparkSession, "token-files")
-    manifest = write_token_files(docs, folder, tokenizer)
+    manifest = write_token_files(docs, folder, tokenizer, special=special)
     directory = build_index(manifest, folder)
     places = lookup(manifest.select("key", "ordinal"), directory)
     return read_ids(places, folder, id_type(tokenizer))

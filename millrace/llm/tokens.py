@@ -4,7 +4,8 @@ The pre-tokenising pattern of byte-level vocabularies always begins a new match
 that follows a non-blank, and at the last blank of a run of white space. So a text whose
 white space has no blank between other white space can be cut before every blank, and each
 part is encoded alone. Parts recur (words do), so a bounded table of parts keeps their ids.
-Any other text is encoded whole. Both give the library's ids.
+Any other text, and one that holds the string of an added token, is encoded whole. Both give
+the library's ids.
 """
 
 from __future__ import annotations
@@ -46,14 +47,17 @@ class PartEncoder:
     """Ids of texts as little-endian bytes of `dtype`; keeps at most 2 * `keep` parts.
 
     Two generations: when the younger table is full it becomes the older one, and parts
-    found there move back to the younger. Nothing depends on what is kept but speed.
+    found there move back to the younger. Nothing depends on what is kept but speed. With
+    `special` the strings of special tokens in a text are these tokens, as the library has it by
+    default; else they are ordinary text.
     """
 
-    def __init__(self, tokenizer_path: str, dtype: str = "<u2", keep: int = 400_000):
+    def __init__(self, tokenizer_path: str, dtype: str = "<u2", keep: int = 400_000, special: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if special or not t.special]
         self.model = self.tokenizer.model
         if hasattr(self.model, "_resize_cache"):
             self.model._resize_cache(0)  # parts come once here, the library's own table only costs time
@@ -154,7 +158,7 @@ class PartEncoder:
 
         for text in texts:
             out.append(b"")
-            if text and not cuttable(text):
+            if text and (any(a in text for a in self.added) or not cuttable(text)):
                 out[-1] = self._whole(text)
             elif text:
                 held.append(text.encode())
