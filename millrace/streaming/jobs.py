@@ -12,12 +12,17 @@ Fold = Callable[[DataFrame | None, DataFrame], DataFrame]
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
-    """A Parquet table (file or folder) as a stream, with the schema of the stored table."""
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """A Parquet table (file or folder) as a stream, with the schema of the stored table. A
+    single file is streamed as its folder with the file's name as the filter; the filter looks at
+    the names of files only, so a table of part files is streamed as the folder it is."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
 def stream_folder(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
