@@ -29,11 +29,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones stays: that with the smallest doc_id, once.
+    """One document of each group of similar ones stays: that with the smallest doc_id, and among
+    its texts that with the smallest hash, once. Different texts of one doc_id are documents of
+    their own; of rows equal in both, that with the smallest hash of all columns stays.
     Documents without doc_id stay."""
-    kept = similar_groups(docs).where("doc_id = component_id").select(F.col("doc_id").cast("long").alias("kept_id")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).union(docs.where("doc_id is null"))
+    node = f"node_{uuid.uuid4().hex}"  # no column of the table has this name
+    named = docs.where("doc_id is not null").withColumn(node, F.xxhash64("doc_id", "text"))
+    groups = similar_groups(named, key=node).select(F.col(node).alias("member"), "component_id").distinct()
+    met = groups.join(named.select("doc_id", node).distinct(), F.col("member") == F.col(node))
+    kept = met.groupBy("component_id").agg(F.min(F.struct("doc_id", "member")).alias("least")).select(F.col("least.member").alias("kept_node"))
+    rows = named.join(kept, F.col(node) == F.col("kept_node"), "left_semi")
+    once = rows.groupBy(node).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")).select("row.*")
+    return once.union(docs.where("doc_id is null"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
