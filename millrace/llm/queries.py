@@ -14,6 +14,7 @@ from millrace.llm.near_vectors import near_duplicates
 from millrace.llm.neighbours import nearest_neighbours
 from millrace.llm.packing import pack
 from millrace.llm.quality import fit_quality, score_quality
+from millrace.llm.reply_trees import conversation_digests, conversation_trees, format_trees
 from millrace.llm.sharding import external_shuffle, write_shards
 from millrace.llm.suffixes import remove_repeats
 from millrace.llm.token_files import token_files
@@ -91,6 +92,30 @@ def op9_warc_index(spark: SparkSession, folder: str) -> DataFrame:
     return archive(table(spark, folder, "pages"))
 
 
+@register
+def op11_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    given = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return conversation_digests(format_trees(conversation_trees(turns.union(given)))).withColumnRenamed("tree", "conv_id")
+
+
+SQL["op11_reply_trees"] = r"""
+WITH t AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM t),
+e AS (
+    SELECT *, replace(replace(replace(text, '\', '\\'), '###', '\h'), '</turn>', '\t') AS etext,
+           replace(replace(replace(replace(role, '\', '\\'), '###', '\h'), '</turn>', '\t'), ':', '\c') AS erole FROM c
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(etext) + length(erole) + 14) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
 SQL["op9_warc_index"] = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
      d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
