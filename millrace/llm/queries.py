@@ -19,6 +19,7 @@ from millrace.llm.sharding import external_shuffle, write_shards
 from millrace.llm.suffixes import remove_repeats
 from millrace.llm.token_files import token_files
 from millrace.llm.warc import archive
+from millrace.llm.zone_clusters import cluster_vectors
 from millrace.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +117,44 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
+@register
+def op12_zone_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return cluster_vectors(table(spark, folder, "embeddings"))
+
+
+def _clusters_sql(rounds: int = 10) -> str:
+    """The rounds one after another: a<r> are the nearest centroids, c<r> the centroids."""
+    steps = [
+        """
+WITH v AS (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS c, x FROM v ORDER BY sha256('3:' || vec_id), x LIMIT 8)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+    SELECT row, vec_id, x, c, d FROM (
+        SELECT v.row, v.vec_id, v.x, c.c, list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i]))) AS d FROM v, c{r} c
+    ) QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, c) = 1
+)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} AS MATERIALIZED (
+    SELECT o.c, coalesce(n.x, o.x) AS x FROM c{r} o LEFT JOIN (
+        SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x
+        FROM (SELECT c, i, sum(x[i]) AS s, count(*) AS n FROM a{r}, range(1, 65) t(i) GROUP BY c, i) GROUP BY c
+    ) n ON n.c = o.c
+)""")
+    return ",".join(steps) + f"""
+SELECT a.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.c = a.c
+"""
+
+
+SQL["op12_zone_clusters"] = _clusters_sql()
+
 SQL["op9_warc_index"] = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
      d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
