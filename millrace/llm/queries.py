@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.byte_bpe import encode_decode
 from millrace.llm.jaccard import similar_groups
+from millrace.llm.manifest import manifest
 from millrace.llm.near_vectors import near_duplicates
 from millrace.llm.neighbours import nearest_neighbours
 from millrace.llm.packing import pack
@@ -155,6 +156,60 @@ FROM a{rounds} a JOIN c{rounds} c ON c.c = a.c
 
 SQL["op12_zone_clusters"] = _clusters_sql()
 
+@register
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    claimed = {"text": F.when(tampered, lowered).otherwise(F.col("text"))}
+    return manifest(table(spark, folder, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "source", "doc_id", claimed)
+
+
+def _manifest_sql(levels: int = 8, tops: int = 6) -> str:
+    """Level by level, every leaf with the node above it (h), the folded node (f), the node's
+    place (p) and the siblings so far."""
+    h = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || {0}, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(h.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    # unsigned crc32 by a table of bytes
+    steps = [f"""
+WITH RECURSIVE bits AS (
+    SELECT range AS b, 0 AS k, CAST(range AS BIGINT) AS c FROM range(256)
+    UNION ALL SELECT b, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+), crc_table AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8),
+tampered AS (
+    SELECT doc_id, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ord(ch) AS BIGINT))),
+                       lambda c, b: xor(c >> 8, t[CAST(xor(c % 256, b) AS INTEGER) + 1])), 4294967295) % 5 = 0 AS bad
+    FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), crc_table
+), l AS (
+    SELECT d.doc_id, d.source, {leaf("text")} AS leaf,
+           CASE WHEN t.bad THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {leaf("text")} END AS claim
+    FROM (SELECT doc_id, source, lang, n_chars, text FROM documents) d LEFT JOIN tampered t USING (doc_id)
+), s0 AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, doc_id, source AS tree, leaf, leaf AS h, claim AS f, '' AS sib, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM l
+)"""]
+
+    def step(old: str, new: str) -> str:
+        return f"""
+{new}r AS (
+    SELECT tree, p // 16 AS q, list('64:' || h ORDER BY p) AS run FROM (SELECT DISTINCT tree, p, h FROM {old}) GROUP BY tree, q
+), {new}n AS (SELECT tree, count(DISTINCT p) AS n FROM {old} GROUP BY tree),
+{new} AS MATERIALIZED (
+    SELECT o.row, o.doc_id, o.tree, o.leaf, CASE WHEN n > 1 THEN sha256(array_to_string(run, '')) ELSE h END AS h,
+           CASE WHEN n > 1 THEN sha256(array_to_string(run[: p % 16] || ['64:' || f] || run[p % 16 + 2 :], '')) ELSE f END AS f,
+           CASE WHEN n > 1 THEN sib || array_to_string(run[: p % 16] || run[p % 16 + 2 :], '') ELSE sib END AS sib, CASE WHEN n > 1 THEN p // 16 ELSE p END AS p
+    FROM {old} o JOIN {new}n n ON o.tree IS NOT DISTINCT FROM n.tree JOIN {new}r r ON o.tree IS NOT DISTINCT FROM r.tree AND p // 16 = q
+)"""
+
+    steps += [step(f"s{i}", f"s{i + 1}") for i in range(levels)]
+    steps.append(f"""
+t0 AS MATERIALIZED (SELECT row, doc_id, 0 AS tree, leaf, h, f, sib, dense_rank() OVER (ORDER BY tree NULLS FIRST) - 1 AS p, h AS subroot FROM s{levels})""")
+    steps += [step(f"t{i}", f"t{i + 1}") for i in range(tops)]
+    return ",".join(steps) + f"""
+SELECT z.doc_id, z.leaf, t0.subroot, z.h AS root, sha256(z.sib) AS proof_sha256, z.f AS folded_root, z.f = z.h AS verified FROM t{tops} z JOIN t0 USING (row)
+"""
+
+
+SQL["op13_merkle_manifest"] = _manifest_sql()
+
 SQL["op9_warc_index"] = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
      d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
