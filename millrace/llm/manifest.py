@@ -9,7 +9,8 @@ the run, the run above, and the place in it.
 *Climb.* A Spark recursive query starts at the lowest runs and ascends run by run to the root.
 The leaves of a run share all siblings above it, so they climb in one row: the siblings are
 appended once, and every leaf's own digest, recomputed from its claimed fields, is folded with
-them. A framed digest has a fixed width, so folding replaces a stretch of the run's string.
+them. A framed digest has a fixed width, so folding replaces a stretch of the run's string. What
+climbs is raw digests, half as long as their text.
 Everything climbs through the root: runs above more than `CLIMBERS` lowest runs are stored several
 times, under a salt that deals their climbers evenly.
 
@@ -49,6 +50,11 @@ def _framed_run(digests: Column) -> Column:
     return F.array_join(F.transform(digests, lambda d: F.concat(F.lit("64:"), d)), "")
 
 
+def _framed_bytes(digests: Column) -> Column:
+    """Raw digests end to end as framed text."""
+    return F.regexp_replace(F.lower(F.hex(digests)), "([0-9a-f]{64})", "64:$1")
+
+
 def _replaced(run: Column, place: Column, by: Column) -> Column:
     return F.overlay(run, by, place * WIDTH + 1, F.lit(WIDTH))
 
@@ -66,7 +72,7 @@ def lowest_runs(rows: DataFrame, fields: list[str], group: str, order: str, clai
     claims = digest(*(claimed.get(f, F.col(f)) for f in fields))
     changed = reduce(lambda a, b: a | b, (~c.eqNullSafe(F.col(f)) for f, c in claimed.items()), F.lit(False))
     leaves = rows.select(plain_key(group).alias("g"), F.col(order).alias("id"), digest(*map(F.col, fields)).alias("leaf"), F.when(changed, claims).alias("claim"))
-    placed = rank_in_group(leaves, ["g"], [F.col("id").asc_nulls_first(), F.col("leaf")], id_order_bucket(F.col("id")), "pos")
+    placed = rank_in_group(leaves, ["g"], [F.col("id").asc_nulls_first(), F.col("leaf")], id_order_bucket(F.col("id"), 4096), "pos")
     member = F.struct((F.col("pos") % FANOUT).cast("int").alias("place"), "leaf", F.coalesce("claim", "leaf").alias("claim"), "id")
     runs = placed.groupBy("g", F.col("pos_total").alias("n"), F.floor(F.col("pos") / FANOUT).alias("run")).agg(F.sort_array(F.collect_list(member)).alias("members"))
     return materialize(runs, "manifest-lowest")
@@ -126,7 +132,7 @@ def _group_links(level: DataFrame, number: int, top: DataFrame) -> DataFrame:
 
 
 def climb(lowest: DataFrame, levels: list[DataFrame], tops: list[DataFrame]) -> DataFrame:
-    """Stored: g, run, folded (a root for each member), siblings above the run, subroot."""
+    """Stored: g, run, folded (a root for each member), siblings above the run (both raw), subroot."""
     spark = lowest.sparkSession
     linked = [_linked(t, tops[i + 1] if i + 1 < len(tops) else None, i) for i, t in enumerate(tops)]
     kinds = ["name", "digests", "up", "up_place", "up_salts", "subroot", "salts"]
@@ -137,11 +143,11 @@ def climb(lowest: DataFrame, levels: list[DataFrame], tops: list[DataFrame]) ->
     alone = lowest.where("n = 1").join(linked[0].select("g", "up", "up_place", "up_salts"), "g")
 
     salt = F.xxhash64("g", "run")
-    fold = F.transform("members", lambda m: F.sha2(_replaced(F.col("digests"), m["place"], F.concat(F.lit("64:"), m["claim"])), 256))
+    fold = F.transform("members", lambda m: F.unhex(F.sha2(_replaced(F.col("digests"), m["place"], F.concat(F.lit("64:"), m["claim"])), 256)))
     started = lowest.where("n > 1").select("g", "run", "members").join(first, ["g", "run"]).select("g", "run", fold.alias("folded"), "up", "up_place", "up_salts", "subroot")
-    started = started.unionByName(alone.select("g", "run", F.col("members.claim").alias("folded"), "up", "up_place", "up_salts", F.col("members")[0]["leaf"].alias("subroot")))
+    started = started.unionByName(alone.select("g", "run", F.transform("members.claim", F.unhex).alias("folded"), "up", "up_place", "up_salts", F.col("members")[0]["leaf"].alias("subroot")))
     started = started.withColumn("salt", salt).withColumn("at", F.concat("up", F.lit("/"), F.pmod("salt", "up_salts").cast("string")))
-    started = materialize(started.select("g", "run", "salt", "folded", F.lit("").alias("siblings"), "subroot", "at", F.col("up_place").cast("int").alias("place")), "manifest-start")
+    started = materialize(started.select("g", "run", "salt", "folded", F.lit(b"").alias("siblings"), "subroot", "at", F.col("up_place").cast("int").alias("place")), "manifest-start")
     if not runs:
         return started
     nodes = reduce(DataFrame.unionByName, runs).withColumn("own_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
@@ -160,8 +166,8 @@ def climb(lowest: DataFrame, levels: list[DataFrame], tops: list[DataFrame]) ->
                 SELECT * FROM {views["started"]}
                 UNION ALL
                 SELECT c.g, c.run, c.salt,
-                       transform(c.folded, h -> sha2(overlay(r.digests PLACING concat('64:', h) FROM c.place * {WIDTH} + 1 FOR {WIDTH}), 256)),
-                       concat(c.siblings, overlay(r.digests PLACING '' FROM c.place * {WIDTH} + 1 FOR {WIDTH})),
+                       transform(c.folded, h -> unhex(sha2(overlay(r.digests PLACING concat('64:', lower(hex(h))) FROM c.place * {WIDTH} + 1 FOR {WIDTH}), 256))),
+                       concat(c.siblings, unhex(replace(overlay(r.digests PLACING '' FROM c.place * {WIDTH} + 1 FOR {WIDTH}), '64:', ''))),
                        coalesce(c.subroot, r.own_subroot),
                        concat(r.up, '/', CAST(pmod(c.salt, r.up_salts) AS STRING)), r.up_place
                 FROM rise c JOIN {views["nodes"]} r ON c.at = r.name
@@ -189,7 +195,8 @@ def manifest(rows: DataFrame, fields: list[str], group: str, order: str, claimed
         return rows.select(order, *(F.lit("").alias(c) for c in text), F.lit(True).alias("verified")).where(F.lit(False))
     tops, root = top_levels(groups)
     risen = climb(lowest, levels, tops)
-    own = lowest.select("g", "run", "n", "members").join(risen.select("g", "run", "folded", "siblings", "subroot"), ["g", "run"])
+    above = risen.select("g", "run", F.transform("folded", lambda h: F.lower(F.hex(h))).alias("folded"), _framed_bytes(F.col("siblings")).alias("siblings"), "subroot")
+    own = lowest.select("g", "run", "n", "members").join(above, ["g", "run"])
     run = F.when(F.col("n") > 1, _framed_run(F.col("members.leaf"))).otherwise(F.lit(""))
 
     def member(m: Column, i: Column) -> Column:
