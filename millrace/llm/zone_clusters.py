@@ -4,11 +4,12 @@ Vectors become integers floor(scale * x), so every sum and distance is exact. Th
 along a Hilbert curve through a grid of four cells per component (borders at the mean and two
 thirds of a deviation beside it, components of large variance first) and cut into blocks of
 `BLOCK` consecutive vectors. A block is one stored row with a zone map: the least and largest
-value of every component. A round reads the blocks. The distance from a centroid to the box bounds
-that to each of its vectors from below, the distance to the box's farthest corner from above; a
-centroid whose lower bound exceeds the least upper bound is nearest to no vector of the block.
-The others are its candidates, compared with all its vectors at once. A block with one candidate
-compares nothing and takes its stored component sums. Tasks send counts and component sums of
+value of every component. A round reads the blocks. The squared distances from a vector to two
+centroids differ by a linear function of the vector, whose least value over the box is a sum of
+products with the box's sides: where that is positive, the second centroid is nearest to no
+vector of the block. (This drops whatever distances to the nearest and farthest point of the box
+would.) The others are its candidates, compared with all its vectors at once. A block with one
+candidate compares nothing and takes its stored component sums. Tasks send counts and component sums of
 clusters, so a round returns clusters times components numbers to the driver, never vectors.
 
 The curve is cut by ranges of (curve key, hash of the id): copies of one vector spread over
@@ -65,10 +66,12 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
 
 def candidates(low: np.ndarray, high: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     """Numbers of the centroids that may be nearest to a vector in the box."""
-    beside = np.maximum(np.maximum(low - centroids, centroids - high), 0)
-    corner = np.maximum(np.abs(centroids - low), np.abs(centroids - high))
-    least, most = (beside**2).sum(axis=1), (corner**2).sum(axis=1)
-    return np.flatnonzero(least <= most.min())
+    norms = (centroids**2).sum(axis=1)
+    kept = np.ones(len(centroids), bool)
+    for i in range(len(centroids)):  # by how much j is farther than i, at least
+        slope = 2 * (centroids[i] - centroids)
+        kept &= np.minimum(low * slope, high * slope).sum(axis=1) + norms - norms[i] <= 0
+    return np.flatnonzero(kept)
 
 
 def squared_distances(x: np.ndarray, centroids: np.ndarray, largest: int) -> np.ndarray:
