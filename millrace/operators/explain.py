@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import single_row
 from millrace.operators.serving import class_label
 
 # Wording of the explanation record.
@@ -16,8 +15,11 @@ TOP_DISPLAY, TOP_TEXT = 10, 3
 
 
 def linear_contributions(df: DataFrame, weights: Mapping[str, float], intercept: float = 0.0, train: DataFrame | None = None) -> DataFrame:
-    """Add `base_value` and `contributions` for a linear model: weight * (value - mean)."""
-    means = single_row((df if train is None else train).agg(*[F.avg(f).alias(f) for f in weights]))
+    """Add `base_value` and `contributions` for a linear model: weight * (value - mean). The means,
+    a number per feature, are read first, so that the rows themselves are scanned once however
+    often the contributions are used."""
+    held = (df if train is None else train).agg(*[F.avg(f).alias(f) for f in weights]).first()
+    means = {f: F.lit(held[f]).cast("double") for f in weights}
     base = sum((F.lit(w) * means[f] for f, w in weights.items()), F.lit(float(intercept)))
     items = F.array(
         *[
@@ -68,6 +70,12 @@ def explanation_rows(ranked: DataFrame, key: str, k: int | None = None) -> DataF
     return ranked.select(key, F.inline_outer(F.col("all_features") if k is None else top_features(k)))
 
 
+def stored_rows(df: DataFrame, key: str, version: str) -> DataFrame:
+    """Contributions as rows for a table published by model version."""
+    items = F.transform("contributions", lambda c: F.struct(c["feature"].alias("feature"), c["value"].alias("value"), c["shap_value"].alias("contribution")))
+    return df.select(F.col(key), "base_value", F.inline_outer(items), F.lit(version).alias("model_version"))
+
+
 def explanation_text(prediction: Column, probability: Column) -> Column:
     """The sentence of the explanation record: class, confidence, three strongest factors."""
     head = F.format_string(

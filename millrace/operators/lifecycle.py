@@ -102,3 +102,15 @@ def registry_record(runs: DataFrame, name: Column, version: Column, uri: Column,
         uri.alias("uri"),
         F.to_json(F.struct(*[v.alias(k) for k, v in sorted(metadata.items())])).alias("metadata"),
     )
+
+
+def append_records(records: DataFrame, path: str) -> None:
+    """Append the records whose name and version the registry does not have yet: a repeated job
+    appends nothing, and records are never rewritten."""
+    spark = records.sparkSession
+    new = records.dropDuplicates(["name", "version"])
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        known = spark.read.parquet(path).select(F.col("name").alias("__name"), F.col("version").alias("__version"))
+        new = new.join(known, F.col("name").eqNullSafe(F.col("__name")) & F.col("version").eqNullSafe(F.col("__version")), "left_anti")
+    new.write.mode("append").parquet(path)

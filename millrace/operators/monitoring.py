@@ -23,6 +23,10 @@ MAX_P95_MS = 1000.0
 MAX_ERROR_RATE = 0.05
 CIRCUIT_THRESHOLD = 3
 
+# Items a sketch keeps per level, and the rank error that follows.
+SKETCH_SIZE = 400
+SKETCH_ERROR = 0.011
+
 
 def request_log(requests: DataFrame, request_id: str = "request_id", ts: str = "ts", instances: Column | None = None) -> DataFrame:
     """Log record of each request: ordinal, time, number of instances and the tag put on it."""
@@ -124,6 +128,21 @@ def latency_percentiles(requests: DataFrame, keys: Sequence[str], latency: str =
     return mean.join(latency_tails(requests, keys, latency), list(keys))
 
 
+def latency_sketches(requests: DataFrame, keys: Sequence[str], ts: str = "ts", latency: str = "latency_ms", span: str = "hour") -> DataFrame:
+    """keys, start and a mergeable quantile sketch (KLL) of each key and span of time. Stored, it
+    stands for the requests: sketches of any spans merge, and one has a few kilobytes at most."""
+    start = F.date_trunc(span, F.col(ts).cast("timestamp"))
+    return requests.groupBy(*keys, start.alias("start")).agg(F.kll_sketch_agg_double(F.col(latency).cast("double"), F.lit(SKETCH_SIZE)).alias("sketch"))
+
+
+def sketched_tails(sketches: DataFrame, keys: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """keys, n and the quantiles named in `probs`, merged from stored sketches. Each lies within
+    `SKETCH_ERROR` of its rank, as a share of n (with 99 % confidence), or is exact for few values."""
+    merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch", F.lit(SKETCH_SIZE)).alias("whole"))
+    n = F.kll_sketch_get_n_double("whole")
+    return merged.select(*keys, n.alias("n"), *[F.when(n > 0, F.kll_sketch_get_quantile_double("whole", F.lit(p))).alias(name) for name, p in probs.items()])
+
+
 def service_metrics(requests: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """All metrics the alerts read, one row per key."""
     keys = list(keys)
@@ -147,7 +166,8 @@ def _alert(test: Column, kind: str, severity: str, value: Column, message: Colum
 
 
 def alerts(metrics: DataFrame, keys: Sequence[str], drift: DataFrame | None = None) -> DataFrame:
-    """One row per fired alert; with a drift summary, drift is a fourth alert."""
+    """One row per fired alert; with a drift summary, drift is a fourth alert. The wording is
+    fixed, the limits in it are those above."""
     rate, p95, errors = F.col("recent_positive_rate"), F.col("p95_latency_ms"), F.col("error_rate")
     checks = [
         _alert(
@@ -155,21 +175,21 @@ def alerts(metrics: DataFrame, keys: Sequence[str], drift: DataFrame | None = No
             "HIGH_FRAUD_RATE",
             "warning",
             rate,
-            F.format_string("Recent fraud rate (%.1f%%) exceeds threshold (30.0%%)", rate * 100),
+            F.format_string(f"Recent fraud rate (%.1f%%) exceeds threshold ({MAX_POSITIVE_RATE:.1%}%)", rate * 100),
         ),
         _alert(
             p95 > MAX_P95_MS,
             "HIGH_LATENCY",
             "warning",
             p95,
-            F.format_string("P95 latency (%.0fms) exceeds threshold (1000.0ms)", p95),
+            F.format_string(f"P95 latency (%.0fms) exceeds threshold ({MAX_P95_MS:.1f}ms)", p95),
         ),
         _alert(
             errors > MAX_ERROR_RATE,
             "HIGH_ERROR_RATE",
             "critical",
             errors,
-            F.format_string("Error rate (%.1f%%) exceeds 5%%", errors * 100),
+            F.format_string(f"Error rate (%.1f%%) exceeds {MAX_ERROR_RATE:.0%}%", errors * 100),
         ),
     ]
     if drift is not None:
@@ -210,8 +230,8 @@ def circuit_label(failures: Column, threshold: int = CIRCUIT_THRESHOLD) -> Colum
     return F.when(failures >= threshold, "open").otherwise("closed")
 
 
-def hourly_counts(events: DataFrame, ts: str = "ts") -> DataFrame:
-    """Event-time hours: count and value per event type."""
-    return events.groupBy(F.window(ts, "1 hour").alias("w"), "event_type").agg(
+def hourly_counts(events: DataFrame, ts: str = "ts", window: str = "1 hour", slide: str | None = None) -> DataFrame:
+    """Event-time windows: count and value per event type; with `slide` they overlap."""
+    return events.groupBy(F.window(ts, window, slide).alias("w"), "event_type").agg(
         F.count("*").alias("events"), F.sum("value").alias("total_value")
     )

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators.features import numeric_columns
 
+DISTINCT_BITS = 14  # 16,384 registers: about 0.8 % standard error
+
 
 def dataset_metadata(df: DataFrame, version: str) -> DataFrame:
     """One row: rows, columns, names, missing cells, version."""
@@ -29,13 +31,14 @@ def null_profile(df: DataFrame) -> DataFrame:
     return wide.select(F.inline(cells), "rows")
 
 
-def fingerprint_sum(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 4) -> DataFrame:
-    """md5 of the exact decimal sum of all numeric cells: the same in any row order."""
+def fingerprint_sum(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Number of rows and the sum of exact row digests: the same in any row order. A row's digest
+    is the first 60 bits of the md5 over the text of its cells, each with its length before it,
+    so no digits are cut, and null, NaN and infinite cells have a text of their own."""
     columns = list(columns or numeric_columns(df))
-    cells = sum((F.coalesce(F.sum(F.col(c).cast(f"decimal(18,{scale})")), F.lit(0)) for c in columns), F.lit(0))
-    return df.agg(F.count("*").alias("rows"), cells.cast(f"decimal(38,{scale})").alias("total")).select(
-        "rows", F.substring(F.md5(F.col("total").cast("string")), 1, 16).alias("fingerprint")
-    )
+    cell = lambda c: F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+    row = F.conv(F.substring(F.md5(F.concat(*map(cell, columns))), 1, 15), 16, 10).cast("decimal(20,0)")
+    return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(row), F.lit(0)).cast("string").alias("fingerprint"))
 
 
 def fingerprint_rows(df: DataFrame) -> DataFrame:
@@ -64,6 +67,18 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count("*").alias("n"))
 
 
+def distinct_sketches(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """keys, column and a mergeable sketch (HLL) of its distinct values. Stored per chunk, the
+    sketches of any chunks merge without reading the rows again. Nulls are not counted."""
+    wide = df.groupBy(*keys).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(DISTINCT_BITS)).alias(f"__{c}") for c in columns])
+    return wide.select(*keys, F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__{c}").alias("sketch")) for c in columns])))
+
+
+def sketched_distinct(sketches: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """keys, column and the estimated number of distinct values over all sketches of a key."""
+    return sketches.groupBy(*keys, "column").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+
+
 def union_chunks(chunks: Sequence[DataFrame]) -> DataFrame:
     """Chunks stacked by column name; columns missing in a chunk become null."""
     out = chunks[0]

@@ -5,13 +5,15 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import seeded_uniform
 from millrace.functions.quantiles import exact_quantiles
 from millrace.functions.selection import top_share
+from millrace.session import materialize
 
 
 @dataclass(frozen=True)
@@ -121,6 +123,51 @@ def halving_rungs(metrics: DataFrame, eta: int = 3, trial: str = "trial", rung:
     return top_share(metrics, trial, [rung], value, eta, maximize, "promoted")
 
 
+def deal_brackets(trials: DataFrame, schedule: Sequence[dict], rank: str = "rank") -> DataFrame:
+    """Add `round` and `bracket`: trials in the order of `rank` (from 0) fill the brackets of a
+    schedule one after another, then those of the next round."""
+    starts, total = [], 0
+    for step in schedule:
+        if step["rung"] == 0:
+            starts.append((total, step["bracket"]))
+            total += step["configurations"]
+    place = F.col(rank) % total
+    bracket = F.lit(starts[0][1])
+    for at, number in starts[1:]:
+        bracket = F.when(place >= at, number).otherwise(bracket)
+    return trials.withColumns({"round": F.floor(F.col(rank) / total), "bracket": bracket})
+
+
+def halving_brackets(trials: DataFrame, metrics: DataFrame, schedule: Sequence[dict], eta: int = 3, trial: str = "trial", step: str = "step", value: str = "value", maximize: bool = True) -> DataFrame:
+    """Iterated elimination: round, bracket, rung, resource, trial, value and promoted of every
+    trial that is alive at a rung. `trials` holds round, bracket and trial, `metrics` a value per
+    trial and step (the resource). A rung ranks only what the rung before kept: the best
+    floor(alive / eta) with a value, the smaller trial on ties. Null and NaN values, and trials
+    that never reached the resource, are alive but not promoted; the last rung promotes none.
+
+    One stored table per rung, as many as the schedule's longest bracket."""
+    number = F.col(value).cast("double")
+    valid = F.when(~F.isnan(number), -number if maximize else number)
+    reached = metrics.groupBy(F.col(trial).alias("trial"), F.col(step).alias("resource")).agg(F.max(F.struct(valid.isNotNull(), -valid, number.alias("value")))["value"].alias("value"))
+    reached = materialize(reached, "metrics")
+    alive, rungs = trials.select("round", "bracket", F.col(trial).alias("trial")), []
+    last = {s["bracket"]: max(t["rung"] for t in schedule if t["bracket"] == s["bracket"]) for s in schedule}
+    for rung in range(max(last.values()) + 1):
+        steps = [s for s in schedule if s["rung"] == rung]
+        resource = F.create_map(*(F.lit(v) for s in steps for v in (s["bracket"], s["resource"])))[F.col("bracket")]
+        ends = F.col("bracket").isin([b for b, r in last.items() if r == rung])
+        here = alive.withColumn("resource", resource.cast("long")).withColumnRenamed("trial", "own")
+        met = here.join(reached, (F.col("own") == F.col("trial")) & (here["resource"] == reached["resource"]), "left").select("round", "bracket", here["resource"], F.col("own").alias("trial"), "value")
+        signed = F.when(~F.isnan("value"), -F.col("value") if maximize else F.col("value"))
+        group = Window.partitionBy("round", "bracket")
+        place = F.row_number().over(group.orderBy(signed.asc_nulls_last(), "trial"))
+        kept = signed.isNotNull() & (place <= F.floor(F.count("*").over(group) / eta)) & ~ends
+        ranked = met.select("round", "bracket", F.lit(rung).alias("rung"), "resource", "trial", "value", kept.alias("promoted"))
+        rungs.append(materialize(ranked, "rung"))
+        alive = rungs[-1].where("promoted").select("round", "bracket", "trial")
+    return reduce(DataFrame.union, rungs)
+
+
 def median_stop(
     metrics: DataFrame,
     start_step: int = 2,
@@ -140,9 +187,12 @@ def median_stop(
     return rows.groupBy(trial).agg(F.min(F.when(stopped, F.col(step))).alias("stop_step"))
 
 
-def latest_metrics(metrics: DataFrame, trial: str = "trial", name: str = "name", value: str = "value", step: str = "step") -> DataFrame:
-    """The value of the last step; lines without a step come before any step."""
-    return metrics.groupBy(trial, name).agg(F.max_by(value, F.coalesce(F.col(step), F.lit(-1))).alias("latest"), F.max(step).alias("last_step"))
+def latest_metrics(metrics: DataFrame, trial: str = "trial", name: str = "name", value: str = "value", step: str = "step", line: str | None = None) -> DataFrame:
+    """The value of the last step; lines without a step come before any step. Of several lines of
+    one step that with the largest `line` (its place in the log) counts, and without such a
+    column, or on equal places, that with the largest value (NaN over numbers, null last)."""
+    order = [F.coalesce(F.col(step), F.lit(-1)), *([F.col(line)] if line else []), F.col(value)]
+    return metrics.groupBy(trial, name).agg(F.max_by(value, F.struct(*order)).alias("latest"), F.max(step).alias("last_step"))
 
 
 def best_trial(trials: DataFrame, groups: Sequence[str], objective: str, trial: str = "trial", maximize: bool = True) -> DataFrame:

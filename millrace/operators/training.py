@@ -189,3 +189,14 @@ def run_trials(train: DataFrame, test: DataFrame, trials: Sequence[Mapping], lab
         train.unpersist()
         test.unpersist()
     return spark.createDataFrame(rows, "trial int, params string, accuracy double, precision double, recall double, f1 double")
+
+
+def run_trial_table(train: DataFrame, test: DataFrame, trials: DataFrame, names: Sequence[str], trial: str = "trial", label: str = "y", most: int = 1000) -> DataFrame:
+    """`run_trials` for a table of assignments (trial and one column per parameter): their rows go
+    to the driver, which starts a fit for each, so there are `most` at most. Returns trial and metrics."""
+    held = trials.select(trial, *names).orderBy(trial).limit(most + 1).collect()
+    if len(held) > most:
+        raise ValueError(f"more than {most} trials: each is a fit of its own")
+    out = run_trials(train, test, [{n: r[n] for n in names} for r in held], label)
+    ids = train.sparkSession.createDataFrame([(i, r[trial]) for i, r in enumerate(held)], f"number int, {trial} {trials.schema[trial].dataType.simpleString()}")
+    return out.withColumnRenamed("trial", "number").join(ids, "number").select(trial, "accuracy", "precision", "recall", "f1")

@@ -1,15 +1,20 @@
-"""Shapley contributions of forest models.
+"""Shapley contributions of forest models, from the saved node table.
 
 For one leaf, the value of a feature coalition is a product over the features on the
 path: 1 or 0 (does the row follow the path) for known features, the share of training
 rows that follow it for unknown ones. The Shapley value of such a product game is a
-short polynomial sum, so a tree is the sum over its leaves, vectorised over the rows
-of an Arrow batch.
+short polynomial sum. A tree is descended once per Arrow batch: each node multiplies the
+polynomial of the path above it by its own factor (or replaces the factor of a feature that
+is on the path already), vectorised over the rows, so leaves share the work of their paths.
+
+Spark writes the trees as a table of nodes and reads it again as arrays; no node is asked
+for one by one on the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
@@ -18,40 +23,56 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-MAX_LEAVES = 200_000
-
-
-def leaf_paths(fitted, positive: int = 1) -> tuple[list[list[dict]], float]:
-    """Every leaf of every tree as {value, conditions}, and the mean prediction. Models of
-    more than `MAX_LEAVES` leaves are refused: at unlimited depth leaves grow with the data,
-    and they are sent to every task."""
-    nodes = sum(tree.numNodes for tree in fitted.trees)
-    if nodes > 2 * MAX_LEAVES:
-        raise ValueError(f"the forest has {nodes} nodes; contributions take up to {MAX_LEAVES} leaves, train with a smaller depth")
+from millrace.session import scratch_path
+
+# 40 bytes each, on the driver and in every task.
+MAX_NODES = 4_000_000
+
+
+@dataclass(frozen=True)
+class Tree:
+    """Arrays by node, the root first. Leaves have left = -1 and a `value`; `share` is the part of
+    the parent's training weight that reached the node."""
+
+    feature: np.ndarray
+    cut: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    share: np.ndarray
+
+
+def saved_trees(fitted, spark, positive: int = 1) -> tuple[list[Tree], float]:
+    """The trees of a forest from its node table, and the mean prediction. Forests of more than
+    `MAX_NODES` nodes are refused: at unlimited depth nodes grow with the data."""
+    path = scratch_path(spark, "forest")
+    fitted.write().overwrite().save(path)
+    node = F.col("nodeData")
+    stats = node["impurityStats"]
+    weight = F.aggregate(stats, F.lit(0.0), lambda a, x: a + x)
+    table = spark.read.parquet(f"{path}/data").select(
+        "treeID", node["id"].alias("id"), weight.alias("weight"), (F.get(stats, F.lit(positive)) / weight).alias("value"),
+        node["leftChild"].alias("left"), node["rightChild"].alias("right"), node["split"]["featureIndex"].alias("feature"),
+        F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("cut"), (node["split"]["numCategories"] >= 0).alias("categories"),
+    )
+    size = table.agg(F.count("*").alias("n"), F.count_if("categories").alias("categories")).first()
+    if size["n"] > MAX_NODES:
+        raise ValueError(f"the forest has {size['n']} nodes; contributions take up to {MAX_NODES}, train with a smaller depth")
+    if size["categories"]:
+        raise ValueError("contributions take numeric features only")
+    nodes = table.toPandas().sort_values(["treeID", "id"])
     trees, base = [], 0.0
-    for tree in fitted.trees:
-        leaves: list[dict] = []
-
-        def positive_share(node) -> float:
-            stats = list(node.impurityStats().stats())
-            return stats[positive] / sum(stats)
-
-        def walk(node, conditions: dict, weight: float) -> None:
-            if node.numDescendants() == 0:
-                leaves.append({"value": positive_share(node), "weight": weight, "conditions": conditions})
-                return
-            split = node.split()
-            feature, cut = split.featureIndex(), split.threshold()
-            total = node.impurityStats().count()
-            low, high, share = conditions.get(feature, (-np.inf, np.inf, 1.0))
-            for child, bounds in ((node.leftChild(), (low, min(high, cut))), (node.rightChild(), (max(low, cut), high))):
-                part = child.impurityStats().count() / total
-                walk(child, {**conditions, feature: (*bounds, share * part)}, weight * part)
-
-        walk(tree._call_java("rootNode"), {}, 1.0)
-        trees.append(leaves)
-        base += sum(leaf["value"] * leaf["weight"] for leaf in leaves)
+    for _, own in nodes.groupby("treeID"):
+        ids, weight = own["id"].to_numpy(), own["weight"].to_numpy()
+        left, right = (np.where(own[c] >= 0, np.searchsorted(ids, own[c]), -1) for c in ("left", "right"))
+        share = np.ones(len(ids))
+        inner = np.flatnonzero(left >= 0)
+        for child in (left, right):
+            share[child[inner]] = weight[child[inner]] / weight[inner]
+        value = own["value"].to_numpy()
+        trees.append(Tree(own["feature"].to_numpy(), own["cut"].to_numpy(), left, right, value, share))
+        leaves = left < 0
+        base += float((value[leaves] * weight[leaves]).sum() / weight[0])
     return trees, base / len(trees)
 
 
@@ -69,23 +90,32 @@ def _without(poly: list[np.ndarray], unknown: float, known: np.ndarray) -> list[
     return [np.where(known > 0, q, p / unknown) for q, p in zip(quotient, poly)]
 
 
-def contributions(x: np.ndarray, trees: list[list[dict]]) -> np.ndarray:
+def _descend(x: np.ndarray, tree: Tree, phi: np.ndarray) -> None:
+    """Add the contributions of one tree: depth first, holding one path at a time."""
+    todo: list[tuple[int, dict, list[np.ndarray]]] = [(0, {}, [np.ones(len(x))])]
+    while todo:
+        node, path, poly = todo.pop()
+        if tree.left[node] < 0:
+            d, value = len(path), tree.value[node]
+            weights = [factorial(k) * factorial(d - 1 - k) / factorial(d) for k in range(d)]
+            for f, (unknown, known) in path.items():
+                others = _without(poly, unknown, known)
+                phi[:, f] += value * (known - unknown) * sum(w * p for w, p in zip(weights, others))
+            continue
+        f = int(tree.feature[node])
+        unknown, known = path.get(f, (1.0, None))
+        above = poly if known is None else _without(poly, unknown, known)
+        low = (x[:, f] <= tree.cut[node]).astype(float)
+        for child, goes in ((int(tree.left[node]), low), (int(tree.right[node]), 1.0 - low)):
+            own = (unknown * tree.share[child], goes if known is None else goes * known)
+            todo.append((child, {**path, f: own}, _times(above, *own)))
+
+
+def contributions(x: np.ndarray, trees: Sequence[Tree]) -> np.ndarray:
     """Contribution of every feature to the positive probability of every row of `x`."""
     phi = np.zeros_like(x)
-    for leaf in (leaf for leaves in trees for leaf in leaves):
-        features = list(leaf["conditions"])
-        d = len(features)
-        if d == 0:
-            continue
-        bounds = [leaf["conditions"][f] for f in features]
-        follows = [((x[:, f] > lo) & (x[:, f] <= hi)).astype(float) for f, (lo, hi, _) in zip(features, bounds)]
-        weights = [factorial(k) * factorial(d - 1 - k) / factorial(d) for k in range(d)]
-        whole = [np.ones(len(x))]
-        for j in range(d):
-            whole = _times(whole, bounds[j][2], follows[j])
-        for i, f in enumerate(features):
-            others = _without(whole, bounds[i][2], follows[i])
-            phi[:, f] += leaf["value"] * (follows[i] - bounds[i][2]) * sum(w * p for w, p in zip(weights, others))
+    for tree in trees:
+        _descend(x, tree, phi)
     return phi / len(trees)
 
 
@@ -94,7 +124,7 @@ def explain_forest(
 ) -> DataFrame:
     """Rows (key, base_value, contributions) in the form the explanation operators read."""
     fitted = model.stages[-1] if isinstance(model, PipelineModel) else model
-    trees, base = leaf_paths(fitted, positive)
+    trees, base = saved_trees(fitted, df.sparkSession, positive)
     shared = df.sparkSession.sparkContext.broadcast(trees)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

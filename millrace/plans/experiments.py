@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import key_hash
+from millrace.functions.prefix import id_order_bucket, rank_in_group
 from millrace.functions.scalars import ts_text
 from millrace.operators import search
 from millrace.plans.fixtures import sql_hash, trial_metrics, trials
@@ -85,6 +86,42 @@ def halving_rungs(spark, sf):
     return out.select("trial", "step", F.round("value", 6).alias("value"), "promoted")
 
 
+SCHEDULE = search.halving_schedule(27)
+
+
+@query(
+    "halving_brackets",
+    f"""
+    , d AS (SELECT trial, rk // 49 AS round, CASE WHEN rk % 49 < 27 THEN 3 WHEN rk % 49 < 39 THEN 2 WHEN rk % 49 < 45 THEN 1 ELSE 0 END AS bracket
+            FROM (SELECT trial, row_number() OVER (ORDER BY trial) - 1 AS rk FROM trials)),
+    m AS (SELECT trial, step, CASE WHEN h % 13 = 0 THEN NULL WHEN h % 17 = 0 THEN CAST('nan' AS DOUBLE) ELSE value END AS value
+          FROM (SELECT *, {sql_hash("'m-' || trial || '-' || step")} AS h FROM trial_metrics))
+    SELECT round, bracket, rung, resource, trial, round(value, 6) AS value, promoted FROM (
+        WITH RECURSIVE rungs AS (
+            SELECT round, bracket, 0 AS rung, CAST(27 // pow(3, bracket) AS BIGINT) AS resource, trial, NULL::DOUBLE AS value, true AS alive, false AS promoted FROM d
+            UNION ALL
+            SELECT round, bracket, rung + 1, resource * 3, trial, value, false,
+                   coalesce(good, false) AND row_number() OVER (PARTITION BY round, bracket ORDER BY CASE WHEN good THEN -value END NULLS LAST, trial)
+                       <= count(*) OVER (PARTITION BY round, bracket) // 3 AND rung < bracket
+            FROM (SELECT r.round, r.bracket, r.rung, r.resource, r.trial, m.value, m.value IS NOT NULL AND NOT isnan(m.value) AS good
+                  FROM rungs r LEFT JOIN m ON m.trial = r.trial AND m.step = r.resource WHERE r.alive OR r.promoted)
+        )
+        SELECT round, bracket, rung - 1 AS rung, resource // 3 AS resource, trial, value, promoted FROM rungs WHERE NOT alive
+    )
+    """,
+    views=("trial_metrics", "trials"),
+)
+def halving_brackets(spark, sf):
+    """Brackets of up to 27 steps: what each rung ranks is what the rung before kept."""
+    own = trials(spark, sf).select("trial")
+    ranked = rank_in_group(own, [], [F.col("trial")], id_order_bucket(F.col("trial")), "rank").select("trial", "rank")
+    h = key_hash(F.lit("m"), F.col("trial"), F.col("step"))
+    value = F.when(h % 13 == 0, None).when(h % 17 == 0, float("nan")).otherwise(F.col("value"))
+    metrics = trial_metrics(spark, sf).select("trial", "step", value.alias("value"))
+    out = search.halving_brackets(search.deal_brackets(ranked, SCHEDULE), metrics, SCHEDULE)
+    return out.withColumn("value", F.round("value", 6))
+
+
 @query(
     "median_stop",
     """
@@ -227,14 +264,19 @@ def metric_log_parse(spark, sf):
 
 @query(
     "metric_log_sink",
-    "SELECT CAST(trial % 5 AS INTEGER) AS experiment, name, round(value, 6) AS value FROM trial_metrics",
+    """
+    SELECT CAST(trial % 5 AS INTEGER) AS experiment, trial, CASE WHEN step % 2 = 0 THEN step END AS step, name, round(value, 6) AS value FROM trial_metrics
+    """,
     views=("trial_metrics",),
 )
 def metric_log_sink(spark, sf):
-    """Lines appended to text files by experiment, then read back and parsed."""
+    """Lines with their trial, appended to text files by experiment, then read back and parsed."""
     rows = logged_metrics(spark, sf).withColumn("experiment", F.col("trial") % 5)
-    path = append_lines(search.metric_lines(rows, ["experiment"]), "line", scratch_path(spark, "metric-log"))
-    return search.parse_metric_lines(spark.read.text(path), "value", ["experiment"]).select("experiment", "name", "value")
+    lines = search.metric_lines(rows, ["experiment", "trial"])
+    tagged = lines.select("experiment", F.concat(F.lit("["), F.col("trial").cast("string"), F.lit("] "), "line").alias("line"))
+    read = spark.read.text(append_lines(tagged, "line", scratch_path(spark, "metric-log")))
+    parts = read.select("experiment", F.regexp_extract("value", r"^\[(-?\d+)\] ", 1).cast("long").alias("trial"), F.regexp_replace("value", r"^\[-?\d+\] ", "").alias("value"))
+    return search.parse_metric_lines(parts, "value", ["experiment", "trial"]).select("experiment", "trial", "step", "name", "value")
 
 
 def event_keys(spark, sf):

@@ -143,9 +143,21 @@ def tensor_decode(spark, sf):
     return rows.select("request", "instance", F.posexplode("features").alias("feature", "value")).withColumn("value", F.round("value", 6))
 
 
-@query("tensor_encode")
+@query(
+    "tensor_encode",
+    """
+    SELECT vec_id // 5 AS request, 'input-0' AS name, 'FP32' AS datatype, CAST(count(*) AS INTEGER) AS height, CAST(max(len(embedding)) AS INTEGER) AS width,
+           CAST(sum(len(embedding)) AS INTEGER) AS cells, round(sum(list_sum(CAST(embedding AS DOUBLE[]))), 4) AS total FROM embeddings GROUP BY vec_id // 5
+    """,
+)
 def tensor_encode(spark, sf):
-    return wide_payloads(spark, sf)
+    """The header of every payload and the sum of its cells, from the payload's JSON."""
+    schema = "inputs array<struct<name string, shape array<int>, datatype string, data array<double>>>"
+    one = wide_payloads(spark, sf).select("request", F.from_json("payload", schema)["inputs"][0].alias("t"))
+    total = F.aggregate("t.data", F.lit(0.0), lambda a, x: a + x)
+    return one.select(
+        "request", "t.name", "t.datatype", F.col("t.shape")[0].alias("height"), F.col("t.shape")[1].alias("width"), F.size("t.data").alias("cells"), F.round(total, 4).alias("total")
+    )
 
 
 @query(

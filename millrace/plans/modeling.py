@@ -4,8 +4,12 @@ from pyspark.sql import functions as F
 
 from millrace.functions.hashing import key_hash
 from millrace.operators import explain, quality, scaling, splits
+from millrace.operators.scaler_stage import load_scaler, save_scaler
 from millrace.plans.fixtures import LI_FEATURES, li, sql_hash
 from millrace.plans.registry import query
+from millrace.session import scratch_path
+from millrace.sources.published import align_positions, publish, published
+from millrace.sources.tables import table
 
 LINEAR_WEIGHTS = {"l_quantity": 0.08, "l_extendedprice": 0.00004, "l_discount": 20.0, "l_tax": 5.0}
 
@@ -51,18 +55,33 @@ def split_semi_check(spark, sf):
 
 
 @query(
-    "align_xy",
+    "align_counts",
     f"""
     SELECT count(*) FILTER ({sql_hash('key')} % 50 <> 0) AS matched, count(*) FILTER ({sql_hash('key')} % 50 = 0) AS x_only,
            CAST(0 AS BIGINT) AS y_only FROM li
     """,
     views=("li",),
 )
-def align_xy(spark, sf):
+def align_counts(spark, sf):
     rows = li(spark, sf)
     return splits.align_counts(rows, rows.where(key_hash("key") % 50 != 0), ["key"])
 
 
+@query(
+    "align_xy",
+    """
+    WITH x AS (SELECT row_number() OVER () - 1 AS position, l_orderkey, l_partkey, l_quantity, l_extendedprice FROM lineitem),
+    y AS (SELECT row_number() OVER () - 1 AS position, o_orderkey, o_orderstatus FROM orders)
+    SELECT position, l_orderkey, l_partkey, l_quantity, l_extendedprice, o_orderkey, o_orderstatus FROM x JOIN y USING (position)
+    """,
+)
+def align_xy(spark, sf):
+    """Two stored tables row by row, as long as the shorter one."""
+    x = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    y = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return align_positions(x, y)
+
+
 @query(
     "standardize",
     """
@@ -76,9 +95,10 @@ def align_xy(spark, sf):
     views=("li_split",),
 )
 def standardize(spark, sf):
+    """Scaled by the saved and reloaded stage."""
     rows = splits.random_split(li(spark, sf), ["key"])
-    scaler = scaling.scaler_table(rows.where("split = 'train'"), LI_FEATURES)
-    return scaling.standardize(rows, LI_FEATURES, scaler).select("key", "split", *r6(*[f"{f}_scaled" for f in LI_FEATURES]))
+    path = save_scaler(rows.where("split = 'train'"), LI_FEATURES, scratch_path(spark, "scaler"))
+    return load_scaler(path).transform(rows).select("key", "split", *r6(*[f"{f}_scaled" for f in LI_FEATURES]))
 
 
 @query(
@@ -95,20 +115,43 @@ def minmax_scale(spark, sf):
     return out.select("key", *r6("l_quantity_scaled", "l_tax_scaled"))
 
 
-@query(
-    "feature_stats",
-    """
+TRAIN_CELLS = """
     , t AS (SELECT * FROM li_split WHERE split = 'train'),
     u AS (SELECT 'l_quantity' AS feature, l_quantity AS v FROM t UNION ALL SELECT 'l_extendedprice', l_extendedprice FROM t
           UNION ALL SELECT 'l_discount', l_discount FROM t UNION ALL SELECT 'l_tax', l_tax FROM t)
+"""
+
+
+def train_rows(spark, sf):
+    return splits.random_split(li(spark, sf), ["key"]).where("split = 'train'")
+
+
+@query(
+    "column_stats",
+    TRAIN_CELLS + """
     SELECT feature, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, min(v) AS min, max(v) AS max,
            round(quantile_cont(v, 0.5), 6) AS median FROM u GROUP BY feature
     """,
     views=("li_split",),
 )
+def column_stats(spark, sf):
+    return scaling.feature_stats(train_rows(spark, sf), LI_FEATURES).select("feature", "min", "max", *r6("mean", "std", "median"))
+
+
+@query(
+    "feature_stats",
+    TRAIN_CELLS + """
+    , m AS (SELECT feature, avg(v) AS mean, stddev_pop(v) AS std FROM u GROUP BY feature),
+    z AS (SELECT feature, (v - mean) / std AS v FROM u JOIN m USING (feature))
+    SELECT feature, round(avg(v), 6) + 0.0 AS mean, round(stddev_samp(v), 6) AS std, round(min(v), 6) AS min, round(max(v), 6) AS max,
+           round(quantile_cont(v, 0.5), 6) + 0.0 AS median FROM z GROUP BY feature
+    """,
+    views=("li_split",),
+)
 def feature_stats(spark, sf):
-    train = splits.random_split(li(spark, sf), ["key"]).where("split = 'train'")
-    return scaling.feature_stats(train, LI_FEATURES).select("feature", "min", "max", *r6("mean", "std", "median"))
+    """Statistics of the scaled training columns, as the saved and reloaded scaler has them."""
+    path = save_scaler(train_rows(spark, sf), LI_FEATURES, scratch_path(spark, "scaler"))
+    return load_scaler(path).scaled_table(spark).select("feature", *r6("mean", "std", "min", "max"), (F.round("median", 6) + 0.0).alias("median"))
 
 
 @query("class_counts", "SELECT y, count(*) AS n FROM li GROUP BY y", views=("li",))
@@ -145,7 +188,7 @@ def class_weights(spark, sf):
 )
 def zscore_outliers(spark, sf):
     rows = li(spark, sf)
-    out = scaling.outliers(rows, LI_FEATURES, scaling.scaler_table(rows, LI_FEATURES), threshold=1.5)
+    out = load_scaler(save_scaler(rows, LI_FEATURES, scratch_path(spark, "scaler"))).outliers(rows, threshold=1.5)
     return out.select("key", F.array_join("outlier_features", ",").alias("outlier_features"), "has_outliers")
 
 
@@ -167,11 +210,13 @@ def ranked_contributions(spark, sf):
 
 @query(
     "shap_linear",
-    CONTRIBUTIONS + """
-    SELECT pv.key, round((SELECT base FROM b), 6) AS base_value, round(pv.value, 6) AS prediction_value,
-           round(c0.shap, 6) AS phi_quantity, round(c1.shap, 6) AS phi_price, round(c2.shap, 6) AS phi_discount, round(c3.shap, 6) AS phi_tax
-    FROM pv JOIN c c0 ON c0.key = pv.key AND c0.ord = 0 JOIN c c1 ON c1.key = pv.key AND c1.ord = 1
-            JOIN c c2 ON c2.key = pv.key AND c2.ord = 2 JOIN c c3 ON c3.key = pv.key AND c3.ord = 3
+    """
+    , s AS (SELECT avg(l_quantity) AS m1, avg(l_extendedprice) AS m2, avg(l_discount) AS m3, avg(l_tax) AS m4 FROM li),
+    c AS (SELECT key, 0.08::DOUBLE * m1 + 0.00004::DOUBLE * m2 + 20.0::DOUBLE * m3 + 5.0::DOUBLE * m4 - 3.0::DOUBLE AS base,
+                 0.08::DOUBLE * (l_quantity - m1) AS a, 0.00004::DOUBLE * (l_extendedprice - m2) AS b,
+                 20.0::DOUBLE * (l_discount - m3) AS c, 5.0::DOUBLE * (l_tax - m4) AS d FROM li, s)
+    SELECT key, round(base, 6) AS base_value, round(base + a + b + c + d, 6) AS prediction_value,
+           round(a, 6) AS phi_quantity, round(b, 6) AS phi_price, round(c, 6) AS phi_discount, round(d, 6) AS phi_tax FROM c
     """,
     views=("li",),
 )
@@ -183,6 +228,30 @@ def shap_linear(spark, sf):
     )
 
 
+def _stored_sql(version: str, weights: dict) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{version}' AS model_version, key, '{f}' AS feature, round({f}, 6) AS value,
+                   round({w}::DOUBLE * ({f} - (SELECT avg({f}) FROM li)), 6) AS contribution FROM li"""
+        for f, w in weights.items()
+    )
+
+
+# The weights of an earlier version of the linear model.
+EARLIER_WEIGHTS = {"l_quantity": 0.0531, "l_extendedprice": 0.0000317, "l_discount": 18.37, "l_tax": 4.13}
+
+
+@query("explanations_stored", "\n    , e AS (" + _stored_sql("v1", EARLIER_WEIGHTS) + " UNION ALL " + _stored_sql("v2", LINEAR_WEIGHTS) + ") SELECT * FROM e", views=("li",))
+def explanations_stored(spark, sf):
+    """Contributions of two model versions, published. The job of the second version runs twice,
+    first with the wrong weights: its second run replaces its own rows and no others."""
+    path, rows = scratch_path(spark, "explanations"), li(spark, sf)
+    for version, weights in (("v1", EARLIER_WEIGHTS), ("v2", EARLIER_WEIGHTS), ("v2", LINEAR_WEIGHTS)):
+        cells = explain.stored_rows(explain.linear_contributions(rows, weights), "key", version)
+        publish(cells, path, ["model_version"])
+    parts = [published(spark, path, cells.schema, model_version=v) for v in ("v1", "v2")]
+    return parts[0].union(parts[1]).select("model_version", "key", "feature", *r6("value", "contribution"))
+
+
 @query(
     "explain_rows",
     CONTRIBUTIONS + """

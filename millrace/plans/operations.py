@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions.hashing import key_hash
 from millrace.functions.scalars import ts_text
-from millrace.operators import lifecycle, monitoring, runs, serving
+from millrace.operators import lifecycle, monitoring, quality, runs, serving
 from millrace.plans.fixtures import artifacts, cache_runs, reqs, run_nodes, run_state, sql_hash
 from millrace.plans.registry import query
-from millrace.sources.files import report_json
+from millrace.session import materialize, scratch_path
+from millrace.sources.files import report_json, write_parquet
 from millrace.sources.tables import table
 
 FEATURES = ["feature_0", "feature_1"]
@@ -410,9 +411,86 @@ def retention_by_type(spark, sf):
     return out.select("type", "count", "old_count", *rnd(3, "size_mb", "old_size_mb"))
 
 
-@query("report_json")
+@query(
+    "report_json",
+    """
+    SELECT type, count(*) AS count, round(sum(size_mb), 3) AS size_mb, count(*) FILTER (age_days > 900) AS old_count,
+           round(coalesce(sum(size_mb) FILTER (age_days > 900), 0.0), 3) AS old_size_mb FROM artifacts GROUP BY type
+    """,
+    views=("artifacts",),
+)
 def report_json_query(spark, sf):
-    return report_json(lifecycle.retention_by_type(artifacts(spark, sf), 900))
+    """The report as JSON documents, written and read again."""
+    report = lifecycle.retention_by_type(artifacts(spark, sf), 900)
+    path = write_parquet(report_json(report), scratch_path(spark, "report"))
+    read = spark.read.parquet(path).select(F.from_json("report", report.schema).alias("r")).select("r.*")
+    return read.select("type", "count", "old_count", *rnd(3, "size_mb", "old_size_mb"))
+
+
+@query(
+    "latency_sketch",
+    """
+    SELECT endpoint, CAST(date_trunc('day', ts) AS DATE) AS day, count(latency_ms) AS n, true AS p95_within, true AS p99_within FROM reqs GROUP BY 1, 2
+    UNION ALL SELECT endpoint, NULL, count(latency_ms), true, true FROM reqs GROUP BY 1
+    """,
+    views=("reqs",),
+)
+def latency_sketch(spark, sf):
+    """Tails by day and over all time from sketches stored per hour, each against its exact rank:
+    within the sketch's error, or the step of one value where there are few."""
+    rows = reqs(spark, sf)
+    hours = materialize(monitoring.latency_sketches(rows, KEYS), "latency-sketches")
+    spans = hours.withColumn("day", F.explode(F.array(F.col("start").cast("date"), F.lit(None).cast("date")))).drop("start")
+    tails = monitoring.sketched_tails(spans, ["endpoint", "day"], {"p95": 0.95, "p99": 0.99})
+    own = rows.select(F.col("endpoint").alias("e"), "latency_ms", F.explode(F.array(F.col("ts").cast("date"), F.lit(None).cast("date"))).alias("d"))
+    met = own.join(tails, (F.col("e") == F.col("endpoint")) & F.col("d").eqNullSafe(F.col("day")))
+    out = met.groupBy("endpoint", "day").agg(
+        F.first("n").alias("n"),
+        *[F.struct(F.count_if(F.col("latency_ms") < F.col(p)).alias("below"), F.count_if(F.col("latency_ms") <= F.col(p)).alias("upto"), F.count("latency_ms").alias("n")).alias(p) for p in ("p95", "p99")],
+    )
+
+    def within(p, share):
+        slack = monitoring.SKETCH_ERROR * F.col(p)["n"] + 1
+        return ((F.col(p)["below"] - slack <= share * F.col(p)["n"]) & (F.col(p)["upto"] + slack >= share * F.col(p)["n"])).alias(f"{p}_within")
+
+    return out.select("endpoint", "day", "n", within("p95", 0.95), within("p99", 0.99))
+
+
+@query(
+    "distinct_sketch",
+    """
+    WITH c AS (SELECT 'l_orderkey' AS "column", l_returnflag AS chunk, l_orderkey AS v FROM lineitem UNION ALL SELECT 'l_partkey', l_returnflag, l_partkey FROM lineitem)
+    SELECT "column", chunk, count(DISTINCT v) AS distinct_values, true AS within FROM c GROUP BY 1, 2
+    UNION ALL SELECT "column", NULL, count(DISTINCT v), true FROM c GROUP BY 1
+    """,
+)
+def distinct_sketch(spark, sf):
+    """Distinct values per chunk and over all, from stored sketches: within 3 % of the exact count."""
+    rows = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("chunk"), "l_orderkey", "l_partkey")
+    held = materialize(quality.distinct_sketches(rows, ["chunk"], ["l_orderkey", "l_partkey"]), "distinct-sketches")
+    found = quality.sketched_distinct(held.unionByName(held.withColumn("chunk", F.lit(None).cast("string"))), ["chunk"])
+    values = rows.select(F.explode(F.array("chunk", F.lit(None))).alias("c"), F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("long").alias("v")) for c in ("l_orderkey", "l_partkey")])))
+    exact = values.groupBy("c", "name").agg(F.count_distinct("v").alias("distinct_values"))
+    met = exact.join(found, F.col("c").eqNullSafe(F.col("chunk")) & (F.col("name") == F.col("column")))
+    return met.select("column", "chunk", "distinct_values", (F.abs(F.col("estimate") - F.col("distinct_values")) <= 0.03 * F.col("distinct_values")).alias("within"))
+
+
+@query(
+    "registry_append",
+    """
+    SELECT o_custkey AS name, max(o_orderkey) AS version, 'spark-ml' AS format, 's3://models/' || o_custkey || '/' || max(o_orderkey) AS uri,
+           '{"priority":"' || arg_max(o_orderpriority, o_orderkey) || '","status":"' || arg_max(o_orderstatus, o_orderkey) || '"}' AS metadata, count(*) AS versions
+    FROM orders GROUP BY o_custkey
+    """,
+)
+def registry_append(spark, sf):
+    """Records with stored metadata, appended in two jobs of which the first is repeated."""
+    orders, path = table(spark, sf, "orders"), scratch_path(spark, "registry")
+    uri = F.concat_ws("/", F.lit("s3://models"), "o_custkey", "o_orderkey")
+    records = lifecycle.registry_record(orders, F.col("o_custkey"), F.col("o_orderkey"), uri, priority=F.col("o_orderpriority"), status=F.col("o_orderstatus"))
+    for half in (0, 0, 1):
+        lifecycle.append_records(records.where(F.col("version") % 2 == half), path)
+    return lifecycle.registry_latest(spark.read.parquet(path))
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from millrace.functions.hashing import key_hash
 from millrace.functions.scalars import micros
 from millrace.plans.fixtures import feat_from, reqs_from
 from millrace.plans.operations import CIRCUIT, FEATURES, KEYS, RECENT, rnd
@@ -92,6 +93,43 @@ def events_hourly(spark, sf):
     return out.select(micros(F.col("w.start")).alias("hour"), "event_type", "events", *rnd(4, "total_value"))
 
 
+@query(
+    "events_sliding",
+    """
+    WITH h AS (SELECT date_trunc('hour', ts) - k * INTERVAL 1 HOUR AS hour, event_type, value FROM events, (SELECT unnest([0, 1, 2]) AS k))
+    SELECT epoch_us(hour) AS hour, event_type, count(*) AS events, round(sum(value), 4) AS total_value FROM h GROUP BY hour, event_type
+    HAVING hour + INTERVAL 3 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+    """,
+)
+def events_sliding(spark, sf):
+    out = monitor.hourly_events(stream_table(spark, sf, "events"), window="3 hours", slide="1 hour")
+    return out.select(micros(F.col("w.start")).alias("hour"), "event_type", "events", *rnd(4, "total_value"))
+
+
+@query(
+    "user_sessions_stream",
+    """
+    WITH g AS (SELECT user_id, event_id, ts, value, CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 4 HOUR THEN 0 ELSE 1 END AS first FROM events),
+    n AS (SELECT *, sum(first) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM g)
+    SELECT user_id, epoch_us(min(ts)) AS session_start, epoch_us(max(ts) + INTERVAL 4 HOUR) AS session_end, count(*) AS events, round(sum(value), 4) AS total_value
+    FROM n GROUP BY user_id, k HAVING max(ts) + INTERVAL 4 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+    """,
+)
+def user_sessions_stream(spark, sf):
+    out = monitor.user_sessions(stream_table(spark, sf, "events"), ["user_id"], "4 hours")
+    return out.select("user_id", micros(F.col("w.start")).alias("session_start"), micros(F.col("w.end")).alias("session_end"), "events", *rnd(4, "total_value"))
+
+
+@query("distinct_stream", "SELECT DISTINCT event_id, user_id, event_type, value, epoch_us(ts) AS at FROM events")
+def distinct_stream(spark, sf):
+    """Every third event is delivered twice and every tenth three times."""
+    h = key_hash("event_id")
+    copies = F.when(h % 10 == 0, 3).when(h % 3 == 0, 2).otherwise(1)
+    delivered = stream_table(spark, sf, "events").withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    out = monitor.distinct_events(delivered.drop("copy"), ["event_id"], "10 minutes")
+    return out.select("event_id", "user_id", "event_type", "value", micros(F.col("ts")).alias("at"))
+
+
 @query("circuit_stream", CIRCUIT)
 def circuit_stream(spark, sf):
     rows = stream_table(spark, sf, "events").select(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +28,10 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    if session.conf.get(CHECKPOINT_KEY, None) or session.sparkContext.master.startswith("local"):
+        ship_package(session)
+    return session
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
@@ -60,5 +66,29 @@ def clear_scratch(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application, from the shared
+    folder: a driver started elsewhere has it on its own path only."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    here, held = os.path.dirname(os.path.abspath(__file__)), io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(here):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                whole = os.path.join(folder, name)
+                out.write(whole, os.path.relpath(whole, os.path.dirname(here)))
+    path = f"{scratch_path(spark, 'package')}/millrace.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    stream.write(held.getvalue())
+    stream.close()
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

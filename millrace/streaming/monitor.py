@@ -7,15 +7,18 @@ folder goes on where the earlier one ended, also without new data.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import ratio
 from millrace.operators import cleaning, monitoring
 from millrace.operators.scaling import long_features
-from millrace.streaming.jobs import Fold, append_to_parquet, drop_epoch, epoch_path, fold_stream, for_each_batch, last_epoch, work_folders
+from millrace.streaming.jobs import append_to_parquet, drop_epoch, epoch_path, for_each_batch, last_epoch, work_folders
+from millrace.streaming.keyed import edge_state, open_failures
+from millrace.streaming.versions import VersionedTable
+
+LOCAL_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
 def log_requests(requests: DataFrame, folder: str | None = None) -> DataFrame:
@@ -25,29 +28,11 @@ def log_requests(requests: DataFrame, folder: str | None = None) -> DataFrame:
     return requests.sparkSession.read.parquet(path)
 
 
-def window_fold(features: Sequence[str], keys: Sequence[str], order: str) -> Fold:
-    """State: the first rows (baseline) and the latest rows (window) of every key. Rows that
-    cannot be among them are dropped before the shuffle, also for a hot key."""
-
-    def trim(df: DataFrame, kind: str) -> DataFrame:
-        if kind == "first":
-            return monitoring.first_rows(df, keys, order, monitoring.BASELINE_REQUESTS)
-        return monitoring.latest_rows(df, keys, order, monitoring.WINDOW_SIZE)
-
-    def fold(state: DataFrame | None, batch: DataFrame) -> DataFrame:
-        new = batch.select(*keys, order, *features)
-        parts = []
-        for kind in ("first", "recent"):
-            rows = new if state is None else new.unionByName(state.where(F.col("kind") == kind).drop("kind"))
-            parts.append(trim(rows, kind).withColumn("kind", F.lit(kind)))
-        return parts[0].unionByName(parts[1])
-
-    return fold
-
-
 def window_state(requests: DataFrame, features: Sequence[str], keys: Sequence[str], order: str, folder: str | None = None) -> DataFrame:
-    path, checkpoint = work_folders(requests.sparkSession, "window-state", folder)
-    return fold_stream(requests, path, checkpoint, window_fold(features, keys, order))
+    """The first rows (baseline) and the latest rows (window) of every key, in per-key state: a
+    batch writes the lists of the keys it holds. Files may come in any order."""
+    _, checkpoint = work_folders(requests.sparkSession, "window-state", folder)
+    return edge_state(requests, keys, order, features, monitoring.BASELINE_REQUESTS, monitoring.WINDOW_SIZE, checkpoint)
 
 
 def state_stats(state: DataFrame, kind: str, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -99,71 +84,78 @@ def window_alerts(requests: DataFrame, keys: Sequence[str], window: str = "1 day
     return spark.read.parquet(path)
 
 
-def hourly_events(events: DataFrame, delay: str = "10 minutes", folder: str | None = None) -> DataFrame:
-    """Closed hours per event type; late events beyond the delay are left out."""
+def hourly_events(events: DataFrame, delay: str = "10 minutes", folder: str | None = None, window: str = "1 hour", slide: str | None = None) -> DataFrame:
+    """Closed windows per event type, tumbling or (with `slide`) sliding; events later than the
+    delay are left out (`event_accounts` counts them)."""
     spark = events.sparkSession
     path, checkpoint = work_folders(spark, "hourly-events", folder)
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-    append_to_parquet(monitoring.hourly_counts(timed), path, checkpoint)
+    append_to_parquet(monitoring.hourly_counts(timed, window=window, slide=slide), path, checkpoint)
     return spark.read.parquet(path)
 
 
-def circuit_fold(keys: Sequence[str], order: str, error: str = "error") -> Fold:
-    """State: for every key a head row (failures so far, id of the last success) and a row for
-    each failure with a larger id. Files may come in any order: a success that arrives late
-    only ends the failures before it."""
-    keys = list(keys)
+def user_sessions(events: DataFrame, keys: Sequence[str], gap: str, delay: str = "10 minutes", folder: str | None = None) -> DataFrame:
+    """Closed sessions of every key: events less than `gap` apart, with their number and value. A
+    session is written when the watermark passes its end. Sessions are merged in each task before
+    the shuffle, so a hot key sends sessions, not events."""
+    spark = events.sparkSession
+    path, checkpoint = work_folders(spark, "user-sessions", folder)
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    sessions = timed.groupBy(F.session_window("ts", gap).alias("w"), *keys).agg(F.count("*").alias("events"), F.sum("value").alias("total_value"))
+    before = spark.conf.get(LOCAL_SESSIONS, "false")
+    spark.conf.set(LOCAL_SESSIONS, "true")
+    try:
+        append_to_parquet(sessions, path, checkpoint)
+    finally:
+        spark.conf.set(LOCAL_SESSIONS, before)
+    return spark.read.parquet(path)
 
-    def fold(state: DataFrame | None, batch: DataFrame) -> DataFrame:
-        failed = F.col(error) == 1
-        heads = batch.groupBy(*keys).agg(F.count_if(failed).alias("failures"), F.max(F.when(~failed, F.col(order))).alias("success"))
-        failures = batch.where(failed).select(*keys, F.col(order).alias("failure"))
-        if state is not None:
-            both = heads.unionByName(state.where("failure is null").drop("failure"))
-            heads = both.groupBy(*keys).agg(F.sum("failures").alias("failures"), F.max("success").alias("success"))
-            failures = failures.unionByName(state.where("failure is not null").select(*keys, "failure"))
-        last = heads.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("success").alias("__success"))
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-        open_ = failures.join(last, same).where(F.col("__success").isNull() | (F.col("failure") > F.col("__success")))
-        open_ = open_.select(*keys, F.lit(None).cast("long").alias("failures"), F.lit(None).alias("success"), "failure")
-        return heads.withColumn("failure", F.lit(None)).unionByName(open_)
 
-    return fold
+def distinct_events(events: DataFrame, key: Sequence[str], delay: str, folder: str | None = None) -> DataFrame:
+    """Every event once, by its key: copies that come within the delay are dropped, and the state
+    keeps keys for that long only. Events later than the delay are left out."""
+    spark = events.sparkSession
+    path, checkpoint = work_folders(spark, "distinct-events", folder)
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    append_to_parquet(timed.dropDuplicatesWithinWatermark(list(key)), path, checkpoint)
+    return spark.read.parquet(path)
+
+
+def event_accounts(events: DataFrame, closed: DataFrame, folder: str, counted: str = "events", windows: int = 1) -> DataFrame:
+    """What became of the events a window or session stream has read: events, those in closed
+    windows, in open ones (in the stream's state), and late ones, which were left out. An event
+    counts once in each of the `windows` that hold it; events without a time are late."""
+    spark = closed.sparkSession
+    state = spark.read.format("statestore").load(f"{folder.rstrip('/')}/checkpoint")
+    number = F.col(f"value.{counted}") if counted in state.schema["value"].dataType.fieldNames() else F.col("value.count")
+    sums = [
+        events.agg((F.count("*") * windows).alias("n")).select(F.col("n").alias("events"), F.lit(0).alias("closed"), F.lit(0).alias("open")),
+        closed.agg(F.coalesce(F.sum(counted), F.lit(0)).alias("n")).select(F.lit(0), "n", F.lit(0)),
+        state.agg(F.coalesce(F.sum(number), F.lit(0)).alias("n")).select(F.lit(0), F.lit(0), "n"),
+    ]
+    total = sums[0].union(sums[1]).union(sums[2]).agg(*(F.sum(c).cast("long").alias(c) for c in ("events", "closed", "open")))
+    return total.withColumn("late", F.col("events") - F.col("closed") - F.col("open"))
 
 
 def circuit_states(requests: DataFrame, keys: Sequence[str], order: str, folder: str | None = None) -> DataFrame:
-    path, checkpoint = work_folders(requests.sparkSession, "circuit-state", folder)
-    state = fold_stream(requests, path, checkpoint, circuit_fold(keys, order))
-    counts = state.groupBy(*keys).agg(F.sum("failures").alias("total_failures"), F.count("failure").alias("consecutive_failures"))
+    """Failures, those since the last success, and the circuit of every key, in per-key state.
+    Files may come in any order: a success that arrives late only ends the failures before it."""
+    _, checkpoint = work_folders(requests.sparkSession, "circuit-state", folder)
+    counts = open_failures(requests, keys, order, "error", checkpoint)
     return counts.withColumn("state", monitoring.circuit_label(F.col("consecutive_failures")))
 
 
 def process_checkpointed(rows: DataFrame, batch_id: str = "batch_id", folder: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Resumable batch processing: every micro-batch writes its processed rows, the stream
-    checkpoint remembers what is done. Where a batch id goes on in a later micro-batch, its
-    rows so far are processed again with the new ones, and the newest version counts. Returns
-    the processed rows, and the rows and newest version (epoch) of each batch id."""
+    """Resumable batch processing: every micro-batch writes its processed rows into a versioned
+    table, the stream checkpoint remembers what is done. Where a batch id goes on in a later
+    micro-batch, its rows so far are processed again with the new ones, and the newest version
+    counts. Returns the processed rows, and the rows and newest version (epoch) of each batch id."""
     spark = rows.sparkSession
     path, checkpoint = work_folders(spark, "checkpointed", folder)
-    columns = rows.columns
-
-    def newest(session: SparkSession, before: int | None = None) -> DataFrame:
-        """Rows of the newest version of each batch id."""
-        done = session.read.parquet(path)
-        done = done if before is None else done.where(F.col("epoch") < before)
-        versions = done.groupBy(F.col(batch_id).alias("__id")).agg(F.max("epoch").alias("__epoch"))
-        return done.join(versions, F.col(batch_id).eqNullSafe(F.col("__id")) & (F.col("epoch") == F.col("__epoch"))).drop("__id", "__epoch")
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        whole = batch
-        if epoch > 0:
-            touched = batch.select(F.col(batch_id).alias("__touched")).distinct()
-            earlier = newest(batch.sparkSession, epoch).join(touched, F.col(batch_id).eqNullSafe(F.col("__touched")), "left_semi")
-            whole = batch.unionByName(earlier.select(*columns))
-        cleaning.process_batches(whole, batch_id).write.mode("overwrite").parquet(epoch_path(path, epoch))
+        VersionedTable(batch.sparkSession, path, batch_id).merge(batch, epoch, lambda whole: cleaning.process_batches(whole, batch_id))
 
     for_each_batch(rows, checkpoint, handle)
-    if last_epoch(spark, path) is None:
-        raise ValueError("the stream had no data")
-    done = newest(spark)
+    done = VersionedTable(spark, path, batch_id).read()
     return done.drop("epoch"), done.groupBy(batch_id, "epoch").agg(F.count("*").alias("rows_in_batch"))

@@ -47,16 +47,45 @@ def brute_shapley(tree_leaves, x):
     return phi
 
 
-def test_forest_contributions_match_the_definition(data, model):
-    trees, base = treeshap.leaf_paths(model.stages[-1])
+def leaves_of(tree, node=0, conditions=None):
+    conditions = conditions or {}
+    if tree.left[node] < 0:
+        return [{"value": tree.value[node], "conditions": conditions}]
+    f, cut = int(tree.feature[node]), tree.cut[node]
+    low, high, share = conditions.get(f, (-np.inf, np.inf, 1.0))
+    parts = ((tree.left[node], (low, min(high, cut))), (tree.right[node], (max(low, cut), high)))
+    return [leaf for child, bounds in parts for leaf in leaves_of(tree, child, {**conditions, f: (*bounds, share * tree.share[child])})]
+
+
+def test_forest_contributions_match_the_definition(spark, data, model):
+    packed, base = treeshap.saved_trees(model.stages[-1], spark)
+    trees = [leaves_of(t) for t in packed]
+    assert sum(len(t.left) for t in packed) == sum(t.numNodes for t in model.stages[-1].trees)
     x = np.array([r.features for r in data.orderBy("id").limit(12).collect()])
-    fast = treeshap.contributions(x, trees)
+    fast = treeshap.contributions(x, packed)
     slow = np.mean([[brute_shapley(t, row) for row in x] for t in trees], axis=0)
     assert np.allclose(fast, slow, atol=1e-12)
     p = [r.probabilities[1] for r in training.score(model, data).orderBy("id").limit(12).collect()]
     assert np.allclose(base + fast.sum(axis=1), p, atol=1e-9)
 
 
+def test_a_feature_may_split_a_path_several_times(spark):
+    """One feature decides in steps, so its factor is replaced down the path; weights count too."""
+    rows = spark.range(300).select("id", F.array((F.col("id") / 300), seeded_uniform("id", "u")).alias("features"), ((F.col("id") / 60).cast("int") % 2).alias("y"))
+    fitted = training.fit(training.forest(3, 6, weight="weight"), training.balanced(rows)).stages[-1]
+    packed, base = treeshap.saved_trees(fitted, spark)
+    x = np.array([[0.05, 0.4], [0.31, 0.9], [0.99, 0.1], [0.55, 0.55]])
+    fast = treeshap.contributions(x, packed)
+    slow = np.mean([[brute_shapley(leaves_of(t), row) for row in x] for t in packed], axis=0)
+    assert np.allclose(fast, slow, atol=1e-12) and np.abs(fast).max() > 0.1
+
+
+def test_large_forests_are_refused(spark, model, monkeypatch):
+    monkeypatch.setattr(treeshap, "MAX_NODES", 10)
+    with pytest.raises(ValueError, match="nodes"):
+        treeshap.saved_trees(model.stages[-1], spark)
+
+
 def test_forest_learns_and_importance_sums_to_one(spark, data, model):
     scored = training.score(model, data)
     assert evaluation.accuracy(scored).first().accuracy > 0.9
