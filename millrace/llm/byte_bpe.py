@@ -11,8 +11,8 @@ rank is that of the whole. Words of over `LONG` bytes use a variant that contrac
 non-overlapping pairs of that rank at once, from the left, where no pair that the merged token
 can be part of has a smaller rank: then single contractions would come in that order anyhow.
 
-Texts are cut into parts as in `tokens`; a bounded table keeps the results of parts, so a
-word is sent to DuckDB about once per task. Null and empty texts have no ids. Other columns
+Texts are cut into parts as in `tokens`; a bounded table keeps the results of pieces, so a
+word is sent to DuckDB about once per task, and texts are laid out from the results at once. Null and empty texts have no ids. Other columns
 are ignored, repeated rows are encoded again, an empty table gives no rows.
 """
 
@@ -30,10 +30,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tokens import cuttable, split_parts
+from millrace.llm.tokens import are_words, cuttable, gathered, split_parts, split_signs
 
 LONG = 48
-WORDS_AT_ONCE = 10_000
+WORDS_AT_ONCE = 20_000
 
 # One contraction per word and round. A row's key is word * 64 + position; `nxt` is the key of
 # the row behind it, so neighbours meet by a join. A merge's code is rank * 64 + position: the
@@ -47,7 +47,7 @@ WITH RECURSIVE step AS (
         FROM step s LEFT JOIN step n ON n.key = s.nxt
     ), best AS (
         SELECT p.key >> 6 AS word, min(m.merged * 64 + (p.key & 63)) AS code, arg_min(p.nxt, m.merged * 64 + (p.key & 63)) AS absorbed
-        FROM pairs p JOIN merges m ON m.pair = p.tok * 65536 + p.next_tok GROUP BY p.key >> 6
+        FROM pairs p JOIN merges m ON m.pair = (p.tok << 32) + p.next_tok GROUP BY p.key >> 6
     )
     SELECT p.key, CASE WHEN p.key & 63 = b.code & 63 THEN b.code >> 6 ELSE p.tok END AS tok,
            CASE WHEN p.key & 63 = b.code & 63 THEN p.after ELSE p.nxt END AS nxt, p.round + 1
@@ -84,9 +84,9 @@ SELECT s.word, s.pos, s.tok FROM step s JOIN last l ON s.word = l.word AND s.rou
 """
 
 DECODE_SQL = """
-SELECT e.word, string_agg(CAST(e.tok AS VARCHAR), ',' ORDER BY e.pos) AS ids, count(*) AS n,
-       string_agg(v.bytes, '' ORDER BY e.pos) AS decoded
-FROM encoded e JOIN vocabulary v ON v.tok = e.tok GROUP BY e.word
+SELECT CAST(e.word AS BIGINT) AS word, string_agg(CAST(e.tok AS VARCHAR) || ',', '' ORDER BY e.pos) AS ids, count(*) AS n,
+       unhex(string_agg(v.bytes, '' ORDER BY e.pos)) AS decoded
+FROM encoded e JOIN vocabulary v ON v.tok = e.tok GROUP BY e.word ORDER BY e.word
 """
 
 
@@ -104,22 +104,28 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
         least[l] = min(least[l], rank)
         least[r] = min(least[r], rank)
     l, r, merged = np.array(rows, np.int64).reshape(-1, 3).T
-    return pa.table({"l": l, "r": r, "pair": l * 65536 + r, "merged": merged, "safe": least[merged] > merged})
+    return pa.table({"l": l, "r": r, "pair": (l << 32) + r, "merged": merged, "safe": least[merged] > merged})
 
 
 class DuckCoder:
-    """Encodings of text parts: (ids as decimals joined by commas, their number, decoded bytes)."""
+    """Encodings of pieces of the pattern, and of texts laid out from them: ids as decimals with a
+    comma behind each, their number, and the decoded bytes. At most about `keep` different pieces
+    are held; then all are forgotten, before the next batch."""
 
-    def __init__(self, ranks_path: str, pattern: str, keep: int = 250_000):
+    def __init__(self, ranks_path: str, pattern: str, keep: int = 400_000):
         self.ranks, self.pattern, self.keep = read_ranks(ranks_path), regex.compile(pattern), keep
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
         self.db.register("merge_rows", merge_table(self.ranks))
         self.db.register("vocabulary_rows", pa.table({"tok": pa.array(self.ranks.values(), pa.int64()), "bytes": [k.hex() for k in self.ranks]}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merge_rows; CREATE TABLE vocabulary AS SELECT * FROM vocabulary_rows")
-        self.young: dict[bytes, tuple[bytes, int, bytes]] = {}
-        self.old: dict[bytes, tuple[bytes, int, bytes]] = {}
-        self.stems: dict[str, tuple[bytes, int, bytes]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the tables: idle Python workers of an executor should hold little."""
+        self.number: dict[str, int] = {}
+        self.ids, self.decoded = pa.array([], pa.large_binary()), pa.array([], pa.large_binary())
+        self.counts = np.empty(0, np.int64)
 
     def _contract(self, words: list[bytes], sql: str) -> None:
         """Append the encodings of words, numbered from 0, to the table `encoded`."""
@@ -138,86 +144,80 @@ class DuckCoder:
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE encoded AS {sql}")
         self.db.unregister("start_tokens")
 
-    def _decoded(self) -> Iterator[tuple[int, tuple[bytes, int, bytes]]]:
-        found = self.db.sql(DECODE_SQL).to_arrow_table()
-        for word, ids, n, decoded in zip(*(c.to_pylist() for c in found.columns), strict=True):
-            yield word, (ids.encode(), n, bytes.fromhex(decoded))
-
-    def words(self, texts: list[str]) -> dict[str, tuple[bytes, int, bytes]]:
-        """Encoding of each different word."""
-        out: dict[str, tuple[bytes, int, bytes]] = {}
+    def _add(self, pieces: list[str]) -> None:
+        """Encode new pieces and number them."""
         whole, short, long = [], [], []
-        for text in dict.fromkeys(texts):
-            raw = text.encode()
-            (whole if raw in self.ranks else short if len(raw) <= LONG else long).append((text, raw))
+        for piece in pieces:
+            raw = piece.encode()
+            (whole if raw in self.ranks else short if len(raw) <= LONG else long).append((piece, raw))
+        parts = []
         if whole:
             self.db.register("found", pa.table({"word": np.arange(len(whole), dtype=np.int32), "tok": pa.array([self.ranks[r] for _, r in whole], pa.int32())}))
             self.db.execute("CREATE OR REPLACE TEMP TABLE encoded AS SELECT word, 0 AS pos, tok FROM found")
             self.db.unregister("found")
-            out.update((whole[i][0], x) for i, x in self._decoded())
+            parts.append(self.db.sql(DECODE_SQL).to_arrow_table())
         for group, sql, size in ((short, SHORT_SQL, WORDS_AT_ONCE), (long, LONG_SQL, 200)):
             for at in range(0, len(group), size):
-                own = group[at : at + size]
-                self._contract([r for _, r in own], sql)
-                out.update((own[i][0], x) for i, x in self._decoded())
-        return out
-
-    def _words(self, lists: list[list[str]]) -> list[tuple[bytes, int, bytes]]:
-        """Encodings of lists of words; the words themselves are kept as well."""
-        needed = set().union(*lists) - self.stems.keys()
-        if len(self.stems) > self.keep:
-            self.stems = {}
-            needed = set().union(*lists)
-        coded = self.words(list(needed))
-        self.stems.update((w, x) for w, x in coded.items() if len(w) <= LONG)
-        out = []
-        for words in lists:
-            own = [self.stems.get(w) or coded[w] for w in words]
-            out.append(own[0] if len(own) == 1 else (b",".join(x[0] for x in own), sum(x[1] for x in own), b"".join(x[2] for x in own)))
-        return out
-
-    def _parts(self, parts: list[bytes]) -> list[tuple[bytes, int, bytes]]:
-        """Encodings of different parts, each behind a blank."""
-        if len(self.young) > self.keep:
-            self.old, self.young = self.young, {}
-        found = [self.young.get(p) or self.old.get(p) for p in parts]
-        missing = [i for i, x in enumerate(found) if x is None]
-        for i, x in zip(missing, self._words([self.pattern.findall(" " + parts[i].decode()) for i in missing]), strict=True):
-            found[i] = x
-        self.young.update((p, x) for p, x in zip(parts, found, strict=True) if len(p) <= LONG)
-        return found
+                self._contract([r for _, r in group[at : at + size]], sql)
+                parts.append(self.db.sql(DECODE_SQL).to_arrow_table())
+        at = len(self.number)
+        self.number.update((piece, at + i) for i, (piece, _) in enumerate([*whole, *short, *long]))
+        found = pa.concat_tables(parts).combine_chunks()
+        column = lambda c: found.column(c).combine_chunks().cast(pa.large_binary())
+        self.ids, self.decoded = (pa.concat_arrays([held, column(c)]) for held, c in ((self.ids, "ids"), (self.decoded, "decoded")))
+        self.counts = np.concatenate([self.counts, found.column("n").to_numpy()])
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        found = list(map(self.number.get, pieces))
+        if None in found:
+            self._add(list(dict.fromkeys(p for p, n in zip(pieces, found, strict=True) if n is None)))
+            found = list(map(self.number.__getitem__, pieces))
+        return np.array(found, np.int64)
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, int, bytes]]:
-        """Encodings of whole texts."""
+        """Encodings of whole texts. A text's different parts are words with signs behind them, one
+        piece each, or lists of the pattern's pieces; texts that can't be cut are such a list as a whole."""
+        if len(self.number) > self.keep:
+            self.forget()
         out: list[tuple[bytes, int, bytes]] = [(b"", 0, b"")] * len(texts)
         easy = [i for i, t in enumerate(texts) if t and cuttable(t)]
         hard = [i for i, t in enumerate(texts) if t and not cuttable(t)]
-        split = split_parts([texts[i].encode() for i in easy]) if easy else None
-        if easy and split is None:
-            hard, easy = sorted(easy + hard), []
-        for i, x in zip(hard, self._words([self.pattern.findall(texts[i]) for i in hard]), strict=True):
-            out[i] = x
-        if not easy:
+        if not easy and not hard:
             return out
-        coded: list[tuple[bytes, int, bytes]] = [(b"", 0, b"")] * len(split.parts)
-        inner = np.flatnonzero(~split.heads).tolist()
-        for i, x in zip(inner, self._parts([split.parts[i] for i in inner]), strict=True):
-            coded[i] = x
-        heads = [i for i in np.flatnonzero(split.heads).tolist() if split.parts[i]]
-        for i, x in zip(heads, self._words([self.pattern.findall(split.parts[i].decode()) for i in heads]), strict=True):
-            coded[i] = x
-        ids, counts, decoded = zip(*coded, strict=True)
-        own = split.own.tolist()
-        ids, decoded = list(map(ids.__getitem__, own)), list(map(decoded.__getitem__, own))
-        total = np.concatenate([[0], np.cumsum(np.array(counts)[split.own])])
-        begins = np.flatnonzero(split.first)
-        for i, a, b in zip(easy, begins.tolist(), [*begins[1:].tolist(), len(own)], strict=True):
-            out[i] = (b",".join(ids[a + (not ids[a]) : b]), int(total[b] - total[a]), b"".join(decoded[a:b]))
+        own, first = np.empty(0, np.int64), np.empty(0, np.int64)
+        if easy:
+            split = split_parts([texts[i] for i in easy])
+            words, signs = (x.dictionary_encode() for x in split_signs(split.parts))
+            lists = [[" " + w] if plain else self.pattern.findall(" " + w) for w, plain in zip(words.dictionary.to_pylist(), are_words(words.dictionary).to_pylist(), strict=True)]
+            lists += [[x] if x else [] for x in signs.dictionary.to_pylist()]
+            after = len(lists)
+            lists += [self.pattern.findall(x) for x in split.heads]
+            lists.append([])
+            pairs = np.column_stack([words.indices.to_numpy(), signs.indices.to_numpy() + len(words.dictionary)])
+            alone = np.column_stack([np.arange(len(split.heads)) + after, np.full(len(split.heads), len(lists) - 1)])
+            own, first = np.concatenate([pairs, alone])[split.own].ravel(), 2 * split.first
+        else:
+            lists = []
+        first = np.concatenate([first, len(own) + np.arange(len(hard))])
+        own = np.concatenate([own, len(lists) + np.arange(len(hard))])
+        lists += [self.pattern.findall(texts[i]) for i in hard]
+        counts = np.array([len(x) for x in lists])
+        pieces = self._numbers([p for x in lists for p in x])
+        at, ends = gathered(counts, own)
+        laid = pieces[at]
+        cuts = np.concatenate([[0], ends[first[1:] - 1], [len(laid)]])
+        total = np.concatenate([[0], np.cumsum(self.counts[laid])])[cuts]
+        (ids, places), (decoded, spots) = (_bytes_of(c, laid, cuts) for c in (self.ids, self.decoded))
+        for j, i in enumerate(easy + hard):
+            out[i] = (ids[places[j] : places[j + 1] - 1].to_pybytes(), int(total[j + 1] - total[j]), decoded[spots[j] : spots[j + 1]].to_pybytes())
         return out
 
-    def forget(self) -> None:
-        """Drop the tables: idle Python workers of an executor should hold little."""
-        self.young, self.old, self.stems = {}, {}, {}
+
+def _bytes_of(column: pa.LargeBinaryArray, chosen: np.ndarray, cuts: np.ndarray) -> tuple[pa.Buffer, list[int]]:
+    """The chosen values end to end, and where the values at `cuts` begin."""
+    taken = column.take(pa.array(chosen))
+    offsets = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset : taken.offset + len(chosen) + 1]
+    return taken.buffers()[2] or pa.py_buffer(b""), offsets[cuts].tolist()
 
 
 @lru_cache(maxsize=1)

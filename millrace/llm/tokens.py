@@ -17,18 +17,20 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from public_tokenizers import PATTERN
 
-from millrace.llm.words import mixed, powers
-
-STRETCH = 4_000_000
+STRETCH = 8_000_000
 
 # A blank inside or at the end of a longer run of white space: not a place to cut.
 _INNER_BLANK = re.compile(r"\s \s|\s \Z")
 # ASCII signs that are neither letters, digits nor white space: a run of them is one piece.
 _SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _PIECES = regex.compile(PATTERN)
+# Letters of Latin scripts, all of them below U+0250: a word of these is one piece.
+_WORD = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$"
 
 
 def cuttable(text: str) -> bool:
@@ -69,81 +71,78 @@ class PartEncoder:
             raise ValueError(f"the vocabulary does not fit {dtype}")
         self.keep = keep
         self.letters = byte_letters()
-        self.signs: dict[str, bytes] = {}
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _merged(self, piece: str) -> bytes:
+    def _merged(self, piece: str) -> list[int]:
         """Ids of one piece of the pattern by the library's merges."""
-        letters = "\u0120" + piece[1:] if piece[0] == " " and piece.isascii() and piece[1:].isalpha() else piece.encode().decode("latin-1").translate(self.letters)
-        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
-
-    def _part(self, part: str) -> bytes:
-        """Ids of a blank and a part. A word with signs behind it, the common case, is two
-        pieces; the pattern finds those of any other part."""
-        word = part.rstrip(_SIGNS)
-        if word.isalpha() and max(word) < "\u0250":
-            signs = part[len(word) :]
-            if not signs:
-                return self._merged(" " + word)
-            if (ids := self.signs.get(signs)) is None:
-                ids = self._merged(signs)
-                if len(self.signs) < 10_000:
-                    self.signs[signs] = ids
-            bare = word.encode()  # the word alone is a part as well
-            stem = self.young.get(bare) or self.old.get(bare)
-            if stem is None:
-                self.young[bare] = stem = self._merged(" " + word)
-            return stem + ids
-        return b"".join(map(self._merged, _PIECES.findall(" " + part)))
+        return [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
 
     def forget(self) -> None:
         """Drop the tables: idle Python workers of an executor should hold little."""
         self.young, self.old = {}, {}
 
-    def _known(self, parts: list[bytes]) -> list[bytes]:
-        """Ids of different parts, from the tables or anew."""
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """Ids of a blank and each of different parts, from the tables or anew."""
         if len(self.young) > self.keep:
             self.old, self.young = self.young, {}
-        found = list(map(self.young.get, parts))
-        at = -1
-        for _ in range(found.count(None)):
-            at = found.index(None, at + 1)
-            ids = self.old.get(parts[at])
-            self.young[parts[at]] = found[at] = self._part(parts[at].decode()) if ids is None else ids
+        young, old, tokenize = self.young, self.old.get, self.model.tokenize
+        found, fresh, ids, ends = list(map(young.get, parts)), [], [], []
+        for i in [i for i, held in enumerate(found) if held is None]:
+            part = parts[i]
+            if (held := old(part)) is not None:
+                young[part] = found[i] = held
+                continue
+            if part.isascii() and part.isalpha():
+                ids += [t.id for t in tokenize("\u0120" + part)]
+            elif part.isalpha() and max(part) < "\u0250":
+                ids += [t.id for t in tokenize("\u0120" + part.encode().decode("latin-1").translate(self.letters))]
+            else:
+                for piece in _PIECES.findall(" " + part):
+                    ids += self._merged(piece)
+            fresh.append(i)
+            ends.append(len(ids))
+        raw, at, width = array(self.code, ids).tobytes(), 0, np.dtype(self.dtype).itemsize
+        for i, end in zip(fresh, ends, strict=True):
+            young[parts[i]] = found[i] = raw[at : end * width]
+            at = end * width
         return found
 
-    def _cut(self, raws: list[bytes]) -> list[bytes]:
-        """Ids of texts that can be cut: the different parts are looked up, and their ids laid
-        out in the order of the parts."""
-        split = split_parts(raws)
-        if split is None:
-            return [self._whole(r.decode()) for r in raws]
-        ids = [b""] * len(split.parts)
-        inner = np.flatnonzero(~split.heads).tolist()
-        for i, found in zip(inner, self._known([split.parts[i] for i in inner]), strict=True):
-            ids[i] = found
-        for i in np.flatnonzero(split.heads).tolist():
-            ids[i] = self._whole(split.parts[i].decode()) if split.parts[i] else b""
-        return self._laid(ids, split.own, split.first)
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that can be cut. Their different parts are split into a word and the signs
+        behind it, which are two pieces; a part of another form is a word as it is. Different words
+        are looked up, and the ids laid out in the order of the parts. The first part of a text
+        has no blank before it and goes by itself."""
+        split = split_parts(texts)
+        words, signs = split_signs(split.parts)
+        words, signs = words.dictionary_encode(), signs.dictionary_encode()
+        units = self._known(words.dictionary.to_pylist())
+        units += [self._signs(x) for x in signs.dictionary.to_pylist()]
+        after = len(units)
+        units += [self._whole(x) if x else b"" for x in split.heads]
+        units.append(b"")
+        pairs = np.column_stack([words.indices.to_numpy(), signs.indices.to_numpy() + len(words.dictionary)])
+        alone = np.column_stack([np.arange(len(split.heads)) + after, np.full(len(split.heads), len(units) - 1)])
+        return self._laid(units, np.concatenate([pairs, alone])[split.own].ravel(), 2 * split.first)
+
+    def _signs(self, signs: str) -> bytes:
+        return array(self.code, self._merged(signs)).tobytes() if signs else b""
 
     def _laid(self, ids: list[bytes], own: np.ndarray, first: np.ndarray) -> list[bytes]:
         table = np.frombuffer(b"".join(ids), self.dtype)
         counts = np.array([len(x) for x in ids]) // np.dtype(self.dtype).itemsize
-        begin = np.cumsum(counts) - counts
-        sizes = counts[own]
-        ends = np.cumsum(sizes)
-        tokens = table[np.repeat(begin[own] - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
-        cuts = np.append((ends - sizes)[first], ends[-1]).tolist()
+        at, ends = gathered(counts, own)
+        tokens = table[at]
+        cuts = [0, *ends[first[1:] - 1].tolist(), len(at)]
         return [tokens[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """Ids of each text; null and empty texts have none."""
         out: list[bytes] = []
-        held: list[bytes] = []
+        held: list[str] = []
         places: list[int] = []
         size = 0
 
@@ -161,66 +160,64 @@ class PartEncoder:
             if text and (any(a in text for a in self.added) or not cuttable(text)):
                 out[-1] = self._whole(text)
             elif text:
-                held.append(text.encode())
+                held.append(text)
                 places.append(len(out) - 1)
-                size += len(held[-1])
+                size += len(text)
                 if size >= STRETCH:
                     flush()
         flush()
         return out
 
 
+def gathered(counts: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For lists of `counts` elements, stored end to end: the elements of the lists `own` in their
+    order, and where each list ends among them."""
+    begin = np.cumsum(counts) - counts
+    sizes = counts[own]
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(begin[own] - (ends - sizes), sizes) + np.arange(total), ends
+
+
 @dataclass
 class Parts:
-    """The different parts of some texts; `heads` are those that begin a text, all others have a
-    blank before them. `own` is the part at each place, `first` marks the places of heads."""
+    """The different parts of some texts that have a blank before them, and the different heads,
+    which begin a text. `own` numbers the part at each place, heads behind all others; `first`
+    are the places of heads."""
 
-    parts: list[bytes]
-    heads: np.ndarray
+    parts: pa.LargeStringArray
+    heads: list[str]
     own: np.ndarray
     first: np.ndarray
 
 
-def split_parts(raws: list[bytes]) -> Parts | None:
-    """All parts of all texts, hashed and compared at once; none where two have one hash."""
-    raw = b"\xff" + b"\xff".join(raws) + b"\xff"  # no byte of UTF-8
-    data = np.frombuffer(raw, np.uint8)
-    border = np.flatnonzero((data == 32) | (data == 255))
-    starts, ends = border[:-1] + 1, border[1:]
-    first = data[border[:-1]] == 255
-    hashes = _part_hashes(data, starts, ends) ^ first.astype(np.uint64)
-    order = np.argsort(hashes)
-    new = np.concatenate([[True], np.diff(hashes[order]) != 0])
-    own = np.empty(len(order), np.int64)
-    own[order] = np.cumsum(new) - 1
-    chosen = order[new]
-    if not _same_parts(data, starts, ends, chosen[own]):
-        return None
-    spans = zip(starts[chosen].tolist(), ends[chosen].tolist(), strict=True)
-    return Parts([raw[a:b] for a, b in spans], first[chosen], own, first)
-
-
-def _part_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the stretches between borders; empty ones have one hash."""
-    lengths = ends - starts
-    out = lengths.astype(np.uint64)
-    some = np.flatnonzero(lengths)
-    if len(some):
-        lengths = lengths[some]
-        begin = np.cumsum(lengths) - lengths
-        inside = np.delete(data, np.concatenate([starts - 1, ends[-1:]]))
-        place = np.arange(len(inside)) - np.repeat(begin, lengths)
-        terms = (inside.astype(np.uint64) + np.uint64(1)) * powers(int(lengths.max()))[place]
-        out[some] = mixed(np.add.reduceat(terms, begin) + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & ~np.uint64(1)
-    return out
-
-
-def _same_parts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chosen: np.ndarray) -> bool:
-    """Whether every part equals the part chosen for its hash, byte by byte."""
-    lengths = ends - starts
-    if (lengths != lengths[chosen]).any():
-        return False
-    inside = np.delete(data, np.concatenate([starts - 1, ends[-1:]]))
-    begin = np.cumsum(lengths) - lengths
-    shift = np.repeat(begin[chosen] - begin, lengths)
-    return bool((inside[np.arange(len(inside)) + shift] == inside).all())
+def split_parts(texts: list[str]) -> Parts:
+    """All parts of texts, cut before every blank."""
+    lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    flat, first = lists.values.dictionary_encode(), lists.offsets.to_numpy()[:-1]
+    own = flat.indices.to_numpy()
+    heads = pc.take(flat.dictionary, flat.indices.take(pa.array(first))).dictionary_encode()
+    inner = np.ones(len(own), bool)
+    inner[first] = False
+    used = np.zeros(len(flat.dictionary), bool)
+    used[own[inner]] = True
+    number = (np.cumsum(used) - 1)[own]
+    number[first] = heads.indices.to_numpy() + int(used.sum())
+    return Parts(flat.dictionary.filter(pa.array(used)), heads.dictionary.to_pylist(), number, first)
+
+
+def are_words(stems: pa.Array) -> pa.Array:
+    return pc.match_substring_regex(stems, _WORD)
+
+
+def split_signs(parts: pa.LargeStringArray) -> tuple[pa.Array, pa.Array]:
+    """Words and the ASCII signs behind them; a part of another form is a word without signs."""
+    stems = pc.utf8_rtrim(parts, characters=_SIGNS)
+    words = pc.if_else(are_words(stems), stems, parts)
+    sizes = pc.binary_length(words).to_numpy()
+    ends = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset + 1 : parts.offset + len(parts) + 1]
+    lengths = pc.binary_length(parts).to_numpy() - sizes
+    behind = np.concatenate([[0], np.cumsum(lengths)])
+    at = np.repeat(ends - lengths - behind[:-1], lengths) + np.arange(behind[-1])
+    raw = np.frombuffer(parts.buffers()[2] or b"", np.uint8)[at]
+    return words, pa.LargeStringArray.from_buffers(len(parts), pa.py_buffer(behind.astype(np.int64)), pa.py_buffer(raw))
