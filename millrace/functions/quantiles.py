@@ -5,11 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions.prefix import value_cuts, with_value_bucket
+from millrace.session import materialize
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, **sums: Column) -> DataFrame:
+    """Stored: keys, value (`__v`, double), how many rows have it (`__n`), and further aggregates of
+    these rows. What is computed from values alone then reads this table, and the rows only once."""
+    number = df.withColumn("__v", F.col(value).cast("double"))
+    counts = number.groupBy(*keys, "__v").agg(F.count("*").alias("__n"), *[c.alias(name) for name, c in sums.items()])
+    return materialize(counts, "value-counts")
 
 
 def exact_quantiles(
@@ -22,13 +31,17 @@ def exact_quantiles(
     """One row per group with the linearly interpolated quantiles named in `probs`.
 
     The built-in exact percentile keeps every distinct value of a group in one task.
-    Here values are counted, the bucket holding each wanted rank is found from bucket
+    Here values are counted and stored, the bucket holding each wanted rank is found from bucket
     totals, and only the rows of those buckets are ordered.
     """
+    return counted_quantiles(value_counts(df, keys, value), keys, probs, buckets)
+
+
+def counted_quantiles(stored: DataFrame, keys: Sequence[str], probs: dict[str, float], buckets: int | None = None) -> DataFrame:
+    """`exact_quantiles` from `value_counts`; nulls take no part."""
     keys = list(keys)
-    present = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    cuts = value_cuts(present, "__v", buckets)
-    counts = with_value_bucket(present.groupBy(*keys, "__v").agg(F.count("*").alias("__n")), "__v", cuts, "__b")
+    present = stored.select(*keys, "__v", "__n").where(F.col("__v").isNotNull())
+    counts = with_value_bucket(present, "__v", value_cuts(present, "__v", buckets), "__b")
 
     group = Window.partitionBy(*keys)
     spans = (

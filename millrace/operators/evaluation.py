@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.prefix import prefix_sums, value_cuts, with_value_bucket
 from millrace.functions.scalars import ratio
+from millrace.session import materialize
 
 
 def accuracy(df: DataFrame, keys: Sequence[str] = (), y: str = "y", pred: str = "pred") -> DataFrame:
@@ -110,16 +111,16 @@ def roc_auc(
     """Exact area under the ROC curve with ties averaged; 0 unless there are exactly the two
     classes 0 and 1.
 
-    Rows are counted per distinct score before any ordering, and the ordering itself
-    runs over score buckets, so no group is sorted as a whole.
+    Rows are counted per distinct score, once, and the counts are stored; the cuts come from
+    them, and the ordering runs over score buckets, so no group is sorted as a whole.
     """
     scored = df.select(*keys, y, F.col(score).cast("double").alias("__s"))
-    cuts = value_cuts(scored, "__s", buckets)
     per_score = scored.groupBy(*keys, "__s").agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg"), F.count_if(~F.coalesce(F.col(y).isin(0, 1), F.lit(False))).alias("other")
     )
+    per_score = materialize(per_score, "score-counts")
     placed = prefix_sums(
-        with_value_bucket(per_score, "__s", cuts, "__bucket_of_score"),
+        with_value_bucket(per_score, "__s", value_cuts(per_score, "__s", buckets), "__bucket_of_score"),
         keys,
         [F.col("__s")],
         F.col("__bucket_of_score"),

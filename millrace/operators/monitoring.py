@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.quantiles import exact_quantiles
+from millrace.functions.quantiles import counted_quantiles, value_counts
 from millrace.functions.scalars import ratio, ts_text
 from millrace.functions.selection import edge_rows
 from millrace.operators.scaling import long_features
@@ -119,13 +119,18 @@ def prediction_distribution(requests: DataFrame, keys: Sequence[str], prediction
     return requests.groupBy(*keys).agg(*_distribution(prediction))
 
 
-def latency_tails(requests: DataFrame, keys: Sequence[str], latency: str = "latency_ms") -> DataFrame:
-    return exact_quantiles(requests, keys, latency, {"p95_latency_ms": 0.95, "p99_latency_ms": 0.99})
+def _counted_mean() -> Column:
+    return F.sum(F.col("__v") * F.col("__n")) / F.sum(F.when(F.col("__v").isNotNull(), F.col("__n")))
+
+
+TAILS = {"p95_latency_ms": 0.95, "p99_latency_ms": 0.99}
 
 
 def latency_percentiles(requests: DataFrame, keys: Sequence[str], latency: str = "latency_ms") -> DataFrame:
-    mean = requests.groupBy(*keys).agg(F.avg(latency).alias("avg_latency_ms"))
-    return mean.join(latency_tails(requests, keys, latency), list(keys))
+    """Mean and tails, all from the stored counts of values: the requests are read once."""
+    counts = value_counts(requests, keys, latency)
+    mean = counts.groupBy(*keys).agg(_counted_mean().alias("avg_latency_ms"))
+    return mean.join(counted_quantiles(counts, keys, TAILS), list(keys))
 
 
 def latency_sketches(requests: DataFrame, keys: Sequence[str], ts: str = "ts", latency: str = "latency_ms", span: str = "hour") -> DataFrame:
@@ -144,15 +149,21 @@ def sketched_tails(sketches: DataFrame, keys: Sequence[str], probs: dict[str, fl
 
 
 def service_metrics(requests: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """All metrics the alerts read, one row per key."""
+    """All metrics the alerts read, one row per key: totals and tails from one stored pass over
+    the requests, the recent rate from a second."""
     keys = list(keys)
-    totals = requests.groupBy(*keys).agg(
-        F.count("*").alias("total_requests"),
-        F.sum("error").alias("error_count"),
-        F.avg("latency_ms").alias("avg_latency_ms"),
-        *_distribution("prediction"),
+    prediction = F.col("prediction")
+    counts = value_counts(requests, keys, "latency_ms", errors=F.sum("error"), positive=F.count_if(prediction == 1), negative=F.count_if(prediction == 0), predicted=F.count("prediction"))
+    totals = counts.groupBy(*keys).agg(
+        F.sum("__n").alias("total_requests"),
+        F.sum("errors").alias("error_count"),
+        _counted_mean().alias("avg_latency_ms"),
+        F.sum("__n").alias("total_predictions"),
+        F.sum("positive").alias("positive_count"),
+        F.sum("negative").alias("negative_count"),
+        F.try_divide(F.sum("positive").cast("double"), F.sum("predicted")).alias("positive_rate"),
     )
-    out = totals.join(latency_tails(requests, keys), keys).join(recent_rate(requests, keys, order), keys)
+    out = totals.join(counted_quantiles(counts, keys, TAILS), keys).join(recent_rate(requests, keys, order), keys)
     return out.withColumn("error_rate", ratio(F.col("error_count").cast("double"), F.col("total_requests").cast("double")))
 
 

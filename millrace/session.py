@@ -57,6 +57,16 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove a table that `materialize` stored, once all that reads it is stored as well."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if "/millrace/" not in folder.toString():
+            raise ValueError("only tables below the scratch folder are discarded")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove all intermediate tables below the shared folder. For the end of a job: results
     that have not been written yet may still read them."""
