@@ -11,8 +11,11 @@ first s - need(s) + 1 grams, in which light sets near the boundary stand too. Th
 the size with the least total cost: subsets emitted below it, list entries scanned from it on,
 taken from the counts of all classes by size.
 
-Two sets that share a list and pass the size and position bounds are a candidate, checked by
-parity bits, which refuse no similar pair, and then on the whole sets. Lists are first checked as stars
+Two sets that share a list and pass the size, position and miss bounds are a candidate, checked by
+parity bits, which refuse no similar pair, and then on the whole sets. *Misses*: of the two
+prefixes one ends first, and its grams that are in no list with another set are not in the other
+set. So one of the two sets must be able to miss all such grams of its prefix. That keeps apart
+long texts that only have a passage in common. Lists are first checked as stars
 around their smallest member, and the links found give groups; then all members of a list that
 are still in different groups and pass the size and position bounds are checked as pairs. So a
 list of n near copies costs n checks and not n * n, and no link between groups is missed.
@@ -35,12 +38,13 @@ from pyspark.sql import functions as F
 
 from millrace.llm.components import components
 from millrace.llm.words import LOWER, chunks, mixed, word_hashes
-from millrace.session import materialize
+from millrace.session import discard, materialize
 
 # Grams are frequent when `FREQUENT` of the sets of one counted stretch hold them.
 STRETCH_SETS = 8_192
 FREQUENT = 4
 PARITY_BITS = 2_048
+FIRST_LISTS = 12
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -122,6 +126,7 @@ def frequent_grams(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     sets = counted.agg(F.sum("sets")).first()[0] or 0
     often = counted.where("n > 0").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= max(FREQUENT, sets * FREQUENT / STRETCH_SETS / 4))
     found = often.toArrow()
+    discard(counted)
     grams, times = found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy()
     order = np.argsort(grams)
     return grams[order], np.log2(times[order]).astype(np.int8)
@@ -139,9 +144,19 @@ def ordered(grams: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> tuple
 
 
 def parity(grams: np.ndarray) -> bytes:
-    """For each of `PARITY_BITS` hash values, whether an odd number of grams has it. Where two
-    sets differ in n grams, at most n of these bits differ."""
-    return np.packbits(np.bincount((grams % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1 > 0).tobytes()
+    """For each of so many hash values, whether an odd number of grams has it. Where two sets
+    differ in n grams, at most n of these bits differ. The number of bits is a power of two that
+    follows the size of the set; halves laid over each other are the parity of half as many."""
+    bits = max(PARITY_BITS, 1 << max(0, len(grams) - 1).bit_length())
+    return np.packbits(np.bincount((grams % np.uint64(bits)).astype(np.int64), minlength=bits) & 1 > 0).tobytes()
+
+
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """Parity bits as bytes, folded to `size` bytes."""
+    out = np.frombuffer(bits, np.uint8)
+    while len(out) > size:
+        out = out[: len(out) // 2] ^ out[len(out) // 2 :]
+    return out
 
 
 def describe_sets(rows: DataFrame, n: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -214,8 +229,10 @@ def _bounds(a: str, b: str, percent: int):
     s, t = F.col(f"{a}.size").cast("long"), F.col(f"{b}.size").cast("long")
     overlap = F.ceil((s + t) * percent / (100 + percent) - F.lit(1e-9))
     left = F.least(s - F.col(f"{a}.place"), t - F.col(f"{b}.place"))
-    some_heavy = (F.col(f"{a}.kind") == 0) | (F.col(f"{a}.kind") == 1) | (F.col(f"{b}.kind") == 1)
-    return (F.least(s, t) * 100 >= F.greatest(s, t) * percent) & (left >= overlap) & some_heavy
+    light = F.col(f"{a}.kind") == 0
+    some_heavy = light | (F.col(f"{a}.kind") == 1) | (F.col(f"{b}.kind") == 1)
+    misses = light | (F.col(f"{a}.alone") <= s - overlap) | (F.col(f"{b}.alone") <= t - overlap)
+    return (F.least(s, t) * 100 >= F.greatest(s, t) * percent) & (left >= overlap) & some_heavy & misses
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -226,8 +243,10 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s, t = batch.column("sa").to_numpy(), batch.column("sb").to_numpy()
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PARITY_BITS // 8) for c in ("ba", "bb"))
-            apart = np.bitwise_count(x ^ y).sum(axis=1)
+            apart = np.empty(len(s), np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("ba").to_pylist(), batch.column("bb").to_pylist(), strict=True)):
+                both = min(len(x), len(y))
+                apart[i] = np.bitwise_count(folded(x, both) ^ folded(y, both)).sum()
             common = -(-(s + t) * percent // (100 + percent))
             yield batch.select(["a", "b"]).filter(pa.array((apart <= s + t - 2 * common) & (common <= np.minimum(s, t))))
 
@@ -291,9 +310,15 @@ def _class_links(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> D
     # only loosens the position bound.
     members = F.xxhash64(F.transform(F.array_sort("own"), lambda e: F.struct(e["node"], e["kind"])))
     alike = held.select(members.alias("list"), F.explode("own").alias("e")).select("list", "e.*")
-    alike = alike.groupBy("list", "node", "kind").agg(F.first("size").alias("size"), F.min("place").alias("place"))
-    shared = materialize(alike, "shared-grams")
-    first = shared.groupBy("list").agg(F.min(F.struct("node", "size", "place", "kind")).alias("m")).select("list", "m.*")
+    entries_of = alike.groupBy("list", "node", "kind").agg(F.first("size").alias("size"), F.min("place").alias("place"), F.count(F.lit(1)).alias("met"))
+    entries_of = materialize(entries_of, "met-grams")
+    met = entries_of.where("kind > 0").groupBy(F.col("node").alias("of")).agg(F.sum("met").alias("all"))
+    size = F.col("size").cast("long")
+    prefix = size - F.ceil(size * percent / 100 - F.lit(1e-9)) + 1
+    shared = entries_of.join(met, F.col("node") == F.col("of"), "left").select("list", "node", "kind", "size", "place", (prefix - F.coalesce("all", F.lit(0))).alias("alone"))
+    shared = materialize(shared, "shared-grams")
+    discard(entries_of)
+    first = shared.groupBy("list").agg(F.min(F.struct("node", "size", "place", "kind", "alone")).alias("m")).select("list", "m.*")
     star = shared.alias("x").join(first.alias("y"), F.col("x.list") == F.col("y.list"))
     star = star.where((F.col("x.node") > F.col("y.node")) & _bounds("x", "y", percent))
     stars = materialize(star.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct(), "star-pairs")
@@ -304,9 +329,19 @@ def _class_links(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> D
     parts = grouped.groupBy("list", "component").agg(F.count(F.lit(1)).alias("n"))
     most = parts.groupBy("list").agg(F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     open_ = materialize(grouped.join(most.select("list", F.col("most.component").alias("main")), "list"), "open-lists")
-    few = open_.where("component <> main").alias("x")
-    pair = _bounds("x", "y", percent) & (F.col("x.component") != F.col("y.component"))
-    met = few.join(open_.alias("y"), F.col("x.list") == F.col("y.list")).where(pair)
+    # Two sets meet in every list they share. Each knows the first open lists of its prefix: where
+    # both have one of these before the list at hand, they meet there, under looser bounds.
+    firsts = F.slice(F.sort_array(F.collect_list(F.struct("place", "list"))), 1, FIRST_LISTS)
+    firsts = open_.where("kind > 0").groupBy(F.col("node").alias("of")).agg(firsts.alias("firsts"))
+    before = F.transform(F.filter("firsts", lambda f: f["place"] < F.col("place")), lambda f: f["list"])
+    before = F.when(F.col("kind") > 0, F.coalesce(before, F.array().cast("array<long>"))).otherwise(F.array().cast("array<long>"))
+    told = open_.join(firsts, F.col("node") == F.col("of"), "left").select("list", "node", "kind", "size", "place", "alone", "component", "main", before.alias("before"))
+    told = materialize(told, "open-lists")
+    few = told.where("component <> main").alias("x")
+    pair = _bounds("x", "y", percent) & (F.col("x.component") != F.col("y.component")) & ~F.arrays_overlap("x.before", "y.before")
+    met = few.join(told.alias("y"), F.col("x.list") == F.col("y.list")).where(pair)
     rest = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     rest = materialize(rest.join(stars, ["a", "b"], "left_anti"), "rest-pairs")
+    for table in (shared, open_, told):
+        discard(table)
     return found.union(verify(rest, rows, classes, n, percent))
