@@ -13,8 +13,14 @@ byte a level: the right border of an interval first met at a level is a border b
 whose common prefix has that length. So common prefixes come out by increasing value, and the
 expansion stops at `length`: suffixes whose border was not met share `length` bytes or more.
 
-*Hot keys.* A key whose different pieces hold more than `HOT_BYTES` is not put into one bucket:
-its windows are compared by a 128-bit hash, counted before they are shuffled.
+*Hot keys.* A key whose different pieces hold more than `HOT_BYTES`, as those of a large group of
+near copies do, is split: its pieces are cut again by the smallest hash of longer strings (`LONGER`),
+below the first key. Equal windows still have equal keys, what near copies share becomes equal
+pieces, of which one goes on, and windows beside a difference get keys of their own. Only a key
+that is still as large under the longest of these strings has its windows compared by a 128-bit
+hash, counted before they are shuffled.
+
+Tables between the steps are removed as soon as what reads them is stored.
 
 Defined cases: a null text is empty; texts shorter than `length` keep all; repeated rows remove
 each other like any copies; an empty table gives no rows.
@@ -31,13 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.functions.prefix import prefix_sums
 from millrace.llm.words import mixed
-from millrace.session import materialize
+from millrace.session import discard, materialize
 
 GRAM = 32
+LONGER = {32: 128, 128: 256}
 MOST_WINDOWS = 4_096
-BUCKET_BYTES = 2 << 20
-HOT_BYTES = 4 << 20
+BUCKET_BYTES = 1 << 20
+HOT_BYTES = 2 << 20
+SALTS = 16
 CHUNK = 1 << 20
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
@@ -65,12 +74,12 @@ def sliding_minimum(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - rest], h[rest:]) if rest else h
 
 
-def find_pieces(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def find_pieces(data: np.ndarray, ends: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """First bytes, windows and keys of the pieces of texts laid end to end (`ends` are theirs),
     and whether the key's hash may be in several places of the piece."""
     if len(data) < length:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool)
-    hashes, width = gram_hashes(data), length - GRAM + 1
+    hashes, width = gram_hashes(data, gram), length - gram + 1
     keys = sliding_minimum(hashes, width)
     n = len(keys)
     valid = np.ones(n + 1, bool)
@@ -125,7 +134,7 @@ def _groups(texts: list[bytes]) -> Iterator[tuple[int, int, int, int]]:
         yield at, len(texts), 0, 0
 
 
-def cut_texts(texts: list[bytes], length: int) -> Iterator[tuple[int, int, int, int, bool, int]]:
+def cut_texts(texts: list[bytes], length: int, gram: int = GRAM) -> Iterator[tuple[int, int, int, int, bool, int]]:
     """(text, first byte, windows, key, key in several places, hash of the piece) of all pieces."""
     for first, last, begin, to in _groups(texts):
         if to:
@@ -134,7 +143,7 @@ def cut_texts(texts: list[bytes], length: int) -> Iterator[tuple[int, int, int,
         else:
             raw = b"".join(texts[first:last])
             ends = np.cumsum([len(t) for t in texts[first:last]])
-        starts, sizes, keys, several = find_pieces(np.frombuffer(raw, np.uint8), ends, length)
+        starts, sizes, keys, several = find_pieces(np.frombuffer(raw, np.uint8), ends, length, gram)
         own = np.searchsorted(ends, starts, "right")
         shift = begin - (ends[own] - np.diff(ends, prepend=0)[own])
         for i, s, n, k, m, d in zip((own + first).tolist(), starts.tolist(), sizes.tolist(), keys.view(np.int64).tolist(), several.tolist(), shift.tolist(), strict=True):
@@ -148,37 +157,40 @@ def suffix_array(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
     """Symbols (byte + 1, 0 behind each piece), suffix array, its inverse, the suffixes' first
     7 symbols, and the bytes before the end of the piece. The end of a piece is smaller than any byte and than that of a later one."""
     lengths = np.array([len(p) + 1 for p in pieces])
-    text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8).astype(np.int64) + 1
+    text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8).astype(np.int16) + np.int16(1)
     ends = np.cumsum(lengths) - 1
     text[ends] = 0
     n = len(text)
-    number = np.repeat(np.arange(len(pieces)), lengths)
-    left = np.repeat(ends, lengths) - np.arange(n)  # bytes before the piece's end
+    left = np.repeat(ends, lengths).astype(np.int32) - np.arange(n, dtype=np.int32)  # bytes before the piece's end
     head = np.zeros(n, np.int64)
     for j in range(7):
-        symbol = np.zeros(n, np.int64)
+        symbol = np.zeros(n, np.int16)
         symbol[: max(0, n - j)] = text[j:]
-        head |= np.where(left > j, symbol, 0) << (9 * (6 - j))
-    order = np.lexsort((np.where(left < 7, number + 1, 0), head))
+        symbol[left <= j] = 0
+        head |= symbol.astype(np.int64) << (9 * (6 - j))
+    number = np.where(left < 7, np.repeat(np.arange(1, len(pieces) + 1, dtype=np.int32), lengths), np.int32(0))
+    order = np.lexsort((number, head)).astype(np.int32)
+    del number, symbol
     new = np.ones(n, bool)
-    same = (head[order][1:] == head[order][:-1]) & (left[order][1:] >= 7)
-    new[1:] = ~same
-    rank = np.empty(n, np.int64)
-    rank[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
+    sorted_head = head[order]
+    new[1:] = (sorted_head[1:] != sorted_head[:-1]) | (left[order][1:] < 7)
+    del sorted_head
+    rank = np.empty(n, np.int32)
+    rank[order] = np.flatnonzero(new).astype(np.int32)[np.cumsum(new, dtype=np.int32) - 1]
     step = 7
     while True:
         single = new & np.append(new[1:], True)
-        open_ = np.flatnonzero(~single)  # places in groups of several suffixes
+        open_ = np.flatnonzero(~single).astype(np.int32)  # places in groups of several suffixes
         if not len(open_):
             break
         own = order[open_]
         group, behind = rank[own], rank[own + step]
-        inner = np.argsort(group * n + behind, kind="stable")
+        inner = np.argsort(group.astype(np.int64) * n + behind, kind="stable")
         own, group, behind = own[inner], group[inner], behind[inner]
         order[open_] = own
         new[open_[1:]] = (group[1:] != group[:-1]) | (behind[1:] != behind[:-1])
         new[open_[0]] = True
-        starts = np.flatnonzero(new)
+        starts = np.flatnonzero(new).astype(np.int32)
         rank[own] = starts[np.searchsorted(starts, open_, "right") - 1]
         step *= 2
     return text, order, rank, head, left
@@ -193,6 +205,7 @@ def shared_suffixes(pieces: list[bytes], length: int) -> np.ndarray:
     back = rank[order - 1]  # the suffix one symbol longer, for each
     # Borders between suffixes that differ in the first 7 symbols.
     first = head[order]
+    del head, rank
     apart = np.ones(n + 1, bool)
     apart[1:n] = (first[1:] != first[:-1]) | ((first[1:] & 511) == 0)  # also: both end there
     common = np.full(n + 1, -1, np.int16)
@@ -202,6 +215,7 @@ def shared_suffixes(pieces: list[bytes], length: int) -> np.ndarray:
     inner = np.minimum(6 - (bits - 1) // 9, 6)
     common[1:n][apart[1:n]] = np.where(x == 0, np.minimum(left[order][1:], 6), inner)[apart[1:n]]
     common[[0, n]] = 0
+    del first, x, bits, inner, apart, left
     known = common >= 0
     # Intervals of 7 symbols whose right border separates at the 7th.
     borders = np.flatnonzero(known)
@@ -225,7 +239,7 @@ def shared_suffixes(pieces: list[bytes], length: int) -> np.ndarray:
             at, kind = at[some], kind[some]
             sort = np.argsort(kind, kind="stable")
             at, kind = at[sort], kind[sort]
-            begin = np.flatnonzero(np.append(True, kind[1:] != kind[:-1])) if len(kind) else np.empty(0, np.int64)
+            begin = np.flatnonzero(np.append(True, kind[1:] != kind[:-1])) if len(kind) else np.empty(0, np.int32)
             lows.append(back[at[begin]])
             highs.append(back[at[np.append(begin[1:], len(kind)) - 1]] if len(kind) else begin)
         low, high = np.concatenate(lows), np.concatenate(highs)
@@ -242,26 +256,26 @@ def shared_suffixes(pieces: list[bytes], length: int) -> np.ndarray:
 # ---------------------------------------------------------------- the job
 
 
-def _pieces(rows: DataFrame, length: int) -> DataFrame:
+def _pieces(rows: DataFrame, length: int, gram: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.encode() if t else b"" for t in batch.column("text").to_pylist()]
-            found = np.array(list(cut_texts(texts, length)), np.int64).reshape(-1, 6).T
-            yield pa.RecordBatch.from_pydict({"row": batch.column("row").take(pa.array(found[0])), "start": found[1], "windows": found[2].astype(np.int32), "key": found[3], "several": found[4].astype(bool), "hash": found[5]})
+            found = np.array(list(cut_texts([t or b"" for t in batch.column("data").to_pylist()], length, gram)), np.int64).reshape(-1, 6).T
+            at = pa.array(found[0])
+            key = mixed(found[3].view(np.uint64) ^ batch.column("under").take(at).to_numpy().view(np.uint64)).view(np.int64) if gram > GRAM else found[3]
+            yield pa.RecordBatch.from_pydict({"row": batch.column("row").take(at), "start": found[1], "windows": found[2].astype(np.int32), "key": key, "several": found[4].astype(bool), "hash": found[5]})
 
-    return rows.select("row", "text").mapInArrow(cut, "row long, start long, windows int, key long, several boolean, hash long")
+    return rows.select("row", "under", "data").mapInArrow(cut, "row long, start long, windows int, key long, several boolean, hash long")
 
 
 def _texts_of(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """Texts of the wanted pieces (row, start, windows, key, hash, copies)."""
     held = wanted.groupBy(F.col("row").alias("own")).agg(F.collect_list(F.struct("start", "windows", "key", "hash", "copies")).alias("own_pieces"))
-    met = rows.join(held, F.col("row") == F.col("own")).select("text", "own_pieces")
+    met = rows.join(held, F.col("row") == F.col("own")).select("data", "own_pieces")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for text, pieces in zip(batch.column("text").to_pylist(), batch.column("own_pieces").to_pylist(), strict=True):
-                raw = text.encode()
+            for raw, pieces in zip(batch.column("data").to_pylist(), batch.column("own_pieces").to_pylist(), strict=True):
                 for p in pieces:
                     piece = raw[p["start"] : p["start"] + p["windows"] + length - 1]
                     if piece_hash(piece) == p["hash"]:  # else another row of the same hash
@@ -272,8 +286,8 @@ def _texts_of(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return met.mapInArrow(take, "key long, hash long, copies long, piece binary").dropDuplicates(["key", "hash"])
 
 
-def _expanded(pieces: DataFrame, buckets: int, length: int) -> DataFrame:
-    """Marks of the repeated windows of each piece without copies, by bucket of keys."""
+def _expanded(pieces: DataFrame, length: int) -> DataFrame:
+    """Marks of the repeated windows of each piece, by bucket of keys."""
 
     def expand(group: pa.Table) -> pa.Table:
         raws = group.column("piece").to_pylist()
@@ -281,11 +295,10 @@ def _expanded(pieces: DataFrame, buckets: int, length: int) -> DataFrame:
         for raw in raws:
             marks.append(np.packbits(found[at : at + len(raw) - length + 1]).tobytes())
             at += len(raw) + 1
-        out = group.select(["key", "hash", "copies"]).append_column("marks", pa.array(marks, pa.binary()))
+        out = group.select(["key", "hash"]).append_column("marks", pa.array(marks, pa.binary()))
         return out.filter(pa.array([any(m) for m in marks])).select(["key", "hash", "marks"])
 
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
-    return dealt.groupBy("bucket").applyInArrow(expand, "key long, hash long, marks binary")
+    return pieces.groupBy("bucket").applyInArrow(expand, "key long, hash long, marks binary")
 
 
 def _counted(pieces: DataFrame, length: int) -> DataFrame:
@@ -301,20 +314,39 @@ def _counted(pieces: DataFrame, length: int) -> DataFrame:
     single = pieces.mapInArrow(windows, "key long, hash long, place long, w1 long, w2 long")
     several = single.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("w1").alias("v1"), F.col("w2").alias("v2"))
     met = single.join(several, (F.col("w1") == F.col("v1")) & (F.col("w2") == F.col("v2")))
-    held = met.groupBy("key", "hash").agg(F.collect_list("place").alias("places"))
+    return _joined(met.select("key", "hash", F.col("place").alias("start"), F.lit(1).alias("windows"), F.lit(None).cast("binary").alias("marks")))
+
+
+def _joined(parts: DataFrame) -> DataFrame:
+    """Marks of pieces from those of their parts (key, hash, start, windows, marks)."""
+    held = parts.groupBy("key", "hash").agg(F.collect_list(F.struct("start", "windows", "marks")).alias("parts"))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = []
-            for places in batch.column("places").to_pylist():
+            for own in batch.column("parts").to_pylist():
                 bits = np.zeros(MOST_WINDOWS, bool)
-                bits[places] = True
+                for p in own:
+                    bits[p["start"] : p["start"] + p["windows"]] |= True if p["marks"] is None else np.unpackbits(np.frombuffer(p["marks"], np.uint8), count=p["windows"]).astype(bool)
                 marks.append(np.packbits(bits).tobytes())
             yield batch.select(["key", "hash"]).append_column("marks", pa.array(marks, pa.binary()))
 
     return held.mapInArrow(mark, "key long, hash long, marks binary")
 
 
+def _split(hot: DataFrame, length: int, gram: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Marks of the pieces of hot keys, from pieces cut by longer strings below the same key, and
+    the stored tables they are read from."""
+    longer = LONGER.get(gram, length)
+    if longer > 3 * length // 4:
+        return _counted(hot, length), []
+    named = hot.select("key", "hash", "piece").withColumn("row", F.xxhash64("key", "hash"))
+    below = named.select("row", F.col("key").alias("under"), F.col("piece").alias("data"))
+    parts = repeated_pieces(below, length, longer)
+    back = named.select("key", "hash", F.col("row").alias("own"))
+    return _joined(parts.join(back, F.col("row") == F.col("own")).select("key", "hash", "start", "windows", "marks")), [parts]
+
+
 def covered(size: int, starts: list[int], windows: list[int], marks: list[bytes | None], length: int) -> np.ndarray:
     """Which bytes the repeated windows cover; without marks all windows of a piece repeat."""
     turn = np.zeros(size + 1, np.int64)
@@ -329,24 +361,39 @@ def covered(size: int, starts: list[int], windows: list[int], marks: list[bytes
     return np.cumsum(turn[:size]) > 0
 
 
-def repeated_pieces(rows: DataFrame, length: int) -> DataFrame:
-    """Stored pieces with repeated windows: row, start, windows, marks (null: all windows)."""
-    pieces = materialize(_pieces(rows, length), "text-pieces")
+def repeated_pieces(rows: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
+    """Stored pieces with repeated windows: row, start, windows, marks (null: all windows). Rows
+    hold row, data and under: windows are compared below one value of that."""
+    pieces = materialize(_pieces(rows, length, gram), "text-pieces")
     keys = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("least"), F.max("hash").alias("most"), F.max("several").alias("several")).where("n > 1 or several")
     differ = (F.col("least") != F.col("most")) | (F.col("n") == 1)
     shared = materialize(pieces.join(keys.select("key", differ.alias("differ")), "key"), "shared-pieces")
+    discard(pieces)
     same = shared.where("not differ").select("row", "start", "windows", F.lit(None).cast("binary").alias("marks"))
     classes = shared.where("differ").groupBy("key", "hash").agg(F.count(F.lit(1)).alias("copies"), F.first("row").alias("row"), F.first("start").alias("start"), F.first("windows").alias("windows"))
     classes = materialize(classes, "piece-classes")
-    bytes_ = F.sum(F.col("windows") + length)
-    hot = materialize(classes.groupBy("key").agg(bytes_.alias("bytes")).where(F.col("bytes") > HOT_BYTES).select("key"), "hot-keys")
-    total = classes.agg(bytes_).first()[0] or 0
+
+    # Keys are dealt to buckets by their bytes, in the order of the keys.
+    sizes = classes.groupBy("key").agg(F.sum(F.col("windows") + length).alias("bytes"))
+    small = sizes.where(F.col("bytes") <= HOT_BYTES)
+    dealt = prefix_sums(small, [], [F.col("key")], F.shiftright("key", 48), {"bytes": F.col("bytes")})
+    dealt = materialize(dealt.select("key", F.floor(F.col("bytes_before") / BUCKET_BYTES).alias("bucket")), "key-buckets")
     texts = materialize(_texts_of(rows, classes, length), "piece-texts")
-    marks = _expanded(texts.join(hot, "key", "left_anti"), max(1, -(-total // BUCKET_BYTES)), length).union(_counted(texts.join(hot, "key", "left_semi"), length))
-    marked = classes.select("key", "hash", "copies").join(marks, ["key", "hash"], "left").where("copies > 1 or marks is not null")
-    marked = marked.select("key", "hash", F.when(F.col("copies") == 1, F.col("marks")).alias("marks"))
-    other = shared.where("differ").join(marked, ["key", "hash"]).select("row", "start", "windows", "marks")
-    return materialize(same.union(other), "repeated-pieces")
+    marks = _expanded(texts.join(dealt, "key"), length)
+    spent = [shared, classes, dealt, texts]
+    if not sizes.where(F.col("bytes") > HOT_BYTES).isEmpty():
+        more, stored = _split(texts.join(dealt, "key", "left_anti"), length, gram)
+        marks, spent = marks.union(more), spent + stored
+    # A piece with copies repeats whole; such classes are met under salts, as some have very many.
+    spread = F.pmod(F.xxhash64("row", "start"), F.lit(SALTS).cast("long"))
+    several = classes.where("copies > 1").select("key", "hash", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    open_ = shared.where("differ")
+    copied = open_.withColumn("salt", spread).join(several, ["key", "hash", "salt"]).select("row", "start", "windows", F.lit(None).cast("binary").alias("marks"))
+    marked = marks.join(classes.where("copies = 1").select("key", "hash", "row", "start", "windows"), ["key", "hash"]).select("row", "start", "windows", "marks")
+    found = materialize(same.union(copied).union(marked), "repeated-pieces")
+    for table in spent:
+        discard(table)
+    return found
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
@@ -355,7 +402,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, key: str = "doc_id", text
     columns as the struct `others`."""
     other = [F.struct(*(c for c in docs.columns if c != text)).alias("others")] if with_text else []
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), *other).withColumn("row", F.xxhash64("key", "text"))
-    found = repeated_pieces(rows, length)
+    found = repeated_pieces(rows.select("row", F.lit(0).cast("long").alias("under"), F.col("text").cast("binary").alias("data")), length)
     spans = found.groupBy(F.col("row").alias("own")).agg(F.collect_set(F.struct("start", "windows", "marks")).alias("spans"))
     met = rows.join(spans, F.col("row") == F.col("own"), "left").select("key", "text", "spans", *(["others"] if with_text else []))
 
