@@ -94,8 +94,13 @@ def weighted_average(
     else:
         means = F.array(*[mean(F.lit(c)) for c in range(classes)])
     out = out.withColumn("mean_probabilities", means)
-    near_top = F.transform("mean_probabilities", lambda p: p >= F.array_max("mean_probabilities") - tolerance)
-    out = out.withColumn("prediction", (F.array_position(near_top, True) - 1).cast("int"))
+    if classes is None:
+        near_top = F.transform("mean_probabilities", lambda p: p >= F.array_max("mean_probabilities") - tolerance)
+        best = (F.array_position(near_top, True) - 1).cast("int")
+    else:
+        top = F.greatest(*[F.get("mean_probabilities", F.lit(c)) for c in range(classes)], F.lit(float("-inf")))
+        best = F.coalesce(*[F.when(F.get("mean_probabilities", F.lit(c)) >= top - tolerance, c) for c in range(classes)])
+    out = out.withColumn("prediction", best)
     return out.withColumn("confidence", F.get("mean_probabilities", F.col("prediction"))).drop("__weights", "__total")
 
 
@@ -119,15 +124,16 @@ def max_confidence(df: DataFrame, votes: str = "votes", digits: int = 9) -> Data
     ).drop("__best")
 
 
-def combine(df: DataFrame, method: str, weights: Mapping[str, float] | None = None, votes: str = "votes") -> DataFrame:
+def combine(df: DataFrame, method: str, weights: Mapping[str, float] | None = None, votes: str = "votes", classes: int | None = None) -> DataFrame:
     """Dispatch by method name, with the aggregation record (method, models) attached. An
-    instance without any vote is an error."""
+    instance without any vote is an error. A number of classes that is known saves looking for
+    it in every row."""
     some = F.raise_error(F.lit("no predictions to combine")).cast("boolean")
     df = df.where(F.when(F.size(votes) > 0, F.lit(True)).otherwise(some))
     if method == "majority_vote":
         out = majority_vote(df, votes)
     elif method == "weighted_average":
-        out = weighted_average(df, weights or {"": 1.0}, votes=votes)
+        out = weighted_average(df, weights or {"": 1.0}, classes, votes)
     elif method == "max_confidence":
         out = max_confidence(df, votes)
     else:

@@ -354,6 +354,35 @@ def fingerprint_rows(spark, sf):
     return fingerprint_holds(quality.fingerprint_rows, feat(spark, sf))
 
 
+@query(
+    "columns_by_type",
+    """
+    SELECT 'number' AS kind, 'c_custkey' AS name, count(c_custkey) AS filled, min(CAST(c_custkey AS DOUBLE)) AS least FROM customer
+    UNION ALL SELECT 'number', 'c_nationkey', count(c_nationkey), min(CAST(c_nationkey AS DOUBLE)) FROM customer
+    UNION ALL SELECT 'number', 'c_acctbal', count(c_acctbal), min(CAST(c_acctbal AS DOUBLE)) FROM customer
+    UNION ALL SELECT 'text', 'c_mktsegment', count(c_mktsegment), NULL FROM customer
+    """,
+)
+def columns_by_type(spark, sf):
+    """Columns chosen by their type, one pass over the table."""
+    rows = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    chosen = [("number", c) for c in features.numeric_columns(rows)] + [("text", c) for c in features.text_columns(rows)]
+    least = lambda kind, c: F.min(F.col(c).cast("double")) if kind == "number" else F.lit(None).cast("double")
+    wide = rows.agg(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(c).alias("name"), F.count(c).alias("filled"), least(k, c).alias("least")) for k, c in chosen]).alias("cells"))
+    return wide.select(F.inline("cells"))
+
+
+@query(
+    "columns_by_pattern",
+    "SELECT id, round(coalesce(f1, avg(f1) OVER (PARTITION BY batch_id)), 6) AS f1_processed FROM feat",
+    views=("feat",),
+)
+def columns_by_pattern(spark, sf):
+    """Of processed rows, the columns whose name holds a pattern."""
+    rows = cleaning.process_batches(feat(spark, sf), "batch_id")
+    return rows.select("id", *[F.round(c, 6).alias(c) for c in features.feature_columns(rows)])
+
+
 @query("target_discovery", "SELECT 'target' AS name, target AS label, count(*) AS n FROM feat GROUP BY target", views=("feat",))
 def target_discovery(spark, sf):
     rows = feat(spark, sf)

@@ -11,7 +11,7 @@ CLASSES = [0, 1]
 
 
 def weighted_predictions(spark, sf):
-    combined = ensemble.combine(scores(spark, sf), "weighted_average", SCORER_WEIGHTS)
+    combined = ensemble.combine(scores(spark, sf), "weighted_average", SCORER_WEIGHTS, classes=len(CLASSES))
     return combined.select(
         "key", "y", F.col("prediction").alias("pred"), F.col("mean_probabilities")[1].alias("p1"), "confidence"
     )
@@ -90,6 +90,24 @@ def ensemble_max_conf(spark, sf):
     )
 
 
+@query(
+    "ensemble_dispatch",
+    """
+    , best AS (SELECT key, pred FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY conf DESC, ord) AS rn
+               FROM (SELECT *, round(greatest(p1, 1 - p1), 9) AS conf FROM scores)) WHERE rn = 1)
+    SELECT key, 'majority_vote' AS method, CAST(count(*) AS INTEGER) AS num_models, string_agg(model, ',' ORDER BY ord) AS models,
+           CAST(CASE WHEN sum(pred) * 2 > count(*) THEN 1 ELSE 0 END AS INTEGER) AS prediction FROM scores GROUP BY key
+    UNION ALL SELECT key, 'max_confidence', 3, 'a,b,c', pred FROM best
+    """,
+    views=("scores",),
+)
+def ensemble_dispatch(spark, sf):
+    """Two methods by name, each with its aggregation record."""
+    rows = scores(spark, sf)
+    parts = [ensemble.combine(rows, method).select("key", "method", "num_models", F.array_join("models", ",").alias("models"), "prediction") for method in ("majority_vote", "max_confidence")]
+    return parts[0].union(parts[1])
+
+
 @query(
     "ensemble_rows",
     """
@@ -124,7 +142,7 @@ def ensemble_rows(spark, sf):
     views=("weighted",),
 )
 def format_prediction(spark, sf):
-    combined = ensemble.combine(scores(spark, sf), "weighted_average", SCORER_WEIGHTS)
+    combined = ensemble.combine(scores(spark, sf), "weighted_average", SCORER_WEIGHTS, classes=len(CLASSES))
     notes = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("note")
     )
