@@ -23,11 +23,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from millrace.llm.words import chunks, word_hashes
+from millrace.session import materialize
 
 LOWER, UPPER, DIGIT, BLANK, BAR, STOP, CRY, SIGN, HIGH, OTHER = range(10)
 CLASSES = 10
@@ -171,8 +172,10 @@ def _stretches(texts: list[str | None], size: int = 4_000_000) -> Iterator[list[
         yield own
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = 3_000, sample_lines: int = 2_000) -> LineField:
-    """Fit on the labelled documents of `labels` (key, label), which should hold training rows only."""
+def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = 3_000, sample_lines: int = 2_000, most_lines: int = 200_000) -> LineField:
+    """Fit on the labelled documents of `labels` (key, label), which should hold training rows only:
+    in the order of a hash, up to `sample` documents of up to `sample_lines` lines each, as long as
+    they have `most_lines` together. That bounds what the driver holds, about 150 MB."""
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key).alias("own")).agg(F.max(label).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("own"), "own").limit(sample)  # the bound of the broadcast
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), F.col("key") == F.col("own"))
@@ -183,13 +186,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
             for k, y, t in zip(*(batch.column(c).to_pylist() for c in ("key", "label", "text")), strict=True):
                 base, _, per_text = line_features([t])
                 if per_text[0] <= sample_lines:
-                    found.append((y, base.astype("<f4").tobytes()))
+                    found.append((y, base.astype("<f4").tobytes(), int(per_text[0])))
                     keys.append(k)
-            yield pa.RecordBatch.from_pydict({"key": pa.array(keys, batch.schema.field("key").type), "label": pa.array([f[0] for f in found], pa.int32()), "base": pa.array([f[1] for f in found], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"key": pa.array(keys, batch.schema.field("key").type), "label": pa.array([f[0] for f in found], pa.int32()), "base": pa.array([f[1] for f in found], pa.binary()), "lines": pa.array([f[2] for f in found], pa.int64())})
 
     kind = rows.schema["key"].dataType.simpleString()
-    got = sorted(rows.mapInArrow(extract, f"key {kind}, label int, base binary").toLocalIterator(), key=lambda r: (r["key"], r["base"]))
-    got = got[: 2 * sample]  # a key may repeat
+    order = [F.xxhash64("key"), F.col("key"), F.xxhash64("base"), F.col("base")]
+    drawn = rows.mapInArrow(extract, f"key {kind}, label int, base binary, lines long").orderBy(*order).limit(sample)  # a key may repeat
+    so_far = F.sum("lines").over(Window.orderBy(*order))
+    got = materialize(drawn, "line-sample").withColumn("so_far", so_far).where(F.col("so_far") <= most_lines)
+    got = sorted(got.select("key", "label", "base").toLocalIterator(), key=lambda r: (r["key"], r["base"]))
     width = line_features([""])[0].shape[1]
     parts = [np.frombuffer(r["base"], "<f4").reshape(-1, width) for r in got]
     if not parts:
