@@ -98,7 +98,8 @@ def op9_warc_index(spark: SparkSession, folder: str) -> DataFrame:
 def op11_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     said = r"\### Assistant: </turn> ok"
-    given = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    speaker = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    given = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), speaker.alias("role"), F.lit(said).alias("text"))
     return conversation_digests(format_trees(conversation_trees(turns.union(given)))).withColumnRenamed("tree", "conv_id")
 
 
