@@ -12,8 +12,9 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from millrace.llm import byte_bpe, jaccard, packing, quality, sharding, suffixes, token_files
+from millrace.llm import byte_bpe, jaccard, packing, quality, sharding, suffixes, token_files, tokens
 from millrace.llm.tokens import PartEncoder
+from millrace.llm.words import chunks as words_chunks
 from millrace.llm.words import word_hashes
 from tests.llm.cases import SCHEMA, documents, frame, sentence
 
@@ -101,12 +102,15 @@ def test_packing(docs, empty, tokenizer):
     want = expected_ids(tokenizer)
     assert sum(r.length for r in got) == sum(len(i) for _, i in want)
     for k, ids in want:
-        pieces = {(r.start, r.length): r for r in by_doc[(str(k), len(ids))]}
-        at = 0
-        while at < len(ids):
-            n = min(1024, len(ids) - at)
-            assert (at, n) in pieces
-            at += n
+        lengths = collections.defaultdict(list)
+        for r in by_doc[(str(k), len(ids))]:
+            assert np.frombuffer(r.ids, "<u4").tolist() in [i[r.start : r.start + r.length] for j, i in want if str(j) == str(k)]
+            lengths[r.start].append(r.length)
+        at, end = 0, {0}
+        while end - {len(ids)}:  # the pieces of a document cover it, cut anywhere
+            at = min(end)
+            assert at in lengths
+            end = (end - {at}) | {at + n for n in lengths[at]}
     sequences = collections.defaultdict(list)
     for r in got:
         sequences[r.sequence_id].append((r.offset, r.length))
@@ -127,9 +131,9 @@ def test_packing_plan_uses_every_piece(seed):
     counts[0] = 0
     if seed == 4:
         counts[:40] = 0
-    used = np.zeros(65, np.int64)
-    for combo, repeats in packing.plan_packing(counts):
-        assert sum(combo) <= 64 and repeats > 0
+    plan, used = packing.plan_packing(counts)
+    for combo, repeats in plan:
+        assert 63 <= sum(combo) <= 64 and repeats > 0
         np.add.at(used, list(combo), repeats)
     assert (used == counts).all()
 
@@ -137,8 +141,53 @@ def test_packing_plan_uses_every_piece(seed):
 def test_packing_fills_complementary_lengths():
     counts = np.zeros(257, np.int64)
     counts[[40, 216, 100, 78, 78]] = [500, 500, 300, 600, 600]
-    plan = packing.plan_packing(counts)
-    assert sum(r for _, r in plan) == 500 + 300
+    plan, stream = packing.plan_packing(counts)
+    assert sum(r for _, r in plan) == 500 + 300 and not stream.any()
+
+
+def test_least_squares_against_another_solver():
+    """Projected gradient steps, many of them, reach no smaller residual; both are non-negative."""
+    rng = np.random.default_rng(6)
+    for trial in range(12):
+        a = rng.integers(0, 3, (rng.integers(2, 9), rng.integers(2, 20))).astype(float)
+        b = rng.integers(0, 60, len(a)).astype(float)
+        x = packing.nonnegative_least_squares(a, b, 200)
+        y, step = np.zeros(a.shape[1]), 1 / max(1e-9, np.linalg.norm(a, 2) ** 2)
+        for _ in range(60_000):
+            y = np.maximum(0, y - step * (a.T @ (a @ y - b)))
+        assert (x >= 0).all() and np.linalg.norm(a @ x - b) <= np.linalg.norm(a @ y - b) + 1e-4 * (1 + np.linalg.norm(b)), trial
+
+
+@pytest.mark.parametrize("words", [[598], [3], [698, 398], [340, 341, 342], [1500, 200]])
+def test_lengths_that_nothing_complements_fill_their_sequences(spark, words):
+    """Texts of some lengths only: sequences are at least 95 % full, and the ids are exact."""
+    rng = random.Random(len(words))
+    rows = [(i, " ".join(rng.choice(["a", "b", "the"]) for _ in range(words[i % len(words)]))) for i in range(900)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), BPE, with_ids=True).collect()
+    tokenizer = Tokenizer.from_file(BPE)
+    ids = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in rows}
+    parts, sequences = collections.defaultdict(list), collections.defaultdict(list)
+    for r in got:
+        assert crc(np.frombuffer(r.ids, "<u4")) == r.ids_crc32
+        parts[r.key].append((r.start, np.frombuffer(r.ids, "<u4").tolist()))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert {k: [x for _, own in sorted(p) for x in own] for k, p in parts.items()} == ids
+    assert sorted(sequences) == list(range(len(sequences)))
+    for own in sequences.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    assert sum(map(len, ids.values())) >= 0.95 * 1024 * (len(sequences) - 1)
+
+
+def test_pieces_of_awkward_texts_are_cut_too(docs, monkeypatch, tokenizer):
+    """Everything goes through the stream: ids stay exact."""
+    monkeypatch.setattr(packing, "SLACK", 1 << 20)
+    got = packing.pack(docs, BPE, with_ids=True).collect()
+    assert sum(r.length for r in got) == sum(len(i) for _, i in expected_ids(tokenizer))
+    assert all(crc(np.frombuffer(r.ids, "<u4")) == r.ids_crc32 for r in got)
 
 
 def test_byte_bpe(docs, empty):
@@ -161,6 +210,39 @@ def test_byte_bpe_long_words():
         assert list(map(int, ids.split(b","))) == enc.encode_ordinary(word) and n == len(enc.encode_ordinary(word)) and decoded == word.encode()
 
 
+def test_seams_of_stretches(spark, docs, monkeypatch, tokenizer):
+    """What is taken at once is shrunk, so that texts cross every seam."""
+    monkeypatch.setattr(tokens, "STRETCH", 100)
+    rows = [t for _, t in texts()]
+    for special in (False, True):
+        tokenizer_ = Tokenizer.from_file(BPE)
+        tokenizer_.encode_special_tokens = not special
+        got = PartEncoder(BPE, keep=7, special=special).encode(rows)
+        assert [np.frombuffer(x, "<u2").tolist() for x in got] == [tokenizer_.encode(t, add_special_tokens=False).ids for t in rows]
+    duck = byte_bpe.DuckCoder(RANKS, public_tokenizers.PATTERN, keep=5)
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})
+    for at in range(0, len(rows), 2):
+        for t, (ids, n, decoded) in zip(rows[at : at + 2], duck.encode(rows[at : at + 2]), strict=True):
+            want = enc.encode_ordinary(t)
+            assert (ids, n, decoded) == (",".join(map(str, want)).encode(), len(want), t.encode())
+    monkeypatch.setattr(byte_bpe, "BATCH_CHARS", 50)
+    assert byte_bpe.encode_decode(docs, RANKS, public_tokenizers.PATTERN).agg({"n_tokens": "sum"}).first()[0] == sum(len(enc.encode_ordinary(t)) for t in rows)
+    whole, counts = jaccard.gram_hashes(rows, 5)
+    monkeypatch.setattr(jaccard, "chunks", lambda data: words_chunks(data, 40))
+    again, same = jaccard.gram_hashes(rows, 5)
+    assert (whole == again).all() and (counts == same).all()
+
+
+def test_parts_of_texts():
+    """Words and the signs behind them; other parts stay whole; places follow the texts."""
+    split = tokens.split_parts(["a b, b, a", "b", "x  y"[:1], "été! 日本, 1, ... c"])
+    words, signs = tokens.split_signs(split.parts)
+    pairs = dict(zip(split.parts.to_pylist(), zip(words.to_pylist(), signs.to_pylist(), strict=True), strict=True))
+    assert pairs == {"b,": ("b", ","), "a": ("a", ""), "日本,": ("日本,", ""), "1,": ("1,", ""), "...": ("...", ""), "c": ("c", "")}
+    every = [*split.parts.to_pylist(), *split.heads]
+    assert [every[i] for i in split.own] == ["a", "b,", "b,", "a", "b", "x", "été!", "日本,", "1,", "...", "c"] and split.first.tolist() == [0, 4, 5, 6]
+
+
 def test_external_shuffle(spark, docs, empty, tmp_path):
     shuffled = sharding.external_shuffle(docs, shards=4, bucket_bytes=20_000)
     got = shuffled.collect()
@@ -205,6 +287,48 @@ def test_repeats(spark, docs, empty, monkeypatch, hot):
     assert suffixes.remove_repeats(empty).count() == 0
 
 
+def test_a_hot_key_at_its_real_size(spark, monkeypatch):
+    """A large group of near copies: its keys exceed a bucket and are split by longer strings;
+    no window is left to the count of hashes."""
+
+    def never(*_):
+        raise AssertionError("windows counted by hash")
+
+    monkeypatch.setattr(suffixes, "_counted", never)
+    rng, base = random.Random(8), sentence(900, 330)[:2000]
+    rows = []
+    for i in range(5000):
+        text = list(base)
+        for _ in range(rng.choice([0, 1, 3, 6])):
+            text[rng.randrange(len(text))] = rng.choice("abcdefgh")
+        rows.append((i, "".join(text)))
+    keys = collections.Counter()
+    for i, start, windows, key, _, digest in suffixes.cut_texts([t.encode() for _, t in rows], 400):
+        keys[key] += windows + 400
+    assert max(keys.values()) > suffixes.HOT_BYTES
+    raws = [t.encode() for _, t in rows]
+    seen = collections.Counter(hash(r[a : a + 400]) for r in raws for a in range(len(r) - 399))
+    want = []
+    for i, r in enumerate(raws):
+        gone = np.zeros(len(r) + 1, np.int64)
+        for a in range(len(r) - 399):
+            if seen[hash(r[a : a + 400])] > 1:
+                gone[a] += 1
+                gone[a + 400] -= 1
+        gone = np.cumsum(gone[:-1]) > 0
+        want.append((str(i), int(gone.sum()), hashlib.sha256(np.frombuffer(r, np.uint8)[~gone].tobytes()).hexdigest()))
+    got = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted((str(r.key), r.n_removed, r.kept_sha256) for r in got) == sorted(want)
+
+
+def test_seams_of_long_texts(spark, docs, monkeypatch):
+    """Texts longer than what is taken at once: stretches, cut runs of windows, small buckets."""
+    for name, value in (("CHUNK", 700), ("MOST_WINDOWS", 64), ("BUCKET_BYTES", 3000)):
+        monkeypatch.setattr(suffixes, name, value)
+    got = suffixes.remove_repeats(docs).collect()
+    assert sorted((str(r.key), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_repeats([(r[0], r[1]) for r in documents()], 400)
+
+
 def test_repeats_of_planted_passages(spark):
     shared = sentence(77, 120)
     rows = [(i, sentence(100 + i, 60) + " " + (shared if i % 3 == 0 else sentence(500 + i, 90)) + sentence(300 + i, 40)) for i in range(30)]

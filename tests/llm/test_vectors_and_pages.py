@@ -216,3 +216,15 @@ def test_pipeline(spark, sf):
     packed = last(spark, cleaned, sf)
     assert {r.doc_id for r in packed.collect()} == set(after)
     assert sorted(map(tuple, entry.queries()["pipeline"](spark, sf).select("doc_id", "start", "length", "ids_crc32").collect())) == sorted(map(tuple, packed.select("doc_id", "start", "length", "ids_crc32").collect()))
+
+
+def test_number_of_cells_follows_the_cost():
+    """Vectors in groups get many cells, the given kind some, and no choice moves too many rows."""
+    rng = np.random.default_rng(4)
+    grouped = np.repeat(rng.normal(size=(64, 64)), 60, axis=0) + 0.05 * rng.normal(size=(3840, 64))
+    loose = rng.normal(size=(3000, 64))
+    for x, least in ((grouped, 16), (loose, 2)):
+        centres = near_vectors.choose_centres(x, 200_000, 0.95)
+        rows, _, _ = near_vectors.visited_cells(near_vectors._unit(x), centres, 0.95)
+        assert len(centres) >= least and len(rows) <= 1.05 * near_vectors.MOST_COPIES * len(x)
+    assert len(near_vectors.choose_centres(loose[:3], 3, 0.95)) == 1
