@@ -16,8 +16,9 @@ parity bits, which refuse no similar pair, and then on the whole sets. *Misses*:
 prefixes one ends first, and its grams that are in no list with another set are not in the other
 set. So one of the two sets must be able to miss all such grams of its prefix. That keeps apart
 long texts that only have a passage in common. Lists are first checked as stars
-around their smallest member, and the links found give groups; then all members of a list that
-are still in different groups and pass the size and position bounds are checked as pairs. So a
+around their smallest member, then pairs of lists that follow each other in several sets, and the
+links found give groups; then all members of a list that are still in different groups and pass
+the bounds are checked as pairs. So a
 list of n near copies costs n checks and not n * n, and no link between groups is missed.
 
 Defined cases: null, empty and white texts have an empty set, link with nothing, and are their
@@ -45,6 +46,7 @@ STRETCH_SETS = 8_192
 FREQUENT = 4
 PARITY_BITS = 2_048
 FIRST_LISTS = 12
+STAR_CENTRES = 6
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -302,6 +304,16 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     return out.select(F.col("key").alias(key), F.col("size").alias("n_shingles"), "component_id").union(rest.select("key", "size", "key"))
 
 
+def _open_lists(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Stored: the entries of lists whose members are in several groups, with the member's group
+    (component) and the list's largest one (main). Members of a list that are not in its largest
+    group meet all members of other groups."""
+    grouped = shared.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parts = grouped.groupBy("list", "component").agg(F.count(F.lit(1)).alias("n"))
+    most = parts.groupBy("list").agg(F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return materialize(grouped.join(most.select("list", F.col("most.component").alias("main")), "list"), "open-lists")
+
+
 def _class_links(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """Links a, b between classes that connect every group of similar ones."""
     entries = postings(classes, percent, choose_boundary(classes, percent))
@@ -321,14 +333,34 @@ def _class_links(rows: DataFrame, classes: DataFrame, n: int, percent: int) -> D
     first = shared.groupBy("list").agg(F.min(F.struct("node", "size", "place", "kind", "alone")).alias("m")).select("list", "m.*")
     star = shared.alias("x").join(first.alias("y"), F.col("x.list") == F.col("y.list"))
     star = star.where((F.col("x.node") > F.col("y.node")) & _bounds("x", "y", percent))
-    stars = materialize(star.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct(), "star-pairs")
+    star = star.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct()
+    # The smallest centres of a set are enough to find its group; the rest comes with the open lists.
+    star = star.groupBy("b").agg(F.slice(F.sort_array(F.collect_list("a")), 1, STAR_CENTRES).alias("own"))
+    stars = materialize(star.select(F.explode("own").alias("a"), "b"), "star-pairs")
     found = verify(stars, rows, classes, n, percent)
 
-    # Members of a list that are not in its largest group meet all members of other groups.
-    grouped = shared.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    parts = grouped.groupBy("list", "component").agg(F.count(F.lit(1)).alias("n"))
-    most = parts.groupBy("list").agg(F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    open_ = materialize(grouped.join(most.select("list", F.col("most.component").alias("main")), "list"), "open-lists")
+    # A list's smallest member may be similar to none of a group of near copies in it. These also
+    # have most of their lists in common, one behind the other: second stars, around the smallest
+    # member of two such lists, link them.
+    open_ = _open_lists(shared, found)
+    if not open_.isEmpty():
+        line = F.sort_array(F.collect_list(F.struct("place", "list")))
+        lines = open_.where("kind > 0").groupBy("node").agg(line.alias("line"), F.first("size").alias("size"), F.first("component").alias("component"))
+        steps = F.transform(F.slice("line", 1, F.size("line") - 1), lambda e, i: F.xxhash64(e["list"], F.get("line", i + 1)["list"]))
+        steps = lines.where(F.size("line") > 1).select("node", "size", "component", F.explode(steps).alias("step"))
+        centre = steps.groupBy("step").agg(F.min(F.struct("node", "size", "component")).alias("m")).select("step", "m.*")
+        met = steps.alias("x").join(centre.alias("y"), F.col("x.step") == F.col("y.step"))
+        fits = F.least("x.size", "y.size").cast("long") * 100 >= F.greatest("x.size", "y.size").cast("long") * percent
+        met = met.where(fits & (F.col("x.component") != F.col("y.component"))).select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct()
+        met = met.groupBy("b").agg(F.slice(F.sort_array(F.collect_list("a")), 1, STAR_CENTRES).alias("own")).select(F.explode("own").alias("a"), "b")
+        second = materialize(met.join(stars, ["a", "b"], "left_anti"), "star-pairs")
+        more = verify(second, rows, classes, n, percent)
+        stars = stars.union(second)
+        if not more.isEmpty():
+            found = found.union(more)
+            discard(open_)
+            open_ = _open_lists(shared, found)
+
     # Two sets meet in every list they share. Each knows the first open lists of its prefix: where
     # both have one of these before the list at hand, they meet there, under looser bounds.
     firsts = F.slice(F.sort_array(F.collect_list(F.struct("place", "list"))), 1, FIRST_LISTS)
