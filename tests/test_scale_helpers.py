@@ -11,6 +11,7 @@ from millrace.functions.prefix import id_order_bucket, prefix_sums, rank_in_grou
 from millrace.functions.quantiles import exact_quantiles
 from millrace.functions.selection import edge_rows, top_share
 from millrace.operators import evaluation, splits
+from millrace.sources.published import positioned
 
 
 @pytest.fixture(scope="module")
@@ -144,3 +145,17 @@ def test_one_third_hot_key_is_not_one_task(spark):
     assert ranked.agg(F.countDistinct("rank"), F.min("rank"), F.max("rank")).first() == (40000, 0, 39999)
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "__bucket" in plan
+
+
+def test_positions_need_no_shuffle_of_rows(spark, tmp_path):
+    """All rows of a file would meet in one task."""
+    path = str(tmp_path / "rows")
+    spark.range(40).coalesce(1).write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = positioned(spark.read.parquet(path))
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.id, r.position) for r in got.collect()) == [(i, i) for i in range(40)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
