@@ -71,9 +71,15 @@ def explanation_rows(ranked: DataFrame, key: str, k: int | None = None) -> DataF
 
 
 def stored_rows(df: DataFrame, key: str, version: str) -> DataFrame:
-    """Contributions as rows for a table published by model version."""
-    items = F.transform("contributions", lambda c: F.struct(c["feature"].alias("feature"), c["value"].alias("value"), c["shap_value"].alias("contribution")))
-    return df.select(F.col(key), "base_value", F.inline_outer(items), F.lit(version).alias("model_version"))
+    """Contributions for a table published by model version: a row per instance, so that its key
+    is stored once, with a cell per feature."""
+    cells = F.col("contributions").cast("array<struct<feature: string, value: double, contribution: double>>")
+    return df.select(F.col(key), "base_value", cells.alias("cells"), F.lit(version).alias("model_version"))
+
+
+def stored_cells(rows: DataFrame, key: str) -> DataFrame:
+    """Published contributions as one row per instance and feature."""
+    return rows.select("model_version", key, "base_value", F.inline_outer("cells"))
 
 
 def explanation_text(prediction: Column, probability: Column) -> Column:

@@ -246,10 +246,11 @@ def explanations_stored(spark, sf):
     first with the wrong weights: its second run replaces its own rows and no others."""
     path, rows = scratch_path(spark, "explanations"), li(spark, sf)
     for version, weights in (("v1", EARLIER_WEIGHTS), ("v2", EARLIER_WEIGHTS), ("v2", LINEAR_WEIGHTS)):
-        cells = explain.stored_rows(explain.linear_contributions(rows, weights), "key", version)
-        publish(cells, path, ["model_version"])
-    parts = [published(spark, path, cells.schema, model_version=v) for v in ("v1", "v2")]
-    return parts[0].union(parts[1]).select("model_version", "key", "feature", *r6("value", "contribution"))
+        stored = explain.stored_rows(explain.linear_contributions(rows, weights), "key", version)
+        publish(stored, path, ["model_version"])
+    parts = [published(spark, path, stored.schema, model_version=v) for v in ("v1", "v2")]
+    cells = explain.stored_cells(parts[0].union(parts[1]), "key")
+    return cells.select("model_version", "key", "feature", *r6("value", "contribution"))
 
 
 @query(

@@ -5,13 +5,14 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from millrace.functions.prefix import id_order_bucket, prefix_sums, rank_in_group
 from millrace.functions.quantiles import exact_quantiles
 from millrace.functions.selection import edge_rows, top_share
-from millrace.operators import evaluation, splits
-from millrace.sources.published import positioned
+from millrace.operators import evaluation, explain, splits
+from millrace.sources.published import WRITERS, positioned, publish, published
 
 
 @pytest.fixture(scope="module")
@@ -159,3 +160,23 @@ def test_positions_need_no_shuffle_of_rows(spark, tmp_path):
         assert sorted((r.id, r.position) for r in got.collect()) == [(i, i) for i in range(40)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_explanations_are_published_unsorted_with_one_key_each(spark, tmp_path, monkeypatch):
+    """More partitions than files a task keeps open are written right too."""
+    seen, write, before = [], DataFrameWriter.parquet, spark.conf.get(WRITERS)
+
+    def parquet(self, *args, **kwargs):
+        seen.append(spark.conf.get(WRITERS))
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    rows = spark.createDataFrame([(i, float(i), None if i == 3 else 2.0) for i in range(60)], "key long, a double, b double").coalesce(1)
+    scored = explain.linear_contributions(rows, {"a": 2.0, "b": 1.0})
+    stored = explain.stored_rows(scored, "key", "v").withColumn("model_version", F.concat(F.lit("v"), F.col("key") % 9))
+    publish(stored, f"{tmp_path}/cells", ["model_version"])
+    assert int(seen[0]) > 0 and spark.conf.get(WRITERS) == before and stored.count() == 60
+    got = explain.stored_cells(published(spark, f"{tmp_path}/cells", stored.schema), "key").collect()
+    want = [(f"v{i % 9}", i, f, v, c) for i in range(60) for f, v, c in (("a", float(i), 2 * (i - 29.5)), ("b", None if i == 3 else 2.0, None if i == 3 else 0.0))]
+    assert sorted((r.model_version, r.key, r.feature, r.value, r.contribution) for r in got if r.key != 3) == sorted(w for w in want if w[1] != 3)
+    assert sorted(((r.feature, r.value, r.contribution) for r in got if r.key == 3), key=str) == sorted((w[2:] for w in want if w[1] == 3), key=str)
