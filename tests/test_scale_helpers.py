@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from millrace.functions.quantiles import exact_quantiles
 from millrace.functions.selection import edge_rows, top_share
 from millrace.operators import evaluation, explain, splits
 from millrace.sources.published import WRITERS, positioned, publish, published
+from millrace.streaming.keyed import OpenFailures
 
 
 @pytest.fixture(scope="module")
@@ -180,3 +182,11 @@ def test_explanations_are_published_unsorted_with_one_key_each(spark, tmp_path,
     want = [(f"v{i % 9}", i, f, v, c) for i in range(60) for f, v, c in (("a", float(i), 2 * (i - 29.5)), ("b", None if i == 3 else 2.0, None if i == 3 else 0.0))]
     assert sorted((r.model_version, r.key, r.feature, r.value, r.contribution) for r in got if r.key != 3) == sorted(w for w in want if w[1] != 3)
     assert sorted(((r.feature, r.value, r.contribution) for r in got if r.key == 3), key=str) == sorted((w[2:] for w in want if w[1] == 3), key=str)
+
+
+def test_failures_of_many_keys_are_combined_at_once():
+    rows = [(k, o, 1) for k in "abc" for o in (5, 1, 9)] + [("a", 6, 0), ("b", 9, 0), ("d", 2, 0), ("e", 0, 1)]
+    batch = pd.DataFrame([(f"={k}", -1 if e else o, e, o if e else -1) for k, o, e in rows], columns=["k0", "success", "failures", "failed"])
+    got = OpenFailures().combine(batch, ["k0"])
+    assert {r.k0: (r.success, r.failures, list(r.failed)) for r in got.itertuples()} == {"=a": (6, 3, [9]), "=b": (9, 3, []), "=c": (-1, 3, [5, 1, 9]), "=d": (2, 0, []), "=e": (-1, 1, [0])}
+    assert len(OpenFailures().combine(batch[:0], ["k0"])) == 0
