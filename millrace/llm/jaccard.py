@@ -38,11 +38,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.words import LOWER, chunks, mixed, word_hashes
+from millrace.llm.words import LOWER, chunks, mixed, stretches, word_hashes
 from millrace.session import discard, materialize
 
 # Grams are frequent when `FREQUENT` of the sets of one counted stretch hold them.
 STRETCH_SETS = 8_192
+STRETCH_BYTES = 500_000
 FREQUENT = 4
 PARITY_BITS = 2_048
 FIRST_LISTS = 12
@@ -82,18 +83,6 @@ def gram_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
     return [np.unique(g) for g in np.split(grams, np.cumsum(counts)[:-1])] if texts else []
 
 
-def stretches(texts: list, size: int = 2_000_000, rows: int = STRETCH_SETS) -> Iterator[tuple[int, list]]:
-    at, own, held = 0, [], 0
-    for i, t in enumerate(texts):
-        own.append(t)
-        held += len(t or "")
-        if held >= size or len(own) >= rows:
-            yield at, own
-            at, own, held = i + 1, [], 0
-    if own:
-        yield at, own
-
-
 def need(size: np.ndarray | int, percent: int) -> np.ndarray | int:
     """Grams that a set shares at least with any set it is similar to."""
     return -(-size * percent // 100)
@@ -115,7 +104,7 @@ def frequent_grams(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
             return pa.RecordBatch.from_pydict({"gram": np.concatenate([grams[often], np.zeros(1, np.uint64)]).view(np.int64), "n": np.concatenate([times[often], [0]]).astype(np.int64), "sets": np.array([0] * int(often.sum()) + [sets], np.int64)})
 
         for batch in batches:
-            for _, own in stretches(batch.column("text").to_pylist()):
+            for _, own in stretches(batch.column("text"), STRETCH_BYTES, STRETCH_SETS):
                 held += gram_sets(own, n)
                 sets += len(own)
                 if sets >= STRETCH_SETS or sum(map(len, held)) > 8_000_000:
@@ -168,7 +157,7 @@ def describe_sets(rows: DataFrame, n: int, percent: int, frequent: tuple[np.ndar
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, own in stretches(batch.column("text").to_pylist()):
+            for at, own in stretches(batch.column("text"), STRETCH_BYTES, STRETCH_SETS):
                 sizes, digests, heads, late, bits = [], [], [], [], []
                 for grams in gram_sets(own, n):
                     line, rare = ordered(grams, frequent)
@@ -264,7 +253,7 @@ def verify(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, percen
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column("node")
-            for at, own in stretches(batch.column("text").to_pylist()):
+            for at, own in stretches(batch.column("text"), STRETCH_BYTES, STRETCH_SETS):
                 yield pa.RecordBatch.from_pydict({"node": nodes.slice(at, len(own)), "grams": pa.array([g.tobytes() for g in gram_sets(own, n)], pa.binary())})
 
     texts = rows.join(wanted, F.col("key") == F.col("node"), "left_semi").select(F.col("key").alias("node"), "text")
@@ -275,8 +264,8 @@ def verify(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, percen
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             same = []
-            for x, y in zip(batch.column("ga").to_pylist(), batch.column("gb").to_pylist(), strict=True):
-                s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column("ga"), batch.column("gb"), strict=True):
+                s, t = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
                 common = 0
                 if len(s) and len(t):
                     common = int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())

@@ -30,12 +30,14 @@ from pyspark.sql import functions as F
 
 from millrace.functions.prefix import prefix_sums
 from millrace.llm.token_files import encoder, id_type
+from millrace.llm.words import stretches
 from millrace.session import materialize
 
 Plan = list[tuple[tuple[int, ...], int]]
 
 
 SLACK = 64
+STRETCH_BYTES = 1_000_000
 EXACT = 64  # lengths up to this are counted as they are
 
 
@@ -162,7 +164,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, window: int, quantum: int, key:
         for batch in batches:
             found: list[tuple] = []
             raws: list[bytes | None] = []
-            for i, raw in enumerate(enc.encode(batch.column("text").to_pylist())):
+            texts = (t for _, own in stretches(batch.column("text"), STRETCH_BYTES) for t in own)
+            for i, raw in enumerate(enc.encode(texts)):
                 ids = np.frombuffer(raw + end, dtype).astype("<u4")
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]

@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from millrace.llm.words import chunks, word_hashes
+from millrace.llm.words import chunks, stretches, word_hashes
 from millrace.session import materialize
 
 LOWER, UPPER, DIGIT, BLANK, BAR, STOP, CRY, SIGN, HIGH, OTHER = range(10)
 CLASSES = 10
+STRETCH_BYTES = 1_000_000
 
 
 def _byte_classes() -> np.ndarray:
@@ -160,18 +161,6 @@ def fit_field(base: np.ndarray, per_text: np.ndarray, labels: np.ndarray, rounds
     return field
 
 
-def _stretches(texts: list[str | None], size: int = 4_000_000) -> Iterator[list[str | None]]:
-    own, held = [], 0
-    for t in texts:
-        own.append(t)
-        held += len(t or "")
-        if held >= size:
-            yield own
-            own, held = [], 0
-    if own:
-        yield own
-
-
 def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = 3_000, sample_lines: int = 2_000, most_lines: int = 200_000) -> LineField:
     """Fit on the labelled documents of `labels` (key, label), which should hold training rows only:
     in the order of a hash, up to `sample` documents of up to `sample_lines` lines each, as long as
@@ -210,14 +199,12 @@ def score_quality(docs: DataFrame, field: LineField, text: str = "text", out: st
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = 0
-            for own in _stretches(batch.column(text).to_pylist()):
+            for at, own in stretches(batch.column(text), STRETCH_BYTES):
                 base, size, per_text = line_features(own)
                 good = field.marginals(base, per_text)
                 weight = size + 1e-9  # lines without bytes count only among themselves
                 starts = np.cumsum(per_text) - per_text
                 value = np.add.reduceat(good * weight, starts) / np.add.reduceat(weight, starts)
                 yield batch.slice(at, len(own)).append_column(out, pa.array(np.clip(value, 0, 1)))
-                at += len(own)
 
     return docs.mapInArrow(score, StructType([*docs.schema.fields, StructField(out, DoubleType())]))

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 import regex
 from public_tokenizers import PATTERN
 
-STRETCH = 8_000_000
+STRETCH = 2_000_000
 
 # A blank inside or at the end of a longer run of white space: not a place to cut.
 _INNER_BLANK = re.compile(r"\s \s|\s \Z")
